@@ -6,7 +6,7 @@ from importlib import import_module
 
 from riskloom.catalog import registry
 
-_MODULES = ("expressions",)
+_MODULES = ("expressions", "features", "profiles", "quality")
 
 
 def _load() -> None:

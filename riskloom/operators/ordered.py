@@ -35,9 +35,15 @@ def hot_key_hashes(df: DataFrame, by: Sequence[str], limit: int) -> list[int] |
     return ALL_KEYS if len(hot) > MAX_LISTED_KEYS else [r.h for r in hot]
 
 
-def split_hot(df: DataFrame, by: Sequence[str], limit: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """``(small keys, hot keys)``; either side is None when empty by construction."""
-    hot = hot_key_hashes(df, by, limit)
+def split_hot(
+    df: DataFrame, by: Sequence[str], limit: int, hot: list[int] | str | None = None
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """``(small keys, hot keys)``; either side is None when empty by construction.
+
+    ``hot`` passes the result of an earlier ``hot_key_hashes`` over the same rows.
+    """
+    if hot is None:
+        hot = hot_key_hashes(df, by, limit)
     if hot == ALL_KEYS:
         return None, df
     if not hot:
@@ -127,6 +133,7 @@ def previous_row(
     order: Sequence[Column],
     columns: dict[str, str],
     limit: int = ROWS_PER_KEY,
+    hot_keys: list[int] | str | None = None,
 ) -> DataFrame:
     """Bring columns of the key's previous row; ``columns`` maps source name to new name."""
     by = list(by)
@@ -148,7 +155,7 @@ def previous_row(
         filled = {new: F.when(F.col("_pos") == 1, F.col(f"_c_{new}")).otherwise(F.col(new)) for new in columns.values()}
         return joined.withColumns(filled).drop("_slice", "_pos", *[f"_c_{new}" for new in columns.values()])
 
-    cold, hot = split_hot(df, by, limit)
+    cold, hot = split_hot(df, by, limit, hot_keys)
     return _combine(
         cold.withColumns(lagged(by)) if cold is not None else None, sliced(hot) if hot is not None else None
     )

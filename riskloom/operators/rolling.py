@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as X
-from riskloom.operators.ordered import null_safe, previous_row, split_hot
+from riskloom.operators.ordered import ROWS_PER_KEY, null_safe, previous_row, split_hot
 
 # A sliding frame re-adds its rows for every row, so its cost per card grows with the
 # square of the rows inside the longest window; dense cards go to the cell plan early.
@@ -32,6 +32,7 @@ def rolling_past(
     windows: Mapping[str, int],
     prefix: str = "rolling",
     limit: int = ROWS_PER_CARD,
+    hot_keys: list[int] | str | None = None,
 ) -> DataFrame:
     """Count, sum, mean and sample deviation of the amount over ``[t - width, t)`` per card.
 
@@ -39,7 +40,7 @@ def rolling_past(
     null, null; a single row gives a null deviation.  Rows at the same instant never see
     each other.
     """
-    cold, hot = split_hot(df, [card], limit)
+    cold, hot = split_hot(df, [card], limit, hot_keys)
     parts = []
     if cold is not None:
         parts.append(_sliding(cold, card, epoch, amount, windows, prefix))
@@ -153,11 +154,12 @@ def consecutive_features(
     lat: str,
     lon: str,
     ticks_per_second: int = 1,
-    **tuning: int,
+    limit: int = ROWS_PER_KEY,
+    hot_keys: list[int] | str | None = None,
 ) -> DataFrame:
     """Distance, elapsed seconds and speed against the card's previous transaction."""
     lagged = previous_row(
-        df, [card], [F.col(epoch), F.col(tie)], {lat: "_prev_lat", lon: "_prev_lon", epoch: "_prev_epoch"}, **tuning
+        df, [card], [F.col(epoch), F.col(tie)], {lat: "_prev_lat", lon: "_prev_lon", epoch: "_prev_epoch"}, limit, hot_keys
     )
     return (
         lagged.withColumn("dist_consecutive_km", X.haversine_km(F.col(lat), F.col(lon), F.col("_prev_lat"), F.col("_prev_lon")))

@@ -69,7 +69,7 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     jobs, sqls = e.queries(), e.oracle_sql()
     names = argv[1:] or list(jobs)
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g")
+    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failures = []
