@@ -6,7 +6,7 @@ from importlib import import_module
 
 from riskloom.catalog import registry
 
-_MODULES = ("expressions", "features", "profiles", "quality")
+_MODULES = ("expressions", "features", "profiles", "quality", "modelling")
 
 
 def _load() -> None:

@@ -147,9 +147,9 @@ def agg_histogram_distance(spark, sf):
 
 
 @query("agg_describe", f"""WITH {TX_EVENTS_SQL}, c AS (SELECT card, COUNT(*) AS tx, SUM(label) AS fraud_tx, MAX(label) AS any_fraud FROM tx GROUP BY card),
-l AS (SELECT 'tx' AS column, CAST(tx AS BIGINT) AS v FROM c UNION ALL SELECT 'fraud_tx', CAST(fraud_tx AS BIGINT) FROM c UNION ALL SELECT 'any_fraud', CAST(any_fraud AS BIGINT) FROM c)
-SELECT column, COUNT(*) AS count, ROUND(AVG(v),5) AS mean, ROUND(stddev_samp(v),5) AS std, CAST(MIN(v) AS DOUBLE) AS min,
- quantile_cont(v,0.25) AS p25, quantile_cont(v,0.5) AS p50, quantile_cont(v,0.75) AS p75, CAST(MAX(v) AS DOUBLE) AS max FROM l GROUP BY column""")
+l AS (SELECT 'tx' AS "column", CAST(tx AS BIGINT) AS v FROM c UNION ALL SELECT 'fraud_tx', CAST(fraud_tx AS BIGINT) FROM c UNION ALL SELECT 'any_fraud', CAST(any_fraud AS BIGINT) FROM c)
+SELECT "column", COUNT(*) AS count, ROUND(AVG(v),5) AS mean, ROUND(stddev_samp(v),5) AS std, CAST(MIN(v) AS DOUBLE) AS min,
+ quantile_cont(v,0.25) AS p25, quantile_cont(v,0.5) AS p50, quantile_cont(v,0.75) AS p75, CAST(MAX(v) AS DOUBLE) AS max FROM l GROUP BY ALL""")
 def agg_describe(spark, sf):
     return rounded(profile.card_describe(tx_events(spark, sf), "card", "label"), mean=5, std=5)
 

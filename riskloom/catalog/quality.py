@@ -121,7 +121,7 @@ def metrics_bundle(spark, sf):
     return rounded(metrics.metrics_bundle(tx_events(spark, sf), "label", "score", "tx_id"), value=6)
 
 
-@query("metrics_transfer_threshold", f"""WITH {TX_EVENTS_SQL}, {SPLIT_SQL}, v AS (SELECT * FROM sp WHERE split='val'), te AS (SELECT * FROM sp WHERE split='test'),
+@query("metrics_transfer_threshold", f"""WITH {TX_EVENTS_SQL}, {SPLIT_SQL}, v AS (SELECT tx_id, label, score FROM sp WHERE split='val'), te AS (SELECT tx_id, label, score FROM sp WHERE split='test'),
 hv AS (SELECT score AS threshold, COUNT(*) AS n, SUM(label) AS pos FROM v GROUP BY ALL),
 cv AS (SELECT threshold, SUM(n) OVER (ORDER BY threshold DESC) AS cum_n, SUM(pos) OVER (ORDER BY threshold DESC) AS cum_pos, SUM(pos) OVER () AS tot_pos FROM hv),
 best AS (SELECT threshold FROM cv ORDER BY {F1} DESC, threshold LIMIT 1), {curve_sql('te')}, """ + bundle_sql(
