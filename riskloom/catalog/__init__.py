@@ -6,7 +6,7 @@ from importlib import import_module
 
 from riskloom.catalog import registry
 
-_MODULES = ("expressions", "features", "profiles", "quality", "modelling")
+_MODULES = ("expressions", "features", "profiles", "quality", "modelling", "operations", "streams")
 
 
 def _load() -> None:

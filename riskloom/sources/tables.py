@@ -38,8 +38,8 @@ def scan_csv_union(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
 
     def one(path: str) -> DataFrame:
         if schema is None:
-            return spark.read.csv(path, header=True, inferSchema=True)
-        text = spark.read.csv(path, header=True, enforceSchema=False)
+            return spark.read.csv(path, header=True, inferSchema=True, escape='"')
+        text = spark.read.csv(path, header=True, enforceSchema=False, escape='"')
         known = {f.name: f.dataType for f in schema.fields}
         return text.select([
             F.col(f"`{c}`").try_cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in text.columns
