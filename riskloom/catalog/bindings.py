@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.catalog.registry import once
 from riskloom.functions import scalar as X
+from riskloom.session import materialize
 
 DAY_MICROS = 86_400 * X.MICROS
 EVENT_WINDOWS = {"1h": 3_600 * X.MICROS, "24h": DAY_MICROS, "7d": 7 * DAY_MICROS}
@@ -72,6 +74,15 @@ def tx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.withColumns(_stand_ins("tx_id", "card"))
 
 
+def staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order transactions as a staging table in the shared folder.
+
+    Feature plans scan their input several times (split borders, amount ceiling, encodings),
+    one or two columns each; over a written table those scans read only these columns.
+    """
+    return once(spark, sf_dir, "staged_orders", lambda: materialize(tx_orders(spark, sf_dir), "staging"))
+
+
 def _stand_ins_sql(tx: str, card: str) -> str:
     return f"""
   CAST(({tx}*6047) % 1009 AS DOUBLE)/CAST(1009 AS DOUBLE) AS score,

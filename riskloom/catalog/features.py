@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
-from riskloom.catalog.bindings import DAY_MICROS, EVENT_WINDOWS, ORDER_WINDOWS, TX_EVENTS_SQL, TX_ORDERS_SQL, tx_events, tx_orders
+from riskloom.catalog.bindings import DAY_MICROS, EVENT_WINDOWS, ORDER_WINDOWS, TX_EVENTS_SQL, TX_ORDERS_SQL, staged_orders, tx_events, tx_orders
 from riskloom.catalog.expressions import AGE, DOW, HOUR, NIGHT, haversine_sql
 from riskloom.catalog.registry import as_long, query, rounded
 from riskloom.functions import scalar as X
@@ -112,7 +112,7 @@ def win_consecutive_geo(spark, sf):
 
 @query("win_global_split", f"WITH {TX_ORDERS_SQL}, {SPLIT_SQL} SELECT tx_id, split FROM sp")
 def win_global_split(spark, sf):
-    return temporal_split(tx_orders(spark, sf), "us", "tx_id").select("tx_id", "split")
+    return temporal_split(staged_orders(spark, sf), "us", "tx_id").select("tx_id", "split")
 
 
 @query("sort_card_time", f"WITH {TX_ORDERS_SQL} SELECT tx_id, row_number() OVER (PARTITION BY card ORDER BY us, tx_id) AS position FROM tx")
@@ -156,7 +156,7 @@ def win_first_seen(spark, sf):
 SELECT category AS value, COUNT(*) AS n, ROUND((SUM(label)+20*(SELECT AVG(label) FROM sp WHERE split='train'))/(COUNT(*)+CAST(20 AS DOUBLE)),6) AS encoded
 FROM sp WHERE split='train' GROUP BY category""")
 def te_map_full(spark, sf):
-    tx = temporal_split(tx_orders(spark, sf), "us", "tx_id")
+    tx = temporal_split(staged_orders(spark, sf), "us", "tx_id")
     stats = encode.encoding_stats(tx, ["category"], "label", "fold", F.col("split") == "train")
     return rounded(encode.encoding_map(stats, "category").select("value", "n", "encoded"), encoded=6)
 
@@ -164,7 +164,7 @@ def te_map_full(spark, sf):
 @query("te_kfold_oof", f"""WITH {TX_ORDERS_SQL}, {SPLIT_SQL}, {encoded_sql('category')}
 SELECT tx_id, ROUND(te,6) AS te_category FROM te_category""")
 def te_kfold_oof(spark, sf):
-    tx = temporal_split(tx_orders(spark, sf), "us", "tx_id")
+    tx = temporal_split(staged_orders(spark, sf), "us", "tx_id")
     out = encode.target_encode(tx, ["category"], "label", "fold", F.col("split") == "train")
     return rounded(out.select("tx_id", "te_category"), te_category=6)
 
@@ -176,7 +176,7 @@ TE_SQL = ", ".join(encoded_sql(c) for c in S.ENCODED_COLUMNS)
 SELECT tx_id, ROUND(m.te,6) AS te_merchant, ROUND(c.te,6) AS te_category, ROUND(s.te,6) AS te_state, ROUND(j.te,6) AS te_job
 FROM te_merchant m JOIN te_category c USING (tx_id) JOIN te_state s USING (tx_id) JOIN te_job j USING (tx_id)""")
 def te_multi(spark, sf):
-    tx = temporal_split(tx_orders(spark, sf), "us", "tx_id")
+    tx = temporal_split(staged_orders(spark, sf), "us", "tx_id")
     names = [f"te_{c}" for c in S.ENCODED_COLUMNS]
     out = encode.target_encode(tx, S.ENCODED_COLUMNS, "label", "fold", F.col("split") == "train").select("tx_id", *names)
     return rounded(out, **{n: 6 for n in names})
@@ -195,7 +195,7 @@ FROM tx JOIN geo USING (tx_id) JOIN roll USING (tx_id) JOIN (SELECT tx_id, split
 JOIN te_merchant tm USING (tx_id) JOIN te_category tc USING (tx_id) JOIN te_state ts_ USING (tx_id) JOIN te_job tj USING (tx_id)""")
 def proj_select_features(spark, sf):
     out = build_features(
-        tx_orders(spark, sf).withColumnRenamed("label", "is_fraud"), windows=ORDER_WINDOWS, ticks_per_second=X.MICROS, narrow=False
+        staged_orders(spark, sf).withColumnRenamed("label", "is_fraud"), windows=ORDER_WINDOWS, ticks_per_second=X.MICROS, narrow=False
     )
     longs = ["amt_gt_p95_legit", "hour", "dow", "is_night", "is_fraud"] + [f"rolling_count_{w}" for w in ORDER_WINDOWS]
     digits = {"log1p_amt": 5, "hour_sin": 5, "hour_cos": 5, "age": 5, "time_since_last_tx": 6, "dist_consecutive_km": 4, "velocity_kmh": 3}

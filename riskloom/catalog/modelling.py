@@ -9,32 +9,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
-from riskloom.catalog.bindings import ORDER_WINDOWS, TX_EVENTS_SQL, tx_events, tx_orders
-from riskloom.catalog.registry import query, rounded
+from riskloom.catalog.bindings import ORDER_WINDOWS, TX_EVENTS_SQL, staged_orders, tx_events
+from riskloom.catalog.registry import once, query, rounded
 from riskloom.functions import scalar as X
 from riskloom.models import calibrate, explain, score, train
 from riskloom.plans.features import build_features
 from riskloom.session import materialize, work_dir
 
 QUICK = train.TreeParams(max_depth=4, learning_rate=0.3, max_trees=5)
-_CACHE: dict[tuple, object] = {}
-
-
-def _once(spark, sf, what, make):
-    key = (spark.sparkContext.applicationId, sf, what)
-    if key not in _CACHE:
-        _CACHE[key] = make()
-    return _CACHE[key]
 
 
 def curated(spark, sf):
     """The orders' feature table, written once to the shared folder."""
-    return _once(spark, sf, "curated", lambda: materialize(build_features(
-        tx_orders(spark, sf).withColumnRenamed("label", "is_fraud"), ORDER_WINDOWS, X.MICROS), "curated"))
+    return once(spark, sf, "curated", lambda: materialize(build_features(
+        staged_orders(spark, sf).withColumnRenamed("label", "is_fraud"), ORDER_WINDOWS, X.MICROS), "curated"))
 
 
 def trained(spark, sf):
-    return _once(spark, sf, "model", lambda: train.fit_trees(curated(spark, sf), QUICK))
+    return once(spark, sf, "model", lambda: train.fit_trees(curated(spark, sf), QUICK))
 
 
 def scored_split(spark, sf, split):
@@ -45,7 +37,7 @@ def bundle(spark, sf):
     def make():
         chosen, _ = calibrate.compare_calibrators(scored_split(spark, sf, "val"), scored_split(spark, sf, "test"), S.TARGET, "score_raw")
         return score.Bundle(trained(spark, sf), chosen, "quick-1")
-    return _once(spark, sf, "bundle", make)
+    return once(spark, sf, "bundle", make)
 
 
 @query("train_gbt")
@@ -102,10 +94,17 @@ def calibrate_platt(spark, sf):
     return calibrate.fit_platt(tx, "label", "score").apply(tx, "score", "calibrated").select("tx_id", "calibrated")
 
 
-@query("calibrate_isotonic")
+@query("calibrate_isotonic", f"""WITH {TX_EVENTS_SQL}, h AS (
+SELECT score, row_number() OVER (ORDER BY score) AS i, SUM(COUNT(*)) OVER (ORDER BY score) AS n, SUM(SUM(label)) OVER (ORDER BY score) AS p FROM tx GROUP BY score),
+s AS (SELECT i + 1 AS i, n, p FROM h UNION ALL SELECT 1, 0, 0),
+a AS (SELECT s.i AS j, h.i AS k, CAST(h.p - s.p AS DOUBLE)/CAST(h.n - s.n AS DOUBLE) AS mean FROM s JOIN h ON h.i >= s.i),
+m AS (SELECT j, k, MIN(mean) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM a),
+f AS (SELECT k, MAX(low) AS fitted FROM m GROUP BY k)
+SELECT tx_id, ROUND(fitted,6) AS calibrated FROM tx JOIN h USING (score) JOIN f ON f.k = h.i""")
 def calibrate_isotonic(spark, sf):
     tx = tx_events(spark, sf)
-    return calibrate.fit_isotonic(tx, "label", "score").apply(tx, "score", "calibrated").select("tx_id", "calibrated")
+    out = calibrate.fit_isotonic(tx, "label", "score").apply(tx, "score", "calibrated")
+    return rounded(out.select("tx_id", "calibrated"), calibrated=6)
 
 
 @query("calibrator_select")

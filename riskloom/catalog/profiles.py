@@ -95,10 +95,7 @@ ROUND(quantile_cont({e},0.5),4) AS median, ROUND(quantile_cont({e},0.95),4) AS p
     for name, e in {"amt": "amt", "distance_km": HOLDER_KM, "age": AGE}.items()))
 def agg_quantiles_by_class(spark, sf):
     tx = with_distance(with_age(tx_events(spark, sf)))
-    out = None
-    for measure in ("amt", "distance_km", "age"):
-        part = profile.quantiles_by_class(tx, "label", measure, QUANTILE_PROBS).withColumn("measure", F.lit(measure))
-        out = part if out is None else out.unionByName(part)
+    out = profile.quantiles_by_class(tx, "label", ["amt", "distance_km", "age"], QUANTILE_PROBS)
     return rounded(as_long(out, "label"), mean=4, max=4, median=4, p95=4)
 
 
@@ -158,7 +155,7 @@ def agg_describe(spark, sf):
 SELECT CAST(label AS BIGINT) AS label, ROUND(quantile_cont({AGE},0.25),5) AS p25, ROUND(quantile_cont({AGE},0.5),5) AS p50, ROUND(quantile_cont({AGE},0.75),5) AS p75 FROM tx GROUP BY label""")
 def agg_age_box(spark, sf):
     probabilities = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    out = profile.quantiles_by_class(with_age(tx_events(spark, sf)), "label", "age", probabilities)
+    out = profile.quantiles_by_class(with_age(tx_events(spark, sf)), "label", ["age"], probabilities)
     return rounded(as_long(out, "label").select("label", *probabilities), p25=5, p50=5, p75=5)
 
 

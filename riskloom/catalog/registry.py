@@ -38,3 +38,14 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
 
 def as_long(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
+_MADE: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]) -> object:
+    """Make a table or model once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]

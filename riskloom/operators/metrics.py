@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 
 from riskloom import settings as S
 from riskloom.functions import scalar as X
-from riskloom.operators.ordered import ROWS_PER_KEY, global_rank, null_safe, prior_totals
+from riskloom.operators.ordered import ROWS_PER_KEY, global_rank, many_valued_keys, null_safe, prior_totals
 from riskloom.operators.selection import cut_points, exact_quantiles
 
 
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limit: int = ROWS_PER_KEY) -> DataFrame:
     """Cumulative rows and positives by descending distinct score: ``threshold, n, pos, cum_n, cum_pos``."""
-    points = (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).alias("threshold"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("pos"))
+    scored = df.filter(F.col(score).isNotNull())
+    points = scored.groupBy(*by, F.col(score).alias("threshold")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("pos")
     )
     return prior_totals(
-        points, by, [F.col("threshold").desc()], {"cum_n": F.col("n"), "cum_pos": F.col("pos")}, inclusive=True, limit=limit
+        points, by, [F.col("threshold").desc()], {"cum_n": F.col("n"), "cum_pos": F.col("pos")}, inclusive=True,
+        hot_keys=many_valued_keys(scored, by, score, limit),
     )
 
 
@@ -41,7 +41,12 @@ def _with_totals(curve: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def ranking_summary(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limit: int = ROWS_PER_KEY) -> DataFrame:
-    """``n, n_pos, pr_auc, roc_auc`` per group; areas are null where a class is missing.
+    """``n, n_pos, pr_auc, roc_auc`` per group; areas are null where a class is missing."""
+    return curve_summary(score_curve(df, label, score, by, limit), by)
+
+
+def curve_summary(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from a score curve.
 
     Average precision in step form over distinct scores; ROC area by trapezoids, so tied
     scores count half.
@@ -54,7 +59,6 @@ def ranking_summary(df: DataFrame, label: str, score: str, by: Sequence[str] = (
         F.when(pos > 0, step / pos).alias("pr_auc"),
         F.when((pos > 0) & (neg > 0), trapezoid / (pos.cast("double") * neg.cast("double"))).alias("roc_auc"),
     ]
-    curve = score_curve(df, label, score, by, limit)
     return curve.groupBy(*by).agg(*aggregates) if by else curve.agg(*aggregates)
 
 
@@ -146,15 +150,18 @@ def top_fractions(df: DataFrame, label: str, score: str, tie: str, fractions: Se
     )
 
 
-def recall_at_fraction_by(df: DataFrame, label: str, score: str, tie: str, by: Sequence[str], fraction: float = S.TOP_FRACTION, limit: int = ROWS_PER_KEY) -> DataFrame:
+def recall_at_fraction_by(
+    df: DataFrame, curve: DataFrame, label: str, score: str, tie: str, by: Sequence[str], fraction: float = S.TOP_FRACTION, limit: int = ROWS_PER_KEY
+) -> DataFrame:
     """Recall in the top fraction per group, from the group's score curve.
 
     Only rows whose score equals their group's cut score are ranked by id.
     """
     by = list(by)
-    curve = _with_totals(score_curve(df, label, score, by, limit), by)
     k = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(float(fraction))))
-    cut = curve.withColumn("_k", k).filter((F.col("cum_n") >= F.col("_k")) & (F.col("cum_n") - F.col("n") < F.col("_k"))).select(
+    cut = _with_totals(curve, by).withColumn("_k", k).filter(
+        (F.col("cum_n") >= F.col("_k")) & (F.col("cum_n") - F.col("n") < F.col("_k"))
+    ).select(
         *by, "_pos", F.col("threshold").alias("_cut"), (F.col("cum_pos") - F.col("pos")).alias("_above"),
         (F.col("_k") - F.col("cum_n") + F.col("n")).alias("_need"),
     )

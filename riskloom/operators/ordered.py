@@ -27,7 +27,7 @@ def hot_key_hashes(df: DataFrame, by: Sequence[str], limit: int) -> list[int] |
     sends a small key down the sliced path, which is exact for every key.
     """
     if not by:
-        return ALL_KEYS if df.limit(limit + 1).count() > limit else []
+        return ALL_KEYS if df.count() > limit else []
     hot = (
         df.groupBy(*by).count().filter(F.col("count") > limit)
         .select(F.xxhash64(*by).alias("h")).limit(MAX_LISTED_KEYS + 1).collect()
@@ -35,15 +35,21 @@ def hot_key_hashes(df: DataFrame, by: Sequence[str], limit: int) -> list[int] |
     return ALL_KEYS if len(hot) > MAX_LISTED_KEYS else [r.h for r in hot]
 
 
-def split_hot(
-    df: DataFrame, by: Sequence[str], limit: int, hot: list[int] | str | None = None
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """``(small keys, hot keys)``; either side is None when empty by construction.
+def many_valued_keys(df: DataFrame, by: Sequence[str], value: str, limit: int) -> list[int] | str:
+    """Like ``hot_key_hashes`` for rows that will be combined per distinct value.
 
-    ``hot`` passes the result of an earlier ``hot_key_hashes`` over the same rows.
+    A sketch of the distinct values is enough, as both plans are exact: no shuffle of values.
     """
-    if hot is None:
-        hot = hot_key_hashes(df, by, limit)
+    estimate = F.approx_count_distinct(value).alias("n")
+    if not by:
+        return ALL_KEYS if df.agg(estimate).first().n > limit else []
+    many = df.groupBy(*by).agg(estimate).filter(F.col("n") > limit).select(F.xxhash64(*by).alias("h"))
+    found = many.limit(MAX_LISTED_KEYS + 1).collect()
+    return ALL_KEYS if len(found) > MAX_LISTED_KEYS else [r.h for r in found]
+
+
+def split_hot(df: DataFrame, by: Sequence[str], hot: list[int] | str) -> tuple[DataFrame | None, DataFrame | None]:
+    """``(small keys, hot keys)``; either side is None when empty by construction."""
     if hot == ALL_KEYS:
         return None, df
     if not hot:
@@ -52,6 +58,15 @@ def split_hot(
     return df.filter(~is_hot), df.filter(is_hot)
 
 
+def _carry(by: Sequence[str], hot: list[int] | str, carried: DataFrame) -> DataFrame:
+    """One record per (slice, key): at most slices + keys rows, as a key's slices are contiguous.
+
+    With listed hot keys (or no key) that is a proven small bound, so it is broadcast;
+    with too many hot keys to list Spark decides by size.
+    """
+    return carried if by and hot == ALL_KEYS else F.broadcast(carried)
+
+
 def _combine(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
     if hot is None:
         return cold
@@ -85,11 +100,13 @@ def prior_totals(
     measures: dict[str, Column],
     inclusive: bool = False,
     limit: int = ROWS_PER_KEY,
+    hot_keys: list[int] | str | None = None,
 ) -> DataFrame:
     """Running totals per key in a total order, without (default) or with the row itself.
 
     ``order`` must be free of ties within a key.  Each measure is summed over the rows
-    before the current one; the first row of a key gets zero.
+    before the current one; the first row of a key gets zero.  ``hot_keys`` passes the
+    result of an earlier ``hot_key_hashes`` over the same keys.
     """
     by = list(by)
     end = Window.currentRow if inclusive else -1
@@ -108,17 +125,18 @@ def prior_totals(
         rows = slice_rows(part, by, order)
         per_slice = rows.groupBy(*by, "_slice").agg(*[F.sum(h).alias(h) for h in helper])
         across = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        # At most (slices + keys) rows: a key's rows are contiguous in the range order.
         carried = per_slice.select(
             *by, "_slice",
             *[F.coalesce(F.sum(f"_m_{n}").over(across), F.lit(0)).alias(f"_c_{n}") for n in measures],
         )
         local = rows.withColumns(running([*by, "_slice"]))
-        joined = null_safe(local, carried, [*by, "_slice"])
+        joined = null_safe(local, _carry(by, hot_keys, carried), [*by, "_slice"])
         totals = {n: F.col(n) + F.col(f"_c_{n}") for n in measures}
         return joined.withColumns(totals).drop("_slice", *helper, *[f"_c_{n}" for n in measures])
 
-    cold, hot = split_hot(valued, by, limit)
+    if hot_keys is None:
+        hot_keys = hot_key_hashes(valued, by, limit)
+    cold, hot = split_hot(valued, by, hot_keys)
     return _combine(plain(cold) if cold is not None else None, sliced(hot) if hot is not None else None)
 
 
@@ -135,7 +153,10 @@ def previous_row(
     limit: int = ROWS_PER_KEY,
     hot_keys: list[int] | str | None = None,
 ) -> DataFrame:
-    """Bring columns of the key's previous row; ``columns`` maps source name to new name."""
+    """Bring columns of the key's previous row; ``columns`` maps source name to new name.
+
+    ``hot_keys`` passes the result of an earlier ``hot_key_hashes`` over the same rows.
+    """
     by = list(by)
 
     def lagged(frame_keys: Sequence[str]) -> dict[str, Column]:
@@ -151,11 +172,13 @@ def previous_row(
         )
         across = Window.partitionBy(*by).orderBy("_slice")
         carried = last.select(*by, "_slice", *[F.lag(f"_l_{new}").over(across).alias(f"_c_{new}") for new in columns.values()])
-        joined = null_safe(numbered.withColumns(lagged([*by, "_slice"])), carried, [*by, "_slice"])
+        joined = null_safe(numbered.withColumns(lagged([*by, "_slice"])), _carry(by, hot_keys, carried), [*by, "_slice"])
         filled = {new: F.when(F.col("_pos") == 1, F.col(f"_c_{new}")).otherwise(F.col(new)) for new in columns.values()}
         return joined.withColumns(filled).drop("_slice", "_pos", *[f"_c_{new}" for new in columns.values()])
 
-    cold, hot = split_hot(df, by, limit, hot_keys)
+    if hot_keys is None:
+        hot_keys = hot_key_hashes(df, by, limit)
+    cold, hot = split_hot(df, by, hot_keys)
     return _combine(
         cold.withColumns(lagged(by)) if cold is not None else None, sliced(hot) if hot is not None else None
     )
@@ -184,7 +207,7 @@ def recent_values(
         tails = local.groupBy(*by, "_slice").agg(F.max_by(name, "_pos").alias("_tail"))
         across = Window.partitionBy(*by).orderBy("_slice").rowsBetween(-n, -1)
         carried = tails.select(*by, "_slice", F.flatten(F.collect_list("_tail").over(across)).alias("_before"))
-        joined = null_safe(local, carried, [*by, "_slice"])
+        joined = null_safe(local, _carry(by, hot_keys, carried), [*by, "_slice"])
         # A non-empty slice holds at least one value, so n earlier slices are enough.
         full = F.concat(F.col("_before"), F.col(name))
         size = F.least(F.size(full), F.lit(n))
@@ -192,7 +215,8 @@ def recent_values(
             name, F.when(F.col("_pos") < n, F.slice(full, F.size(full) - size + 1, size)).otherwise(F.col(name))
         ).drop("_slice", "_pos", "_before")
 
-    cold, hot = split_hot(df, by, limit)
+    hot_keys = hot_key_hashes(df, by, limit)
+    cold, hot = split_hot(df, by, hot_keys)
     return _combine(
         cold.withColumn(name, last_n(by)) if cold is not None else None, sliced(hot) if hot is not None else None
     )

@@ -87,17 +87,19 @@ def card_describe(df: DataFrame, card: str, label: str) -> DataFrame:
     )
 
 
-def quantiles_by_class(df: DataFrame, label: str, value: str, probabilities: Mapping[str, float], **tuning: int) -> DataFrame:
-    """Mean, max and exact quantiles of a value per class."""
-    names = list(probabilities)
-    quantiles = exact_quantiles(df, value, list(probabilities.values()), by=[label], **tuning)
-    spark = df.sparkSession
-    rows = [(*group, *values) for group, values in quantiles.items()]
-    found = spark.createDataFrame(rows, f"label int, {', '.join(f'{n} double' for n in names)}")
-    basic = df.groupBy(F.col(label).cast("int").alias("label")).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max")
-    )
-    return basic.join(found, "label")
+def quantiles_by_class(df: DataFrame, label: str, values: Sequence[str], probabilities: Mapping[str, float], **tuning: int) -> DataFrame:
+    """``measure, label, n, mean, max`` and exact quantiles of several values per class.
+
+    All values share each scan, as rows of (measure, value).
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value")) for v in values]))
+    long = df.select(F.col(label).cast("int").alias("label"), pairs)
+    quantiles = exact_quantiles(long, "value", list(probabilities.values()), by=["measure", "label"], **tuning)
+    rows = [(*group, *found) for group, found in quantiles.items()]
+    names = ", ".join(f"{n} double" for n in probabilities)
+    found = df.sparkSession.createDataFrame(rows, f"measure string, label int, {names}")
+    basic = long.groupBy("measure", "label").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max"))
+    return basic.join(found, ["measure", "label"])
 
 
 def conditional_quantile(df: DataFrame, value: str, probability: float, where: Column, **tuning: int) -> float | None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as X
-from riskloom.operators.ordered import ROWS_PER_KEY, null_safe, previous_row, split_hot
+from riskloom.operators.ordered import ROWS_PER_KEY, hot_key_hashes, null_safe, previous_row, split_hot
 
 # A sliding frame re-adds its rows for every row, so its cost per card grows with the
 # square of the rows inside the longest window; dense cards go to the cell plan early.
@@ -40,7 +40,9 @@ def rolling_past(
     null, null; a single row gives a null deviation.  Rows at the same instant never see
     each other.
     """
-    cold, hot = split_hot(df, [card], limit, hot_keys)
+    if hot_keys is None:
+        hot_keys = hot_key_hashes(df, [card], limit)
+    cold, hot = split_hot(df, [card], hot_keys)
     parts = []
     if cold is not None:
         parts.append(_sliding(cold, card, epoch, amount, windows, prefix))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom import settings as S
 from riskloom.functions import scalar as X
-from riskloom.operators.metrics import ranking_summary, recall_at_fraction_by
+from riskloom.operators.metrics import curve_summary, recall_at_fraction_by, score_curve
 from riskloom.operators.ordered import ROWS_PER_KEY, null_safe
 from riskloom.operators.profile import top_by_volume
 from riskloom.operators.selection import exact_quantiles
@@ -33,8 +33,9 @@ def segment_rows(df: DataFrame, category: str, night: str, amount: str, age: str
 
 def segment_metrics(rows: DataFrame, label: str, score: str, tie: str, limit: int = ROWS_PER_KEY) -> DataFrame:
     """``segment_type, segment, n, n_pos, pr_auc, recall_at_1pct``; small segments get null metrics."""
-    summary = ranking_summary(rows, label, score, KEYS, limit)
-    recall = recall_at_fraction_by(rows, label, score, tie, KEYS, S.TOP_FRACTION, limit)
+    curve = score_curve(rows, label, score, KEYS, limit)
+    summary = curve_summary(curve, KEYS)
+    recall = recall_at_fraction_by(rows, curve, label, score, tie, KEYS, S.TOP_FRACTION, limit)
     enough = (F.col("n") >= S.SEGMENT_MIN_ROWS) & (F.col("n_pos") >= S.SEGMENT_MIN_POSITIVES)
     return null_safe(summary, recall, KEYS).select(
         *KEYS, "n", "n_pos", F.when(enough, F.col("pr_auc")).alias("pr_auc"),

@@ -54,7 +54,7 @@ def select_ranks(
     (classes, splits, tied scores): they become literals of the histogram expression.
     """
     by = list(by)
-    data = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    data = df.select(*by, F.col(value).alias("_v"))
     stats = data.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     heads = stats.limit(MAX_GROUPS + 1).collect()
     if len(heads) > MAX_GROUPS:
@@ -99,11 +99,11 @@ def _narrow(data: DataFrame, by: list[str], ranges: list[_Range], bins: int | No
     # One plain interval over all ranges reaches the parquet scan as a pushed filter.
     low, high = min(r.low for r in ranges), max(r.high for r in ranges)
     tagged = data.filter(F.col("_v").between(F.lit(low), F.lit(high))).withColumn("_range", range_id)
-    tagged = tagged.withColumn("_bin", bin_id if bins else F.col("_v")).filter(F.col("_range").isNotNull())
-    counted = (
-        tagged.groupBy("_range", "_bin").agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-        .orderBy("_range", "_bin").collect()
-    )
+    tagged = tagged.withColumn("_bin", bin_id if bins else F.when(F.col("_range").isNotNull(), F.col("_v")))
+    # Rows outside every range form one null group, dropped below.  As a filter the test would
+    # be pushed to the scan, with the value's whole expression copied into every range.
+    counted = tagged.groupBy("_range", "_bin").agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    counted = sorted((r for r in counted.collect() if r["_range"] is not None), key=lambda r: (r["_range"], r["_bin"]))
     narrowed: list[_Range] = []
     below = {i: r.below for i, r in enumerate(ranges)}
     for row in counted:

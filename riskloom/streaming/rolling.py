@@ -3,7 +3,7 @@
 Each micro-batch joins the recent history of its own cards and runs the same operator as
 the batch plan, so training and serving cannot differ, and a card that dominates the
 stream is split like any hot key instead of growing one state entry in one task.  History
-is a table partitioned by day: a batch reads the longest window before its first event.
+is a table by day: a batch reads only the days its longest window reaches.
 Late events also re-emit the transactions whose windows they fall in, as new revisions.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.rolling import ROWS_PER_CARD, rolling_past, statistic_names
-from riskloom.streaming.runs import BatchTable, run_batches
+from riskloom.streaming.runs import BatchTable, DayHistory, run_batches
 
 
 class RollingStream:
@@ -26,9 +26,8 @@ class RollingStream:
         self, spark: SparkSession, path: str, windows: Mapping[str, int], ticks_per_day: int = 86_400, limit: int = ROWS_PER_CARD
     ):
         self.windows, self.ticks_per_day, self.limit, self.path = dict(windows), ticks_per_day, limit, path
-        columns = [T.StructField("tx_id", T.LongType()), T.StructField("card", T.LongType()),
-                   T.StructField("us", T.LongType()), T.StructField("amt", T.DoubleType()), T.StructField("day", T.LongType())]
-        self.history = BatchTable(spark, f"{path}/history", T.StructType(columns), partition="day")
+        columns = {"tx_id": T.LongType(), "card": T.LongType(), "us": T.LongType(), "amt": T.DoubleType()}
+        self.history = DayHistory(spark, f"{path}/history", T.StructType([T.StructField(n, t) for n, t in columns.items()]))
         self.features = BatchTable(spark, f"{path}/features")
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
@@ -47,11 +46,11 @@ class RollingStream:
     def _emit(self, new: DataFrame, first: int, last: int, batch_id: int) -> DataFrame:
         longest = max(self.windows.values())
         rows = new.drop("day").withColumn("_new", F.lit(1.0))
-        known = self.history.read(before=batch_id)
+        days = ((first - longest) // self.ticks_per_day, (last + longest) // self.ticks_per_day)
+        known = self.history.read(*days, before=batch_id)
         late = False
         if known is not None:
-            days = F.col("day").between((first - longest) // self.ticks_per_day, (last + longest) // self.ticks_per_day)
-            near = known.filter(days & F.col("us").between(first - longest, last + longest))
+            near = known.filter(F.col("us").between(first - longest, last + longest))
             own = near.join(new.select("card").distinct(), "card", "left_semi")
             rows = rows.unionByName(own.select("tx_id", "card", "us", "amt", F.lit(None).cast("double").alias("_new")))
             late = not own.filter(F.col("us") > first).isEmpty()

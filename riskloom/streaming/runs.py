@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,31 +40,47 @@ class BatchTable:
     A retried batch overwrites its own folder, so a restart neither loses nor repeats rows.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None, partition: str | None = None):
-        self.spark, self.path, self.schema, self.partition = spark, path, schema, partition
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        writer = df.write.mode("overwrite")
-        if self.partition:
-            writer = writer.partitionBy(self.partition)
-        writer.parquet(f"{self.path}/batch={batch_id}")
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """All batches, or those before one; None while nothing is written."""
-        reader = self.spark.read.option("basePath", self.path)
-        if self.schema is not None:
-            fields = list(self.schema.fields) + [T.StructField("batch", T.LongType())]
-            reader = reader.schema(T.StructType(fields))
-        try:
-            df = reader.parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        return df if before is None else df.filter(F.col("batch") < before)
+        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.option("basePath", self.path).parquet(self.path)
 
     def latest(self, *keys: str) -> DataFrame:
         """The newest version of each key."""
         df = self.read()
         values = [c for c in df.columns if c not in keys and c != "batch"]
         return df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v")).select(*keys, "_v.*")
+
+
+class DayHistory:
+    """Rows by ``day`` and micro-batch, read a few days at a time.
+
+    Only the folders of the wanted days are listed, so a read does not slow down as the
+    history grows.  A retried batch replaces just its own (day, batch) folders.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path = spark, path
+        self.schema = T.StructType([*schema.fields, T.StructField("day", T.LongType()), T.StructField("batch", T.LongType())])
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("day", "batch").parquet(self.path)
+
+    def read(self, first_day: int, last_day: int, before: int) -> DataFrame | None:
+        """Rows of the given days from earlier batches; None when no such folder exists."""
+        files = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        folders = []
+        for day in range(first_day, last_day + 1):
+            folder = files.Path(f"{self.path}/day={day}")
+            if folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+                folders.append(folder.toString())
+        if not folders:
+            return None
+        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return reader.parquet(*folders).filter(F.col("batch") < before)
