@@ -125,9 +125,8 @@ SELECT CAST(label AS BIGINT) AS label, bin, n, ROUND(n/(SUM(n) OVER (PARTITION B
 @query("agg_histogram", f"WITH {TX_EVENTS_SQL}, {histogram_sql('amt', LOG_LOW, LOG_HIGH, True)}")
 def agg_histogram(spark, sf):
     tx = tx_events(spark, sf)
-    low = tx.agg(F.greatest(F.min("amt"), F.lit(0.5)).alias("v")).scalar()
-    high = tx.agg(F.max("amt").alias("v")).scalar()
-    out = profile.histogram(tx, "label", "amt", BINS, low, high, log=True)
+    span = tx.agg(F.greatest(F.min("amt"), F.lit(0.5)).alias("low"), F.max("amt").alias("high")).first()
+    out = profile.histogram(tx, "label", "amt", BINS, span.low, span.high, log=True)
     return rounded(as_long(out, "label", "bin"), density=6)
 
 
@@ -139,7 +138,7 @@ def agg_histogram_distance(spark, sf):
     from riskloom.operators.selection import exact_quantiles
     tx = with_distance(tx_events(spark, sf))
     p99 = max(q[0] for q in exact_quantiles(tx, "distance_km", [0.99], by=["label"]).values())
-    out = profile.histogram(tx, "label", "distance_km", BINS, F.lit(0.0), F.lit(p99))
+    out = profile.histogram(tx, "label", "distance_km", BINS, 0.0, p99)
     return rounded(as_long(out, "label", "bin"), density=6)
 
 

@@ -42,16 +42,18 @@ def amount_vs_past_mean(df: DataFrame, key: str, amount: str, order: Sequence[Co
 def apply_lists(df: DataFrame, card: str, deny: DataFrame, allow: DataFrame, band: Column) -> DataFrame:
     """Denied cards are blocked, allowed cards approved, all others follow the model band.
 
-    Lists are one column of cards.  They are kept as joins without hints: their size is
-    not bounded here, and Spark broadcasts them by measured size or splits skewed cards.
+    Lists are one column of cards, checked in one pass over the transactions.  The joins
+    carry no hints: a list's size is not bounded here, so Spark broadcasts by measured
+    size and otherwise splits the rows of a dominant card.
     """
-    denied = deny.select(F.col(deny.columns[0]).alias(card)).distinct()
-    allowed = allow.select(F.col(allow.columns[0]).alias(card)).distinct()
-    blocked = df.join(denied, card, "left_semi").withColumns({"decision": F.lit("block"), "rule": F.lit("denylist")})
-    rest = df.join(denied, card, "left_anti")
-    approved = rest.join(allowed, card, "left_semi").withColumns({"decision": F.lit("approve"), "rule": F.lit("allowlist")})
-    banded = rest.join(allowed, card, "left_anti").withColumns({"decision": band, "rule": F.lit("model")})
-    return blocked.unionByName(approved).unionByName(banded)
+
+    def flagged(cards: DataFrame, name: str) -> DataFrame:
+        return cards.select(F.col(cards.columns[0]).alias(card)).distinct().withColumn(name, F.lit(True))
+
+    marked = df.join(flagged(deny, "_deny"), card, "left").join(flagged(allow, "_allow"), card, "left")
+    rule = F.when(F.col("_deny"), "denylist").when(F.col("_allow"), "allowlist").otherwise("model")
+    decision = F.when(F.col("_deny"), "block").when(F.col("_allow"), "approve").otherwise(band)
+    return marked.withColumns({"decision": decision, "rule": rule}).drop("_deny", "_allow")
 
 
 def confirmed_labels(
@@ -78,9 +80,9 @@ def reason_sentences(contributions: DataFrame, tx_id: str, templates: DataFrame,
     """Strongest contributions of each row as plain sentences.
 
     ``contributions``: (tx_id, feature, value, contribution); ``templates``: (feature,
-    template with one %s), one row per feature.
+    template with one %s), one row per model feature and so broadcast.
     """
-    ranked = contributions.join(templates, "feature").groupBy(tx_id).agg(
+    ranked = contributions.join(F.broadcast(templates), "feature").groupBy(tx_id).agg(
         # A row has at most one entry per feature.
         F.array_sort(F.collect_list(F.struct(-F.abs("contribution"), "feature", "template", "value"))).alias("_r")
     )

@@ -31,13 +31,18 @@ def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), l
     )
 
 
-def _with_totals(curve: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add per-group rows and positives; groups are segments or versions, so few."""
-    totals = [F.sum("n").alias("_n"), F.sum("pos").alias("_pos")]
+def _with_totals(curve: DataFrame, df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
+    """Add rows and positives per group, counted on the rows themselves: no shuffle by score.
+
+    Groups are segments or versions, so few.
+    """
+    totals = F.struct(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(label), F.lit(0)).cast("bigint").alias("pos")).alias("_t")
+    scored = df.filter(F.col(score).isNotNull())
     if by:
-        return null_safe(curve, curve.groupBy(*by).agg(*totals), list(by), "inner")
-    one = curve.agg(*[t for t in totals])
-    return curve.withColumns({"_n": one.select("_n").scalar(), "_pos": one.select("_pos").scalar()})
+        with_t = null_safe(curve, scored.groupBy(*by).agg(totals), list(by), "inner")
+    else:
+        with_t = curve.withColumn("_t", scored.agg(totals).scalar())
+    return with_t.withColumns({"_n": F.col("_t.n"), "_pos": F.col("_t.pos")}).drop("_t")
 
 
 def ranking_summary(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limit: int = ROWS_PER_KEY) -> DataFrame:
@@ -63,7 +68,7 @@ def curve_summary(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def pr_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limit: int = ROWS_PER_KEY) -> DataFrame:
-    curve = _with_totals(score_curve(df, label, score, by, limit), by)
+    curve = _with_totals(score_curve(df, label, score, by, limit), df, label, score, by)
     return curve.select(
         *by, "threshold", (F.col("cum_pos") / F.col("cum_n")).alias("precision"),
         F.when(F.col("_pos") > 0, F.col("cum_pos") / F.col("_pos")).alias("recall"),
@@ -71,7 +76,7 @@ def pr_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limi
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limit: int = ROWS_PER_KEY) -> DataFrame:
-    curve = _with_totals(score_curve(df, label, score, by, limit), by)
+    curve = _with_totals(score_curve(df, label, score, by, limit), df, label, score, by)
     negatives = F.col("_n") - F.col("_pos")
     return curve.select(
         *by, "threshold",
@@ -82,7 +87,7 @@ def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), lim
 
 def best_f1_threshold(df: DataFrame, label: str, score: str, limit: int = ROWS_PER_KEY) -> DataFrame:
     """One row ``(threshold, f1)``: highest F1, lowest threshold on ties, (0.5, 0) without rows."""
-    curve = _with_totals(score_curve(df, label, score, (), limit), ())
+    curve = _with_totals(score_curve(df, label, score, (), limit), df, label, score, ())
     f1 = F.lit(2.0) * F.col("cum_pos") / (F.col("cum_n") + F.col("_pos"))
     best = curve.withColumn("f1", f1).agg(
         F.max_by(F.struct("threshold", "f1"), F.struct(F.col("f1"), -F.col("threshold"))).alias("b")
@@ -159,7 +164,7 @@ def recall_at_fraction_by(
     """
     by = list(by)
     k = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(float(fraction))))
-    cut = _with_totals(curve, by).withColumn("_k", k).filter(
+    cut = _with_totals(curve, df, label, score, by).withColumn("_k", k).filter(
         (F.col("cum_n") >= F.col("_k")) & (F.col("cum_n") - F.col("n") < F.col("_k"))
     ).select(
         *by, "_pos", F.col("threshold").alias("_cut"), (F.col("cum_pos") - F.col("pos")).alias("_above"),

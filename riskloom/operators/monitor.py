@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.operators.metrics import confusion_at
-from riskloom.operators.ordered import ROWS_PER_KEY, prior_totals
+from riskloom.operators.ordered import ROWS_PER_KEY, many_valued_keys, prior_totals
 from riskloom.operators.selection import exact_quantiles
 
 _EMPTY_SHARE = 1e-6
@@ -45,14 +45,18 @@ def psi_drift(df: DataFrame, feature: str, is_baseline: Column, period: Column,
 
 def ks_drift(df: DataFrame, feature: str, is_baseline: Column, limit: int = ROWS_PER_KEY) -> DataFrame:
     """Largest gap between the two empirical distributions, over distinct values."""
-    values = df.filter(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("v")).agg(
+    known = df.filter(F.col(feature).isNotNull())
+    values = known.groupBy(F.col(feature).alias("v")).agg(
         F.sum(is_baseline.cast("bigint")).alias("b"), F.sum((~is_baseline).cast("bigint")).alias("c")
     )
-    running = prior_totals(values, [], [F.col("v")], {"cum_b": F.col("b"), "cum_c": F.col("c")}, inclusive=True, limit=limit)
-    one = values.agg(F.sum("b").alias("nb"), F.sum("c").alias("nc"))
-    gap = F.abs(F.col("cum_b") / F.col("_nb") - F.col("cum_c") / F.col("_nc"))
-    return running.withColumns({"_nb": one.select("nb").scalar(), "_nc": one.select("nc").scalar()}).agg(
-        F.max(gap).alias("ks"), F.max("_nb").alias("n_baseline"), F.max("_nc").alias("n_current")
+    running = prior_totals(values, [], [F.col("v")], {"cum_b": F.col("b"), "cum_c": F.col("c")}, inclusive=True,
+                           hot_keys=many_valued_keys(known, [], feature, limit))
+    totals = known.agg(F.struct(
+        F.sum(is_baseline.cast("bigint")).alias("b"), F.sum((~is_baseline).cast("bigint")).alias("c")
+    ).alias("t")).scalar()
+    gap = F.abs(F.col("cum_b") / F.col("_t.b") - F.col("cum_c") / F.col("_t.c"))
+    return running.withColumn("_t", totals).agg(
+        F.max(gap).alias("ks"), F.max("_t.b").alias("n_baseline"), F.max("_t.c").alias("n_current")
     )
 
 
@@ -91,7 +95,8 @@ def fairness_by_group(
         too_low = F.col(rate) * allowed < F.col(median)
         return F.coalesce(too_high | too_low, F.lit(False))
 
-    return rates.join(middle, "dimension").select(
+    # One row per dimension.
+    return rates.join(F.broadcast(middle), "dimension").select(
         "dimension", "value", "n", "fpr", F.col("tpr").alias("recall"),
         off("fpr", "_fpr").alias("fpr_flag"), off("tpr", "_tpr").alias("recall_flag"),
     )
@@ -129,4 +134,5 @@ def service_levels(df: DataFrame, latency: str, clock: str, shift: Column, proba
     levels = per_second.groupBy("shift").agg(
         F.sum("n").alias("n"), F.max("n").alias("peak_per_second"), (F.sum("t") / F.sum("m")).alias("mean_latency")
     )
-    return levels.join(tails, "shift", "left")
+    # One row per shift.
+    return levels.join(F.broadcast(tails), "shift", "left")

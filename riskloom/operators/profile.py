@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,7 +100,8 @@ def quantiles_by_class(df: DataFrame, label: str, values: Sequence[str], probabi
     names = ", ".join(f"{n} double" for n in probabilities)
     found = df.sparkSession.createDataFrame(rows, f"measure string, label int, {names}")
     basic = long.groupBy("measure", "label").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max"))
-    return basic.join(found, ["measure", "label"])
+    # One row per measure and class.
+    return basic.join(F.broadcast(found), ["measure", "label"])
 
 
 def conditional_quantile(df: DataFrame, value: str, probability: float, where: Column, **tuning: int) -> float | None:
@@ -108,21 +110,20 @@ def conditional_quantile(df: DataFrame, value: str, probability: float, where: C
     return found[()][0] if () in found else None
 
 
-def histogram(df: DataFrame, label: str, value: str, bins: int, low: Column, high: Column, log: bool = False) -> DataFrame:
+def histogram(df: DataFrame, label: str, value: str, bins: int, low: float, high: float, log: bool = False) -> DataFrame:
     """Counts and density per class over equal-width bins, linear or in the logarithm."""
     v = F.log(F.col(value)) if log else F.col(value)
-    lo, hi = (F.log(low), F.log(high)) if log else (low, high)
-    binned = df.withColumns({"_lo": lo, "_hi": hi}).select(
-        F.col(label).cast("int").alias("label"), F.col("_lo"), F.col("_hi"),
-        X.linear_bin(v, F.col("_lo"), F.col("_hi"), bins).alias("bin"),
-    ).filter(F.col("bin").isNotNull())
-    counts = binned.groupBy("label", "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
+    lo, hi = (math.log(low), math.log(high)) if log else (float(low), float(high))
+    counts = (
+        df.select(F.col(label).cast("int").alias("label"), X.linear_bin(v, F.lit(lo), F.lit(hi), bins).alias("bin"))
+        .groupBy("label", "bin").agg(F.count(F.lit(1)).alias("n")).filter(F.col("bin").isNotNull())
+    )
     # classes x bins rows from here on
     totals = counts.groupBy("label").agg(F.sum("n").alias("_total"))
-    step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    left, right = F.col("_lo") + F.col("bin") * step, F.col("_lo") + (F.col("bin") + 1) * step
-    width = F.exp(right) - F.exp(left) if log else step
-    return counts.join(totals, "label").select("label", "bin", "n", (F.col("n") / (F.col("_total") * width)).alias("density"))
+    step = (hi - lo) / bins
+    left, right = F.lit(lo) + F.col("bin") * step, F.lit(lo) + (F.col("bin") + 1) * step
+    width = F.exp(right) - F.exp(left) if log else F.lit(step)
+    return counts.join(F.broadcast(totals), "label").select("label", "bin", "n", (F.col("n") / (F.col("_total") * width)).alias("density"))
 
 
 def rate_spread(rates: DataFrame) -> DataFrame:

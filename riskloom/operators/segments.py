@@ -13,6 +13,7 @@ from riskloom.operators.metrics import curve_summary, recall_at_fraction_by, sco
 from riskloom.operators.ordered import ROWS_PER_KEY, null_safe
 from riskloom.operators.profile import top_by_volume
 from riskloom.operators.selection import exact_quantiles
+from riskloom.session import materialize
 
 KEYS = ["segment_type", "segment"]
 
@@ -33,7 +34,8 @@ def segment_rows(df: DataFrame, category: str, night: str, amount: str, age: str
 
 def segment_metrics(rows: DataFrame, label: str, score: str, tie: str, limit: int = ROWS_PER_KEY) -> DataFrame:
     """``segment_type, segment, n, n_pos, pr_auc, recall_at_1pct``; small segments get null metrics."""
-    curve = score_curve(rows, label, score, KEYS, limit)
+    # Read three times below: written once instead of sorting the scores three times.
+    curve = materialize(score_curve(rows, label, score, KEYS, limit), "segment_curve")
     summary = curve_summary(curve, KEYS)
     recall = recall_at_fraction_by(rows, curve, label, score, tie, KEYS, S.TOP_FRACTION, limit)
     enough = (F.col("n") >= S.SEGMENT_MIN_ROWS) & (F.col("n_pos") >= S.SEGMENT_MIN_POSITIVES)
