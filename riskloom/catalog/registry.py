@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +42,13 @@ def as_long(df: DataFrame, *columns: str) -> DataFrame:
 
 
 _MADE: dict[tuple, object] = {}
+_LOCK = RLock()
 
 
 def once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]) -> object:
     """Make a table or model once per application and data set."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
-    if key not in _MADE:
-        _MADE[key] = make()
-    return _MADE[key]
+    with _LOCK:
+        if key not in _MADE:
+            _MADE[key] = make()
+        return _MADE[key]

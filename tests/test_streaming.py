@@ -17,8 +17,7 @@ def files(df, path, parts):
         df.filter(part).coalesce(1).write.mode("append").parquet(path)
 
 
-@pytest.mark.parametrize("order", ["in time", "shuffled"])
-@pytest.mark.parametrize("limit", [10**6, 20])
+@pytest.mark.parametrize("order, limit", [("in time", 10**6), ("shuffled", 10**6), ("shuffled", 20)])
 def test_rolling_stream_equals_batch(spark, tmp_path, order, limit):
     pdf = skewed(300).rename(columns={"tx": "tx_id", "t": "us"})
     df = spark.createDataFrame(pdf).select("tx_id", "card", "us", "amt")
