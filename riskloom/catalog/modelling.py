@@ -6,10 +6,12 @@ model is trained once per session and data set and shared by these jobs.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
-from riskloom.catalog.bindings import ORDER_WINDOWS, TX_EVENTS_SQL, staged_orders, tx_events
+from riskloom.catalog.bindings import ORDER_WINDOWS, TX_EVENTS_SQL, TX_ORDERS_SQL, staged_orders, tx_events
+from riskloom.catalog.features import GEO_SQL, rolling_sql
 from riskloom.catalog.registry import once, query, rounded
 from riskloom.functions import scalar as X
 from riskloom.models import calibrate, explain, score, train
@@ -58,12 +60,14 @@ def topk_importance(spark, sf):
     return train.feature_importance(trained(spark, sf))
 
 
-@query("assemble_features")
+@query("assemble_features", f"""WITH {TX_ORDERS_SQL}, {GEO_SQL}, roll AS ({rolling_sql(ORDER_WINDOWS, 3)})
+SELECT tx_id, CAST(27 AS BIGINT) AS n_features, CAST((s IS NULL)::INT + (km IS NULL)::INT + (kmh IS NULL)::INT
+ + {' + '.join(f'(rolling_amt_{x}_{w} IS NULL)::INT' for w in ORDER_WINDOWS for x in ('mean', 'std'))} AS BIGINT) AS n_missing FROM geo JOIN roll USING (tx_id)""")
 def assemble_features(spark, sf):
     rows = train.assembler().transform(train.model_input(curated(spark, sf)))
-    from pyspark.ml.functions import vector_to_array
     values = vector_to_array(train.VECTOR)
-    return rows.select("tx_id", F.size(values).alias("n_features"), F.size(F.filter(values, lambda v: v == train.MISSING)).alias("n_missing"))
+    missing = F.size(F.filter(values, lambda v: v == train.MISSING))
+    return rows.select("tx_id", F.size(values).cast("bigint").alias("n_features"), missing.cast("bigint").alias("n_missing"))
 
 
 @query("model_roundtrip")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as X
@@ -98,41 +98,42 @@ def _cells(df: DataFrame, card: str, epoch: str, amount: str, windows: Mapping[s
     def through(part: str, cells_back: int) -> Column:
         return F.coalesce(F.sum(part).over(by_cell.rangeBetween(Window.unboundedPreceding, -cells_back)), F.lit(0))
 
+    middle_names = [f"_mid_{p}_{label}" for label in windows for p in _PARTS]
     middle = cells.select(
-        card, "_cell",
+        card, "_cell", F.lit(-1).alias("_ask"),
         *[
             (through(p, 1) - through(p, width // cell)).cast("bigint" if p == "n" else "double").alias(f"_mid_{p}_{label}")
             for label, width in windows.items() for p in _PARTS
         ],
     )
 
-    # The opening cell of each window is shifted forward onto the row's own cell.
-    asks = moments.withColumns({"_ask": F.lit(1), "_window": F.lit(None).cast("string"), "_at": F.col(epoch)})
-    shifted = moments.withColumn(
-        "_w", F.explode(F.array(*[F.struct(F.lit(label).alias("label"), F.lit(width).cast("bigint").alias("width")) for label, width in windows.items()]))
-    ).select(
-        card, "_centre", *_PARTS,
-        (F.col("_cell") + F.col("_w.width") / F.lit(cell)).cast("bigint").alias("_cell"),
-        F.lit(0).alias("_ask"), F.col("_w.label").alias("_window"),
-        (F.col(epoch) + F.col("_w.width")).alias("_at"), F.col(epoch),
-    )
-    inside = asks.unionByName(shifted)
-    backwards = (
-        Window.partitionBy(card, "_cell").orderBy(F.col("_at").desc(), F.col("_ask")).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    forwards = (
-        Window.partitionBy(card, "_cell").orderBy("_ask", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    # Inside a cell three kinds of rows meet, told apart by _ask: its whole-cell sums (-1), the
+    # opening cells of the windows shifted forward onto it (0), and its own instants (1).
+    asks = moments.withColumns({"_ask": F.lit(1), "_at": F.col(epoch)})
+    steps = F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(width).cast("bigint").alias("width"), F.lit(width // cell).cast("bigint").alias("cells"))
+        for label, width in windows.items()
+    ])
+    shifted = moments.withColumn("_w", F.explode(steps)).select(
+        card, *_PARTS, (F.col("_cell") + F.col("_w.cells")).alias("_cell"), F.lit(0).alias("_ask"),
+        F.col("_w.label").alias("_window"), (F.col(epoch) + F.col("_w.width")).alias("_at"),
     )
+    inside = asks.unionByName(shifted, allowMissingColumns=True).unionByName(middle, allowMissingColumns=True)
+    in_cell = Window.partitionBy(card, "_cell")
+    forwards = in_cell.orderBy("_ask", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    backwards = in_cell.orderBy(F.col("_at").desc(), F.col("_ask")).rowsBetween(Window.unboundedPreceding, 0)
+
+    def total(condition: Column, value: str, frame: WindowSpec) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(value))).over(frame), F.lit(0))
+
     edge: dict[str, Column] = {}
     for p in _PARTS:
-        # Shifted rows (_ask = 0) sort ahead; only real rows of the cell count forwards.
-        edge[f"_head_{p}"] = F.coalesce(F.sum(F.when(F.col("_ask") == 1, F.col(p))).over(forwards), F.lit(0))
+        edge[f"_head_{p}"] = total(F.col("_ask") == 1, p, forwards)
         for label in windows:
-            edge[f"_tail_{p}_{label}"] = F.coalesce(
-                F.sum(F.when(F.col("_window") == label, F.col(p))).over(backwards), F.lit(0)
-            )
-    edges = inside.withColumns(edge).filter(F.col("_ask") == 1)
-    whole = null_safe(edges, middle, [card, "_cell"])
+            edge[f"_tail_{p}_{label}"] = total(F.col("_window") == label, p, backwards)
+    for name in middle_names:
+        edge[name] = total(F.col("_ask") == -1, name, forwards)
+    whole = inside.withColumns(edge).filter(F.col("_ask") == 1)
 
     out = [F.col(card), F.col(epoch)]
     for label in windows:
