@@ -6,13 +6,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskloom.functions import scalar as X
 
 
+def _shuffled(df: DataFrame, tx_id: str, seed: int) -> Column:
+    if isinstance(df.schema[tx_id].dataType, StringType):
+        return F.xxhash64(tx_id, F.lit(seed))
+    return X.hash_order(F.col(tx_id), seed)
+
+
 def sample_n(df: DataFrame, tx_id: str, n: int, seed: int = 42) -> DataFrame:
     """n rows without replacement: the first n in a seeded hash order."""
-    return df.orderBy(X.hash_order(F.col(tx_id), seed), tx_id).limit(n)
+    return df.orderBy(_shuffled(df, tx_id, seed), tx_id).limit(n)
 
 
 def sample_per_class(df: DataFrame, tx_id: str, label: str, sizes: Mapping[int, int], seed: int = 42) -> DataFrame:

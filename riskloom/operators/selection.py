@@ -3,7 +3,8 @@
 Each pass counts the rows of the still open value ranges in equal-width bins (map-side
 combined, at most bins x ranges result rows), then narrows every range to the bin that
 holds the wanted rank.  Bins report their own smallest and largest value, so the next
-range is exact.  When few rows are left, their distinct values finish the search.
+range is exact.  When few rows are left, their distinct values finish the search.  Numbers
+use equal-width bins, text its leading characters.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,17 +87,24 @@ def select_ranks(
         open_ranges = _narrow(data, by, still_open, None if fine else bins)
 
 
+def _bin(r: _Range, bins: int) -> Column:
+    """A bin number or name that never falls as the value rises."""
+    if isinstance(r.low, str):
+        # Text ids: two characters more than the range has in common.
+        return F.substring("_v", 1, len(commonprefix([r.low, r.high])) + 2)
+    share = (F.col("_v") - F.lit(r.low)).cast("double") / F.lit(float(r.high - r.low))
+    return F.least(F.floor(share * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+
+
 def _narrow(data: DataFrame, by: list[str], ranges: list[_Range], bins: int | None) -> list[_Range]:
-    range_id, bin_id = F.lit(None).cast("int"), F.lit(None).cast("int")
+    range_id, bin_id = F.lit(None).cast("int"), F.lit(None)
     for i, r in enumerate(ranges):
         inside = F.col("_v").between(F.lit(r.low), F.lit(r.high))
         for column, key in zip(by, r.group):
             inside = inside & F.col(column).eqNullSafe(F.lit(key))
         range_id = F.when(inside, F.lit(i)).otherwise(range_id)
         if bins:
-            share = (F.col("_v") - F.lit(r.low)).cast("double") / F.lit(float(r.high - r.low))
-            position = F.least(F.floor(share * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
-            bin_id = F.when(inside, position).otherwise(bin_id)
+            bin_id = F.when(inside, _bin(r, bins)).otherwise(bin_id)
     # One plain interval over all ranges reaches the parquet scan as a pushed filter.
     low, high = min(r.low for r in ranges), max(r.high for r in ranges)
     tagged = data.filter(F.col("_v").between(F.lit(low), F.lit(high))).withColumn("_range", range_id)

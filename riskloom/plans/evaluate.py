@@ -98,7 +98,7 @@ def evaluate(
     )
 
     # Written out: a top-n sample read twice must be the same rows both times.
-    sample = materialize(sampling.sample_n(test.withColumn("_order", F.xxhash64("tx_id")), "_order", sample_rows).drop("_order"), "sample")
+    sample = materialize(sampling.sample_n(test, "tx_id", sample_rows), "sample")
     explained = explain_rows(sample, bundle.model, features=bundle.features)
     cases = sampling.top_per_group(sample, label, [F.col(score).desc(), F.col("tx_id")], 3).select("tx_id", label, score, "rank")
     return Evaluation(

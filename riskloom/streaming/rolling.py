@@ -13,7 +13,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom.operators.rolling import ROWS_PER_CARD, rolling_past, statistic_names
 from riskloom.streaming.runs import BatchTable, DayHistory, run_batches
@@ -26,8 +25,7 @@ class RollingStream:
         self, spark: SparkSession, path: str, windows: Mapping[str, int], ticks_per_day: int = 86_400, limit: int = ROWS_PER_CARD
     ):
         self.windows, self.ticks_per_day, self.limit, self.path = dict(windows), ticks_per_day, limit, path
-        columns = {"tx_id": T.LongType(), "card": T.LongType(), "us": T.LongType(), "amt": T.DoubleType()}
-        self.history = DayHistory(spark, f"{path}/history", T.StructType([T.StructField(n, t) for n, t in columns.items()]))
+        self.history = DayHistory(spark, f"{path}/history")
         self.features = BatchTable(spark, f"{path}/features")
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
@@ -47,7 +45,7 @@ class RollingStream:
         longest = max(self.windows.values())
         rows = new.drop("day").withColumn("_new", F.lit(1.0))
         days = ((first - longest) // self.ticks_per_day, (last + longest) // self.ticks_per_day)
-        known = self.history.read(*days, before=batch_id)
+        known = self.history.read(new.drop("day").schema, *days, before=batch_id)
         late = False
         if known is not None:
             near = known.filter(F.col("us").between(first - longest, last + longest))

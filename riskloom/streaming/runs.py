@@ -63,16 +63,15 @@ class DayHistory:
     history grows.  A retried batch replaces just its own (day, batch) folders.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self.schema = T.StructType([*schema.fields, T.StructField("day", T.LongType()), T.StructField("batch", T.LongType())])
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("day", "batch").parquet(self.path)
 
-    def read(self, first_day: int, last_day: int, before: int) -> DataFrame | None:
+    def read(self, schema: T.StructType, first_day: int, last_day: int, before: int) -> DataFrame | None:
         """Rows of the given days from earlier batches; None when no such folder exists."""
         files = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         folders = []
@@ -82,5 +81,6 @@ class DayHistory:
                 folders.append(folder.toString())
         if not folders:
             return None
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        keys = [T.StructField("day", T.LongType()), T.StructField("batch", T.LongType())]
+        reader = self.spark.read.schema(T.StructType([*schema.fields, *keys])).option("basePath", self.path)
         return reader.parquet(*folders).filter(F.col("batch") < before)

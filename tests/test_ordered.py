@@ -130,3 +130,25 @@ def test_cut_points_take_exactly_k_rows(spark, descending, finish):
     for k, cut in zip(ks, cuts):
         got = {r.tx for r in df.filter(cut.includes(F.col("v"), F.col("tx"))).select("tx").collect()}
         assert got == set(s.tx.head(k))
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_cut_points_with_text_ids(spark, descending):
+    pdf = skewed(300)
+    pdf["tx"] = [f"tx-{(i * 7919) % 300:04x}" for i in pdf.tx]
+    pdf["v"] = 1.5
+    df = spark.createDataFrame(pdf)
+    for finish in (20_000, 3):
+        cuts = selection.cut_points(df, "v", "tx", lambda n: [1, 120, 299], descending, finish_rows=finish)
+        for k, cut in zip([1, 120, 299], cuts):
+            got = {r.tx for r in df.filter(cut.includes(F.col("v"), F.col("tx"))).select("tx").collect()}
+            assert got == set(sorted(pdf.tx)[:k])
+
+
+def test_time_split_with_tied_borders(spark):
+    from riskloom.operators.split import temporal_split
+
+    df = spark.createDataFrame([(f"id{i:03d}", 5) for i in range(101)], "tx_id string, t long")
+    got = temporal_split(df, "t", "tx_id", finish_rows=3).toPandas().sort_values("tx_id")
+    assert got.split.tolist() == ["train"] * 70 + ["val"] * 15 + ["test"] * 16
+    assert temporal_split(df.limit(1), "t", "tx_id").first().split == "test"
