@@ -92,6 +92,16 @@ def score_batch(spark, sf):
     )
 
 
+@query("score_explained")
+def score_explained(spark, sf):
+    test = curated(spark, sf).filter(F.col("split") == "test")
+    out = score.score_explained(test, bundle(spark, sf))
+    return out.select(
+        "tx_id", "score_raw", "score_calibrated", F.col("decision_operating.is_fraud").alias("operating_fraud"),
+        F.col("decision_cost.is_fraud").alias("cost_fraud"), F.element_at("top", 1).getField("feature").alias("first_feature"), "base_value",
+    )
+
+
 @query("calibrate_platt")
 def calibrate_platt(spark, sf):
     tx = tx_events(spark, sf)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
@@ -34,33 +34,10 @@ class Forest:
     feature: np.ndarray
     threshold: np.ndarray
     value: np.ndarray
-    features: tuple[str, ...]
-
-    @property
-    def base(self) -> float:
-        return float(self.value[self.roots].sum())
-
-    def contributions(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros(x.shape)
-        rows = np.arange(len(x))
-        for root in self.roots:
-            at = np.full(len(x), root)
-            moving = rows[self.left[at] >= 0]
-            while len(moving):
-                node = at[moving]
-                split_on = self.feature[node]
-                goes_left = x[moving, split_on] <= self.threshold[node]
-                child = np.where(goes_left, self.left[node], self.right[node])
-                out[moving, split_on] += self.value[child] - self.value[node]
-                at[moving] = child
-                moving = moving[self.left[child] >= 0]
-        return out
-
-
-def load_forest(model: PipelineModel, features: Sequence[str] = S.FEATURE_COLUMNS) -> Forest:
-    """Read the node table that MLlib writes for a saved tree model (continuous features)."""
-    from pyspark.sql import SparkSession
 
+
+def load_forest(model: PipelineModel) -> Forest:
+    """Read the node table that MLlib writes for a saved tree model (continuous features)."""
     spark = SparkSession.active()
     trees = model.stages[-1]
     path = work_dir(spark, "trees")
@@ -80,22 +57,37 @@ def load_forest(model: PipelineModel, features: Sequence[str] = S.FEATURE_COLUMN
 
     return Forest(
         roots=offset.to_numpy(), left=child("leftChild"), right=child("rightChild"), feature=nodes.feature.to_numpy(),
-        threshold=nodes.threshold.fillna(0.0).to_numpy(), value=nodes.prediction.to_numpy() * weight, features=tuple(features),
+        threshold=nodes.threshold.fillna(0.0).to_numpy(), value=nodes.prediction.to_numpy() * weight,
     )
 
 
 def explain_rows(df: DataFrame, model: PipelineModel, key: str = "tx_id", features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
     """``key, base_value, contributions`` with one entry per feature, in feature order."""
-    forest = load_forest(model, features)
-    shared = df.sparkSession.sparkContext.broadcast(forest)
-    rows = model_input(df, features).select(key, *features)
+    forest = load_forest(model)
+    # Plain arrays and a local function: tasks need numpy and pandas only.
+    shared = df.sparkSession.sparkContext.broadcast(vars(forest))
+    columns = list(features)
+    rows = model_input(df, features).select(key, *columns)
     key_type = df.schema[key].dataType.simpleString()
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trees = shared.value
+        left, right, feature, threshold, value = (trees[n] for n in ("left", "right", "feature", "threshold", "value"))
+        base = float(value[trees["roots"]].sum())
         for batch in batches:
-            found = trees.contributions(batch[list(trees.features)].to_numpy(dtype=float))
-            yield pd.DataFrame({key: batch[key], "base_value": trees.base, "contributions": list(found)})
+            x = batch[columns].to_numpy(dtype=float)
+            found = np.zeros(x.shape)
+            for root in trees["roots"]:
+                at = np.full(len(x), root)
+                moving = np.flatnonzero(left[at] >= 0)
+                while len(moving):
+                    node = at[moving]
+                    split_on = feature[node]
+                    child = np.where(x[moving, split_on] <= threshold[node], left[node], right[node])
+                    found[moving, split_on] += value[child] - value[node]
+                    at[moving] = child
+                    moving = moving[left[child] >= 0]
+            yield pd.DataFrame({key: batch[key], "base_value": base, "contributions": list(found)})
 
     return rows.mapInPandas(attribute, f"{key} {key_type}, base_value double, contributions array<double>")
 

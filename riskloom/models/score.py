@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.models.calibrate import Calibrator, load_calibrator, save_calibrator
+from riskloom.models.explain import explain_rows, top_contributions
 from riskloom.models.train import raw_scores
 from riskloom.operators.metrics import ranking_summary
 from riskloom.sources.gate import gate_rows
@@ -71,6 +72,17 @@ def score_batch(df: DataFrame, bundle: Bundle) -> DataFrame:
     })
 
 
+def score_explained(df: DataFrame, bundle: Bundle, key: str = "tx_id", k: int = 5) -> DataFrame:
+    """One response per row: scores, both decisions with their thresholds, top contributions, base value."""
+    scored = score_batch(df, bundle).select(
+        key, "score_raw", "score_calibrated",
+        X.decision(F.col("score_raw"), bundle.operating_threshold).alias("decision_operating"),
+        X.decision(F.col("score_raw"), bundle.cost_threshold).alias("decision_cost"),
+    )
+    explained = explain_rows(df, bundle.model, key, bundle.features)
+    return scored.join(top_contributions(explained, df, key, bundle.features, k), key)
+
+
 def gate_and_score(df: DataFrame, bundle: Bundle, required: Sequence[str] = S.REQUIRED_FEATURES) -> tuple[DataFrame, DataFrame]:
     """``(scored rows, quarantined rows with a reason)``."""
     nullable = [c for c in bundle.features if c not in required]

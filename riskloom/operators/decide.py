@@ -11,6 +11,7 @@ from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.operators.ordered import ROWS_PER_KEY, global_rank, prior_totals
 from riskloom.operators.rolling import rolling_past
+from riskloom.session import broadcast_up_to
 
 
 def rate_limited(df: DataFrame, card: str, epoch: str, width: int, max_rows: int) -> DataFrame:
@@ -80,9 +81,9 @@ def reason_sentences(contributions: DataFrame, tx_id: str, templates: DataFrame,
     """Strongest contributions of each row as plain sentences.
 
     ``contributions``: (tx_id, feature, value, contribution); ``templates``: (feature,
-    template with one %s), one row per model feature and so broadcast.
+    template with one %s), normally one row per model feature.
     """
-    ranked = contributions.join(F.broadcast(templates), "feature").groupBy(tx_id).agg(
+    ranked = contributions.join(broadcast_up_to(templates, 10_000), "feature").groupBy(tx_id).agg(
         # A row has at most one entry per feature.
         F.array_sort(F.collect_list(F.struct(-F.abs("contribution"), "feature", "template", "value"))).alias("_r")
     )

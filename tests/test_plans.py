@@ -152,6 +152,13 @@ def test_contributions_add_up_to_the_logit(flow):
     assert all(e.direction == ("increases_fraud" if e.contribution >= 0 else "decreases_fraud") for e in top)
 
 
+def test_explained_response_shape(flow):
+    out = score.score_explained(flow["curated"].filter("split = 'test'"), flow["bundle"])
+    for r in out.collect():
+        assert len(r.top) == 5 and r.decision_cost.threshold == S.COST_THRESHOLD
+        assert r.decision_operating.is_fraud == (r.score_raw >= r.decision_operating.threshold)
+
+
 def test_missing_values_are_scored(flow):
     first = flow["curated"].filter(F.col("time_since_last_tx").isNull())
     scored = score.score_batch(first, flow["bundle"])
