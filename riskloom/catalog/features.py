@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
@@ -42,8 +41,8 @@ def off_border(df, windows):
     return df.withColumns({f"rolling_amt_mean_{w}": F.col(f"rolling_amt_mean_{w}") + F.lit(OFF_BORDER) for w in windows})
 
 
-def rolled(df, windows, digits: int = 4):
-    out = off_border(rolling.rolling_past(df, "card", "us", "amt", windows), windows)
+def rolled(df, windows, digits: int = 4, **limit):
+    out = off_border(rolling.rolling_past(df, "card", "us", "amt", windows, **limit), windows)
     names = [n for label in windows for n in rolling.statistic_names(label).values()]
     out = out.select("tx_id", *names)
     return rounded(out, **{n: digits for n in names if "_count_" not in n})
@@ -78,6 +77,12 @@ def win_rolling_past(spark, sf):
     return rolled(tx_events(spark, sf), EVENT_WINDOWS)
 
 
+@query("win_rolling_past_dense", f"WITH {TX_EVENTS_SQL} {rolling_sql(EVENT_WINDOWS)}")
+def win_rolling_past_dense(spark, sf):
+    """The plan for cards with too many rows for one task, forced by a low limit."""
+    return rolled(tx_events(spark, sf), EVENT_WINDOWS, limit=50)
+
+
 @query("win_rolling_past_ties", f"WITH {TX_ORDERS_SQL} {rolling_sql(ORDER_WINDOWS, 3)}")
 def win_rolling_past_ties(spark, sf):
     return rolled(tx_orders(spark, sf), ORDER_WINDOWS, 3)
@@ -102,14 +107,27 @@ SELECT tx_id, {haversine_sql('merch_lat', 'merch_long', 'plat', 'plon')} AS km,
 FROM (SELECT *, lag(merch_lat) OVER w AS plat, lag(merch_long) OVER w AS plon, lag(us) OVER w AS pus FROM tx WINDOW w AS (PARTITION BY card ORDER BY us, tx_id))))"""
 
 
-@query("win_consecutive_geo", f"""WITH {TX_EVENTS_SQL}, {GEO_SQL}
-SELECT tx_id, ROUND(km,4) AS dist_consecutive_km, ROUND(s,6) AS time_since_last_tx, ROUND(kmh,3) AS velocity_kmh FROM geo""")
-def win_consecutive_geo(spark, sf):
-    out = rolling.consecutive_features(tx_events(spark, sf), "card", "us", "tx_id", "merch_lat", "merch_long", X.MICROS)
+GEO_CHECK = f"""WITH {TX_EVENTS_SQL}, {GEO_SQL}
+SELECT tx_id, ROUND(km,4) AS dist_consecutive_km, ROUND(s,6) AS time_since_last_tx, ROUND(kmh,3) AS velocity_kmh FROM geo"""
+
+
+def moved(spark, sf, **limit):
+    out = rolling.consecutive_features(tx_events(spark, sf), "card", "us", "tx_id", "merch_lat", "merch_long", X.MICROS, **limit)
     out = out.select("tx_id", "dist_consecutive_km", "time_since_last_tx", "velocity_kmh")
     return rounded(out, dist_consecutive_km=4, time_since_last_tx=6, velocity_kmh=3)
 
 
+@query("win_consecutive_geo", GEO_CHECK)
+def win_consecutive_geo(spark, sf):
+    return moved(spark, sf)
+
+
+@query("win_consecutive_geo_dense", GEO_CHECK)
+def win_consecutive_geo_dense(spark, sf):
+    """The sliced plan, forced by a low limit."""
+    return moved(spark, sf, limit=50)
+
+
 @query("win_global_split", f"WITH {TX_ORDERS_SQL}, {SPLIT_SQL} SELECT tx_id, split FROM sp")
 def win_global_split(spark, sf):
     return temporal_split(staged_orders(spark, sf), "us", "tx_id").select("tx_id", "split")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
-from riskloom.catalog.bindings import DAY_MICROS, TX_EVENTS_SQL, TX_ORDERS_SQL, table, tx_events, tx_orders
+from riskloom.catalog.bindings import TX_EVENTS_SQL, TX_ORDERS_SQL, table, tx_events, tx_orders
 from riskloom.catalog.expressions import AGE, age_group_sql
 from riskloom.catalog.features import SPLIT_SQL, card_order
 from riskloom.catalog.registry import as_long, query, rounded
@@ -188,16 +188,29 @@ def asof_label_delay(spark, sf):
     return decide.confirmed_labels(tx, labels, "tx_id", "ts").select("tx_id", "status", "confirmed")
 
 
-@query("win_queue_rank", f"""WITH {TX_ORDERS_SQL}
+QUEUE_SQL = f"""WITH {TX_ORDERS_SQL}
 SELECT tx_id, state AS analyst, row_number() OVER (PARTITION BY state ORDER BY score DESC, amt DESC, us, tx_id) AS position
-FROM tx WHERE {BAND} = 'pending_review'""")
-def win_queue_rank(spark, sf):
+FROM tx WHERE {BAND} = 'pending_review'"""
+
+
+def queue(spark, sf, **limit):
     waiting = tx_orders(spark, sf).filter(band() == "pending_review")
     order = [F.col("score").desc(), F.col("amt").desc(), *card_order()]
-    out = decide.review_queue(waiting, "state", order)
+    out = decide.review_queue(waiting, "state", order, **limit)
     return out.select("tx_id", F.col("state").alias("analyst"), "position")
 
 
+@query("win_queue_rank", QUEUE_SQL)
+def win_queue_rank(spark, sf):
+    return queue(spark, sf)
+
+
+@query("win_queue_rank_dense", QUEUE_SQL)
+def win_queue_rank_dense(spark, sf):
+    """The plan for analysts with too many cases for one task, forced by a low limit."""
+    return queue(spark, sf, limit=20)
+
+
 @query("psi_drift", f"""WITH {TX_EVENTS_SQL}, e AS (SELECT quantile_cont(amt,[0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS q FROM tx WHERE us < {1_705_276_800_000_000}),
 b AS (SELECT us >= {1_705_276_800_000_000} AS cur, strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, len(list_filter(q, lambda x: x < amt)) AS bin FROM tx, e),
 bb AS (SELECT bin, COUNT(*) AS n FROM b WHERE NOT cur GROUP BY 1), cc AS (SELECT week, bin, COUNT(*) AS n FROM b WHERE cur GROUP BY 1,2),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom import settings as S
 from riskloom.catalog.bindings import TX_EVENTS_SQL, TX_ORDERS_SQL, tx_events, tx_orders
-from riskloom.catalog.expressions import AGE, DOW, HOLDER_KM, HOUR, age_group_sql, cut_sql
+from riskloom.catalog.expressions import AGE, DOW, HOLDER_KM, HOUR, cut_sql
 from riskloom.catalog.registry import as_long, query, rounded
 from riskloom.functions import scalar as X
 from riskloom.operators import cost, profile, sampling

@@ -76,7 +76,8 @@ def _cells(df: DataFrame, card: str, epoch: str, amount: str, windows: Mapping[s
     Rows collapse to one record per (card, instant) and time is cut into cells.  A window
     is then three disjoint parts: the whole cells between its ends (differences of running
     cell totals), the start of the row's own cell, and the end of the cell the window opens
-    in.  The last two are running sums inside one cell, so no task holds more than a cell.
+    in.  The last two are running sums inside one cell, so no task holds more than a cell,
+    and a cell has at most as many instants as the clock ticks in it.
     """
     cell = cell_width(windows)
     # Sums are kept around the overall mean so that the variance does not cancel.
