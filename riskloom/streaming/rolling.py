@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators.ordered import null_safe
 from riskloom.operators.rolling import ROWS_PER_CARD, rolling_past, statistic_names
 from riskloom.streaming.runs import BatchTable, DayHistory, run_batches
 
@@ -49,7 +50,7 @@ class RollingStream:
         late = False
         if known is not None:
             near = known.filter(F.col("us").between(first - longest, last + longest))
-            own = near.join(new.select("card").distinct(), "card", "left_semi")
+            own = null_safe(near, new.select("card").distinct(), ["card"], "left_semi")
             rows = rows.unionByName(own.select("tx_id", "card", "us", "amt", F.lit(None).cast("double").alias("_new")))
             late = not own.filter(F.col("us") > first).isEmpty()
         names = [n for w in self.windows for n in statistic_names(w).values()]
