@@ -18,6 +18,15 @@ from riskloom.models import calibrate, explain, score, train
 from riskloom.plans.features import build_features
 from riskloom.session import materialize, work_dir
 
+# Isotonic fit in closed form: the largest, over block starts, of the smallest block mean.
+ISOTONIC_SQL = f"""WITH {TX_EVENTS_SQL}, h AS (
+SELECT score, row_number() OVER (ORDER BY score) AS i, SUM(COUNT(*)) OVER (ORDER BY score) AS n, SUM(SUM(label)) OVER (ORDER BY score) AS p FROM tx GROUP BY score),
+s AS (SELECT i + 1 AS i, n, p FROM h UNION ALL SELECT 1, 0, 0),
+a AS (SELECT s.i AS j, h.i AS k, CAST(h.p - s.p AS DOUBLE)/CAST(h.n - s.n AS DOUBLE) AS mean FROM s JOIN h ON h.i >= s.i),
+m AS (SELECT j, k, MIN(mean) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM a),
+f AS (SELECT k, MAX(low) AS fitted FROM m GROUP BY k)
+SELECT tx_id, ROUND(fitted,6) AS calibrated FROM tx JOIN h USING (score) JOIN f ON f.k = h.i"""
+
 QUICK = train.TreeParams(max_depth=4, learning_rate=0.3, max_trees=5)
 
 
@@ -108,13 +117,7 @@ def calibrate_platt(spark, sf):
     return calibrate.fit_platt(tx, "label", "score").apply(tx, "score", "calibrated").select("tx_id", "calibrated")
 
 
-@query("calibrate_isotonic", f"""WITH {TX_EVENTS_SQL}, h AS (
-SELECT score, row_number() OVER (ORDER BY score) AS i, SUM(COUNT(*)) OVER (ORDER BY score) AS n, SUM(SUM(label)) OVER (ORDER BY score) AS p FROM tx GROUP BY score),
-s AS (SELECT i + 1 AS i, n, p FROM h UNION ALL SELECT 1, 0, 0),
-a AS (SELECT s.i AS j, h.i AS k, CAST(h.p - s.p AS DOUBLE)/CAST(h.n - s.n AS DOUBLE) AS mean FROM s JOIN h ON h.i >= s.i),
-m AS (SELECT j, k, MIN(mean) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM a),
-f AS (SELECT k, MAX(low) AS fitted FROM m GROUP BY k)
-SELECT tx_id, ROUND(fitted,6) AS calibrated FROM tx JOIN h USING (score) JOIN f ON f.k = h.i""")
+@query("calibrate_isotonic", ISOTONIC_SQL)
 def calibrate_isotonic(spark, sf):
     tx = tx_events(spark, sf)
     out = calibrate.fit_isotonic(tx, "label", "score").apply(tx, "score", "calibrated")
@@ -127,12 +130,13 @@ def calibrator_select(spark, sf):
     return table
 
 
-@query("calibrate_apply")
+@query("calibrate_apply", ISOTONIC_SQL)
 def calibrate_apply(spark, sf):
     path = work_dir(spark, "calibrator")
     tx = tx_events(spark, sf)
     calibrate.save_calibrator(calibrate.fit_isotonic(tx, "label", "score"), path)
-    return calibrate.load_calibrator(path).apply(tx, "score", "calibrated").select("tx_id", "calibrated")
+    out = calibrate.load_calibrator(path).apply(tx, "score", "calibrated")
+    return rounded(out.select("tx_id", "calibrated"), calibrated=6)
 
 
 @query("explain_rows")
