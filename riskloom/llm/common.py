@@ -28,7 +28,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text", chars: in
         column = batch.column(batch.schema.get_field_index(text))
         start = size = 0
         for row in range(batch.num_rows):
-            size += len(column[row].as_py() or "") if column.type == pa.null() else int(_length(column, row))
+            size += _length(column, row)
             if size >= chars or row + 1 == batch.num_rows:
                 part = batch.slice(start, row + 1 - start)
                 yield part, strings(column.slice(start, row + 1 - start))

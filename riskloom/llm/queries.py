@@ -7,13 +7,15 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import packing, sharding
+from riskloom.llm import bpe, packing, secrets, sharding
 from riskloom.session import prepare
 
 Job = Callable[[SparkSession, str], DataFrame]
 
 _JOBS = {
     "op1_best_fit_packing": packing.query,
+    "op3_byte_bpe": bpe.query,
+    "op4_secret_scan": secrets.query,
     "op6_histogram_sharding": sharding.query,
 }
 _SQL: dict[str, str] = {}
