@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, packing, secrets, sharding
+from riskloom.llm import bpe, langid, packing, quality, secrets, sharding
 from riskloom.session import prepare
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,8 @@ _JOBS = {
     "op3_byte_bpe": bpe.query,
     "op4_secret_scan": secrets.query,
     "op6_histogram_sharding": sharding.query,
+    "op7_importance_resampling": quality.query,
+    "op10_language_id": langid.query,
 }
 _SQL: dict[str, str] = {}
 
