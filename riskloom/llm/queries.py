@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, langid, packing, quality, secrets, sharding
+from riskloom.llm import bpe, jaccard, langid, packing, quality, secrets, sharding
 from riskloom.session import prepare
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,12 @@ _JOBS = {
     "op4_secret_scan": secrets.query,
     "op6_histogram_sharding": sharding.query,
     "op7_importance_resampling": quality.query,
+    "op9_jaccard_join": jaccard.query,
     "op10_language_id": langid.query,
 }
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {
+    "op9_jaccard_join": jaccard.SQL,
+}
 
 
 def _prepared(job: Job) -> Job:
