@@ -7,21 +7,25 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, jaccard, langid, packing, quality, secrets, sharding
+from riskloom.llm import bpe, jaccard, kdtree, langid, nndescent, packing, quality, secrets, sharding, surrogates
 from riskloom.session import prepare
 
 Job = Callable[[SparkSession, str], DataFrame]
 
 _JOBS = {
     "op1_best_fit_packing": packing.query,
+    "op2_kdtree_topk": kdtree.query,
     "op3_byte_bpe": bpe.query,
     "op4_secret_scan": secrets.query,
+    "op5_surrogates": surrogates.query,
     "op6_histogram_sharding": sharding.query,
     "op7_importance_resampling": quality.query,
+    "op8_nn_descent": nndescent.query,
     "op9_jaccard_join": jaccard.query,
     "op10_language_id": langid.query,
 }
 _SQL: dict[str, str] = {
+    "op2_kdtree_topk": kdtree.SQL,
     "op9_jaccard_join": jaccard.SQL,
 }
 
