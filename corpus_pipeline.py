@@ -1,12 +1,58 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. All
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import packing
+from riskloom.llm import jaccard, langid, packing, quality, secrets
 from riskloom.session import materialize, prepare
 
+#: Cosine below which a text of so many characters is in none of the learned languages; a
+#: shorter one has too few n-grams to tell.
+LEAST_COSINE, TELLING = 0.1, 200
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by importance resampling; the model is learned from ``labels``."""
+    ratio = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    weighed = materialize(quality.weigh(docs, ratio), "weighed")
+    return quality.resample(weighed).select(docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language: those without a letter, or long and far from all prototypes, go."""
+    predicted = langid.predict(docs, langid.learn(docs), keep=True)
+    known = (F.col("lang_pred") != langid.UNKNOWN) & ((F.col("score") >= LEAST_COSINE) | (F.length("text") < TELLING))
+    return predicted.where(known).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: that with the least doc_id.
+
+    Similar is what the join's contract says: 90 of 100 three-word shingles in common. That
+    allows a changed word in 57; five words at 0.8 would allow one in 45.
+
+    Rows that repeat a doc_id are one document, of which one row stays. Rows without doc_id stay.
+    """
+    found = materialize(jaccard.link_components(docs.select("doc_id", "text")), "components")
+    leading = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(leading, "doc_id", "left_semi")
+    # Only ids that occur again need their rows brought together.
+    again = materialize(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    once, repeated = named.join(again, "doc_id", "left_anti"), named.join(again, "doc_id", "left_semi")
+    least = repeated.groupBy("doc_id").agg(F.min(F.struct(*(c for c in docs.columns if c != "doc_id"))).alias("row")).select("doc_id", "row.*")
+    return once.select(docs.columns).union(least.select(docs.columns)).union(docs.where("doc_id IS NULL"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced in the text."""
+    return secrets.redact(docs)
+
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of 2048 tokens."""
@@ -14,6 +60,10 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
+    ("language id", language_id),
+    ("near duplicates", near_duplicates),
+    ("secret scan", secret_scan),
     ("best-fit packing", best_fit_packing),
 ]
 
