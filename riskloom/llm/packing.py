@@ -35,8 +35,12 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Pieces that share a (length, salt) at the most, on average.
 ROWS_PER_RANKING = 20_000
 #: Encoded words a task keeps; above it the cache starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 _LONG_WORD = 64
+#: Marks that may follow a word; the tokenizer always cuts between a word and them.
+_TAIL = b".,;:!?*$&%#|)"
+#: Words that are encoded as one text.
+_TOGETHER = 256
 _END = (0).to_bytes(4, "little")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -56,6 +60,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words: dict[bytes, bytes] = {}
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that end a word
+        self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text, with the closing 0."""
@@ -63,16 +69,36 @@ class WordEncoder:
             self.words = {}
         split = [t.encode().lower().split() for t in texts]
         known, long = self.words, {}
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, e in zip(part, encoded):
-                (known if len(word) <= _LONG_WORD else long)[word] = np.asarray(e.ids, "<u4").tobytes()
+        parts = {w: self._parts(w) for words in split for w in words if w not in known}
+        self._learn({p for own in parts.values() for p in own if p not in known}, long)
+        for word, own in parts.items():
+            if len(own) > 1:
+                (known if len(word) <= _LONG_WORD else long)[word] = b"".join(known.get(p) or long[p] for p in own)
         if not long:
             return [b"".join([*map(known.__getitem__, words), _END]) for words in split]
         return [b"".join([*(known.get(w) or long.get(w, b"") for w in words), _END]) for words in split]
 
+    def _parts(self, word: bytes) -> tuple[bytes, ...]:
+        """The word without the marks behind it, and these."""
+        stem = word.rstrip(_TAIL)
+        return (stem, word[len(stem) :]) if stem and len(stem) < len(word) and stem.decode()[-1].isalnum() else (word,)
+
+    def _learn(self, new: set[bytes], long: dict[bytes, bytes]) -> None:
+        """Encode new words: plain ones many at a time, told apart by tokens that end a word, others one by one."""
+        plain = [w for w in new if len(w) <= _LONG_WORD and w.decode().isalpha()]
+        rest = list(new.difference(plain))
+        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        for words, e in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.asarray(e.ids, "<u4")
+            edges = [0, *(4 * np.flatnonzero(self.closes[ids]) + 4).tolist()]
+            if len(edges) == len(words) + 1:
+                data = ids.tobytes()
+                self.words.update((w, data[a:b]) for w, a, b in zip(words, edges, edges[1:]))
+            else:
+                rest += words
+        for word, e in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+            (self.words if len(word) <= _LONG_WORD else long)[word] = np.asarray(e.ids, "<u4").tobytes()
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
