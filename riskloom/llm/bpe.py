@@ -34,6 +34,9 @@ CACHE_WORDS = 300_000
 #: Slices of more bytes merge over a heap and are not kept.
 LONG_WORD = 64
 
+#: Characters, and ids, that a task handles at a time.
+_STEP = 500_000
+
 # The pre-tokenisation pattern's white space and contractions.
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -255,7 +258,7 @@ def encode(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = _merger(ranks)
-        for part, texts in text_chunks(batches):
+        for part, texts in text_chunks(batches, chars=_STEP):
             ids, stops = merger.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, stops), pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
@@ -263,6 +266,19 @@ def encode(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def _decoded(lists: pa.Array, data: np.ndarray, place: np.ndarray, length: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Bytes of each list of ids, and each token's first byte in them."""
+    ids = lists.flatten().to_numpy()
+    counts = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+    size = length[ids]
+    stop = np.cumsum(size)
+    decoded = data[np.repeat(place[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+    first = np.append(0, stop)[counts]
+    binary = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(decoded)])
+    own = (stop - size - np.repeat(first[:-1], np.diff(counts))).astype(np.int32)
+    return binary, pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(own))
+
+
 def decode(encoded: DataFrame, ranks: str = RANKS, offsets: bool = False) -> DataFrame:
     """Bytes that the ids stand for; with ``offsets``, also each token's first byte in them.
 
@@ -272,20 +288,14 @@ def decode(encoded: DataFrame, ranks: str = RANKS, offsets: bool = False) -> Dat
     kinds = "doc_id long, ids array<int>, decoded binary" + (", offsets array<int>" if offsets else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, place, length = _vocabulary(ranks)
+        vocabulary = _vocabulary(ranks)
         for batch in batches:
-            ids = batch.column(1).flatten().to_numpy()
             counts = np.append(0, np.cumsum(batch.column(1).value_lengths().to_numpy()))
-            size = length[ids]
-            stop = np.cumsum(size)
-            decoded = data[np.repeat(place[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
-            first = np.append(0, stop)[counts]
-            binary = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(decoded)])
-            columns = [batch.column(0), batch.column(1), binary]
-            if offsets:
-                own = (stop - size - np.repeat(first[:-1], np.diff(counts))).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(own)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded", "offsets"][: len(columns)])
+            edges = np.unique([0, *np.searchsorted(counts, np.arange(_STEP, counts[-1], _STEP)), batch.num_rows])
+            for a, b in zip(edges, edges[1:]):  # a few rows, or one long one
+                part = batch.slice(a, b - a)
+                columns = [part.column(0), part.column(1), *_decoded(part.column(1), *vocabulary)]
+                yield pa.RecordBatch.from_arrays(columns[: 4 if offsets else 3], names=["doc_id", "ids", "decoded", "offsets"][: 4 if offsets else 3])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, kinds)
 

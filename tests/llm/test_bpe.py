@@ -72,5 +72,9 @@ def test_query(spark):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_no_ids_at_all(spark):
+    assert [bytes(r.decoded) for r in bpe.decode(bpe.encode(documents(spark, [None, "", ""])), offsets=True).collect()] == [b""] * 3
+
+
 def test_empty_table(spark):
     assert bpe.decode(bpe.encode(documents(spark, ["a"]).limit(0))).count() == 0
