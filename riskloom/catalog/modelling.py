@@ -1,7 +1,8 @@
 """Checks of training, calibration, scoring and explanation on the given orders.
 
-Tree results have no SQL form; they are checked by properties in the tests.  A small
-model is trained once per session and data set and shared by these jobs.
+Tree results have no SQL form, so these jobs return the rows they cover with checks computed
+from the results (bounds, order, additivity, agreement of two ways), which SQL expects to
+hold.  A small model is trained once per session and data set and shared by these jobs.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from riskloom import settings as S
 from riskloom.catalog.bindings import ORDER_WINDOWS, TX_EVENTS_SQL, TX_ORDERS_SQL, staged_orders, tx_events
 from riskloom.catalog.features import GEO_SQL, rolling_sql
-from riskloom.catalog.registry import once, query, rounded
+from riskloom.catalog.registry import as_long, once, query, rounded
 from riskloom.functions import scalar as X
 from riskloom.models import calibrate, explain, score, train
 from riskloom.plans.features import build_features
@@ -27,7 +28,15 @@ m AS (SELECT j, k, MIN(mean) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM a
 f AS (SELECT k, MAX(low) AS fitted FROM m GROUP BY k)
 SELECT tx_id, ROUND(fitted,6) AS calibrated FROM tx JOIN h USING (score) JOIN f ON f.k = h.i"""
 
-QUICK = train.TreeParams(max_depth=4, learning_rate=0.3, max_trees=5)
+# A small run: parameters of the shared model, and trials and trees of the search.
+SMALL_RUN = train.TreeParams(max_depth=4, learning_rate=0.2, max_trees=20)
+TRIALS, TRIAL_TREES = 4, 8
+
+SPLIT_SQL = f"""WITH {TX_ORDERS_SQL}, o AS (SELECT *, row_number() OVER (ORDER BY us, tx_id) AS rn, COUNT(*) OVER () AS cnt FROM tx),
+p AS (SELECT tx_id, CAST(label AS BIGINT) AS is_fraud, CASE WHEN rn <= CAST(floor(cnt*CAST(0.7 AS DOUBLE)) AS BIGINT) THEN 'train'
+  WHEN rn <= CAST(floor(cnt*CAST(0.7 AS DOUBLE)) AS BIGINT)+CAST(floor(cnt*CAST(0.15 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM o)"""
+FEATURES_SQL = "(VALUES " + ", ".join(f"('{f}')" for f in S.FEATURE_COLUMNS) + ") f(feature)"
+RUN_METRICS = ("pr_auc", "roc_auc", "recall_at_1pct", "f1_at_thr", "threshold")
 
 
 def curated(spark, sf):
@@ -37,7 +46,7 @@ def curated(spark, sf):
 
 
 def trained(spark, sf):
-    return once(spark, sf, "model", lambda: train.fit_trees(curated(spark, sf), QUICK))
+    return once(spark, sf, "model", lambda: train.fit_trees(curated(spark, sf), SMALL_RUN))
 
 
 def scored_split(spark, sf, split):
@@ -47,26 +56,36 @@ def scored_split(spark, sf, split):
 def bundle(spark, sf):
     def make():
         chosen, _ = calibrate.compare_calibrators(scored_split(spark, sf, "val"), scored_split(spark, sf, "test"), S.TARGET, "score_raw")
-        return score.Bundle(trained(spark, sf), chosen, "quick-1")
+        return score.Bundle(trained(spark, sf), chosen, "small-1")
     return once(spark, sf, "bundle", make)
 
 
-@query("train_gbt")
+@query("train_gbt", f"{SPLIT_SQL} SELECT split, COUNT(*) AS n, CAST(SUM(is_fraud) AS BIGINT) AS n_pos, split = 'train' AS fits FROM p WHERE split <> 'test' GROUP BY split")
 def train_gbt(spark, sf):
+    """Rows and positives of train and val; on train, average precision must beat the base rate."""
     from riskloom.operators.metrics import ranking_summary
-    return ranking_summary(scored_split(spark, sf, "val"), S.TARGET, "score_raw")
+    rows = scored_split(spark, sf, "train").unionByName(scored_split(spark, sf, "val"))
+    found = ranking_summary(rows, S.TARGET, "score_raw", by=["split"])
+    fits = (F.col("split") == "train") & (F.col("pr_auc") > F.col("n_pos") / F.col("n"))
+    return as_long(found.select("split", "n", "n_pos", fits.alias("fits")), "n", "n_pos")
 
 
-@query("tune_params")
+@query("tune_params", f"SELECT i AS trial, true AS within_search, i = 0 AS best_is_largest FROM range({TRIALS}) t(i)")
 def tune_params(spark, sf):
-    quick = train.TreeParams(max_trees=2)
-    _, trials = train.tune_params(curated(spark, sf), trials=2, fixed=quick)
-    return trials
+    """Each trial's parameters lie in the search; the chosen ones are those of the best trial."""
+    best, trials = train.tune_params(curated(spark, sf), trials=TRIALS, fixed=train.TreeParams(max_trees=TRIAL_TREES))
+    within = F.col("max_depth").between(4, 10) & F.col("learning_rate").between(0.01, 0.3) & F.col("pr_auc").between(0, 1)
+    largest = trials.orderBy(F.desc("pr_auc"), "trial").first()
+    chosen = (largest["max_depth"], largest["learning_rate"]) == (best.max_depth, best.learning_rate)
+    return trials.select(F.col("trial").cast("bigint").alias("trial"), within.alias("within_search"), ((F.col("trial") == 0) & F.lit(chosen)).alias("best_is_largest"))
 
 
-@query("topk_importance")
+@query("topk_importance", f"SELECT feature, true AS not_negative, true AS in_order, CAST(1 AS DOUBLE) AS total FROM {FEATURES_SQL}")
 def topk_importance(spark, sf):
-    return train.feature_importance(trained(spark, sf))
+    gains = train.feature_importance(trained(spark, sf))
+    listed = gains.collect()  # one row per model feature
+    in_order = [(-r["gain"], r["feature"]) for r in listed] == sorted((-r["gain"], r["feature"]) for r in listed)
+    return gains.select("feature", (F.col("gain") >= 0).alias("not_negative"), F.lit(in_order).alias("in_order"), F.lit(round(sum(r["gain"] for r in listed), 6)).alias("total"))
 
 
 @query("assemble_features", f"""WITH {TX_ORDERS_SQL}, {GEO_SQL}, roll AS ({rolling_sql(ORDER_WINDOWS, 3)})
@@ -79,7 +98,7 @@ def assemble_features(spark, sf):
     return rows.select("tx_id", F.size(values).cast("bigint").alias("n_features"), missing.cast("bigint").alias("n_missing"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"{SPLIT_SQL} SELECT COUNT(*) AS n, CAST(0 AS DOUBLE) AS max_difference FROM p WHERE split = 'test'")
 def model_roundtrip(spark, sf):
     path = work_dir(spark, "bundle")
     first = bundle(spark, sf)
@@ -93,28 +112,49 @@ def model_roundtrip(spark, sf):
     )
 
 
-@query("score_batch")
+def decided(name: str, threshold: float, flag: str | None = None):
+    """The decision agrees with the raw score and the threshold."""
+    return (F.col(flag or name).cast("boolean") == (F.col("score_raw") >= F.lit(threshold))).alias(name)
+
+
+@query("score_batch", f"{SPLIT_SQL} SELECT tx_id, is_fraud, true AS probabilities, true AS decision_operating, true AS decision_cost FROM p WHERE split = 'test'")
 def score_batch(spark, sf):
     test = curated(spark, sf).filter(F.col("split") == "test")
-    return score.score_batch(test, bundle(spark, sf)).select(
-        "tx_id", S.TARGET, "score_raw", "score_calibrated", "decision_operating", "decision_cost"
-    )
+    used = bundle(spark, sf)
+    probabilities = F.col("score_raw").between(0, 1) & F.col("score_calibrated").between(0, 1)
+    return as_long(score.score_batch(test, used).select(
+        "tx_id", S.TARGET, probabilities.alias("probabilities"),
+        decided("decision_operating", used.operating_threshold), decided("decision_cost", used.cost_threshold),
+    ), S.TARGET)
 
 
-@query("score_explained")
+@query("score_explained", f"{SPLIT_SQL} SELECT tx_id, true AS operating, true AS cost, CAST(5 AS BIGINT) AS n_top, true AS adds_up FROM p WHERE split = 'test'")
 def score_explained(spark, sf):
+    """Both decisions, and that the strongest contributions do not exceed what all add up to."""
     test = curated(spark, sf).filter(F.col("split") == "test")
-    out = score.score_explained(test, bundle(spark, sf))
-    return out.select(
-        "tx_id", "score_raw", "score_calibrated", F.col("decision_operating.is_fraud").alias("operating_fraud"),
-        F.col("decision_cost.is_fraud").alias("cost_fraud"), F.element_at("top", 1).getField("feature").alias("first_feature"), "base_value",
+    used = bundle(spark, sf)
+    out = score.score_explained(test, used)
+    full = explain.explain_rows(test, used.model, features=used.features).select("tx_id", "base_value", "contributions").withColumnRenamed("base_value", "_base")
+    logit = F.log(F.col("score_raw") / (1 - F.col("score_raw")))
+    total = F.aggregate("contributions", F.col("_base"), lambda a, v: a + v)
+    strongest = F.abs(F.element_at("top", 1).getField("contribution")) == F.array_max(F.transform("contributions", F.abs))
+    return out.join(full, "tx_id").select(
+        "tx_id", decided("operating", used.operating_threshold, "decision_operating.is_fraud"),
+        decided("cost", used.cost_threshold, "decision_cost.is_fraud"), F.size("top").cast("bigint").alias("n_top"),
+        ((F.abs(total - logit) < 1e-6) & (F.col("base_value") == F.col("_base")) & strongest).alias("adds_up"),
     )
 
 
-@query("calibrate_platt")
+@query("calibrate_platt", f"WITH {TX_EVENTS_SQL} SELECT COUNT(*) AS n, CAST(0 AS DOUBLE) AS mean_residual, CAST(0 AS DOUBLE) AS mean_weighted_residual FROM tx")
 def calibrate_platt(spark, sf):
+    """At the fit, residuals add up to zero, alone and weighted with the score's logit."""
     tx = tx_events(spark, sf)
-    return calibrate.fit_platt(tx, "label", "score").apply(tx, "score", "calibrated").select("tx_id", "calibrated")
+    fitted = calibrate.fit_platt(tx, "label", "score").apply(tx, "score", "calibrated")
+    residual = F.col("calibrated") - F.col("label")
+    return fitted.agg(
+        F.count(F.lit(1)).alias("n"), F.abs(F.round(F.avg(residual), 4)).alias("mean_residual"),
+        F.abs(F.round(F.avg(residual * X.clip_logit(F.col("score"))), 4)).alias("mean_weighted_residual"),
+    )
 
 
 @query("calibrate_isotonic", ISOTONIC_SQL)
@@ -124,10 +164,16 @@ def calibrate_isotonic(spark, sf):
     return rounded(out.select("tx_id", "calibrated"), calibrated=6)
 
 
-@query("calibrator_select")
+@query("calibrator_select", f"""WITH fitted AS ({ISOTONIC_SQL}), {TX_EVENTS_SQL}
+SELECT kind, ROUND(AVG((CASE kind WHEN 'raw' THEN score ELSE calibrated END - label)*(CASE kind WHEN 'raw' THEN score ELSE calibrated END - label)), 5) AS brier, true AS least_is_chosen FROM tx JOIN fitted USING (tx_id), (VALUES ('raw'), ('isotonic')) k(kind) GROUP BY kind""")
 def calibrator_select(spark, sf):
-    _, table = calibrate.compare_calibrators(scored_split(spark, sf, "val"), scored_split(spark, sf, "test"), S.TARGET, "score_raw")
-    return table
+    """Brier scores of the raw and the isotonic scores; the kind with the least one is chosen."""
+    tx = tx_events(spark, sf)
+    _, found = calibrate.compare_calibrators(tx, tx, "label", "score")
+    val = found.where("split = 'val'")
+    least = val.agg(F.min("brier").alias("least")).scalar()
+    kept = val.withColumn("_least", least).where("kind <> 'platt'")
+    return rounded(kept.select("kind", "brier", (F.col("chosen") == (F.col("brier") == F.col("_least"))).alias("least_is_chosen")), brier=5)
 
 
 @query("calibrate_apply", ISOTONIC_SQL)
@@ -139,47 +185,54 @@ def calibrate_apply(spark, sf):
     return rounded(out.select("tx_id", "calibrated"), calibrated=6)
 
 
-@query("explain_rows")
+@query("explain_rows", f"{SPLIT_SQL} SELECT tx_id, true AS adds_up, CAST({len(S.FEATURE_COLUMNS)} AS BIGINT) AS n_features FROM p WHERE split = 'test'")
 def explain_rows(spark, sf):
     test = curated(spark, sf).filter(F.col("split") == "test")
     explained = explain.explain_rows(test, trained(spark, sf))
     logit = F.log(F.col("score_raw") / (1 - F.col("score_raw")))
     total = F.aggregate("contributions", F.col("base_value"), lambda a, v: a + v)
     return explained.join(train.raw_scores(test, trained(spark, sf)).select("tx_id", "score_raw"), "tx_id").select(
-        "tx_id", "base_value", total.alias("explained_logit"), logit.alias("score_logit")
+        "tx_id", (F.abs(total - logit) < 1e-6).alias("adds_up"), F.size("contributions").cast("bigint").alias("n_features")
     )
 
 
-@query("topk_contrib_per_row")
+@query("topk_contrib_per_row", f"{SPLIT_SQL} SELECT tx_id, CAST(5 AS BIGINT) AS n, true AS in_order, true AS directions FROM p WHERE split = 'test'")
 def topk_contrib_per_row(spark, sf):
     test = curated(spark, sf).filter(F.col("split") == "test")
     top = explain.top_contributions(explain.explain_rows(test, trained(spark, sf)), test)
-    return top.select("tx_id", "base_value", F.posexplode("top").alias("position", "_e")).select(
-        "tx_id", "base_value", "position", "_e.feature", "_e.value", "_e.contribution", "_e.direction"
-    )
+    sizes = F.transform("top", lambda e: F.abs(e["contribution"]))
+    agrees = F.forall("top", lambda e: e["direction"].eqNullSafe(X.contribution_direction(e["contribution"])) & e["feature"].isin(*S.FEATURE_COLUMNS))
+    return top.select("tx_id", F.size("top").cast("bigint").alias("n"), (F.sort_array(sizes, asc=False) == sizes).alias("in_order"), agrees.alias("directions"))
 
 
-@query("agg_mean_abs_contrib")
+@query("agg_mean_abs_contrib", f"SELECT feature, true AS not_negative, true AS agrees FROM {FEATURES_SQL}")
 def agg_mean_abs_contrib(spark, sf):
+    """One mean per feature, the same as from a sum per position of the contribution arrays."""
     test = curated(spark, sf).filter(F.col("split") == "test")
-    return explain.mean_abs_contribution(explain.explain_rows(test, trained(spark, sf)))
+    explained = materialize(explain.explain_rows(test, trained(spark, sf)), "explained")
+    sums = explained.agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f) for i, f in enumerate(S.FEATURE_COLUMNS)]).first().asDict()
+    other = spark.createDataFrame(list(sums.items()), "feature string, other double")
+    found = explain.mean_abs_contribution(explained).join(F.broadcast(other), "feature")
+    return found.select("feature", (F.col("mean_abs") >= 0).alias("not_negative"), (F.abs(F.col("mean_abs") - F.col("other")) < 1e-9).alias("agrees"))
 
 
-@query("run_log")
+@query("run_log", f"SELECT 'small-1' AS run, kind, name, true AS known FROM (VALUES {', '.join(f'({chr(39)}{m}{chr(39)})' for m in RUN_METRICS)}) m(name), (VALUES ('metric_val'), ('metric_test')) k(kind)")
 def run_log(spark, sf):
     from riskloom.operators.metrics import metrics_bundle
     path = work_dir(spark, "runs")
     for split in ("val", "test"):
         found = metrics_bundle(scored_split(spark, sf, split), S.TARGET, "score_raw", "tx_id").collect()
-        train.append_run_log(spark, path, train.metric_rows("quick-1", f"metric_{split}", {r.metric: r.value for r in found}))
-    return spark.read.parquet(path).select("run", "kind", "name", "value")
+        train.append_run_log(spark, path, train.metric_rows("small-1", f"metric_{split}", {r.metric: r.value for r in found}))
+    return spark.read.parquet(path).select("run", "kind", "name", (F.col("value").between(0, 1) & F.col("logged_at").isNotNull()).alias("known"))
 
 
-@query("replay_current_model")
+@query("replay_current_model", f"{SPLIT_SQL} SELECT 'small-0' AS model_version, COUNT(*) AS n, true AS consistent FROM p")
 def replay_current_model(spark, sf):
-    earlier = score.Bundle(trained(spark, sf), bundle(spark, sf).calibrator, "quick-0", operating_threshold=0.5)
-    log = score.score_batch(curated(spark, sf), earlier).withColumn("model_version", F.lit("quick-0"))
-    return score.replay(log, bundle(spark, sf))
+    earlier = score.Bundle(trained(spark, sf), bundle(spark, sf).calibrator, "small-0", operating_threshold=0.5)
+    log = score.score_batch(curated(spark, sf), earlier).withColumn("model_version", F.lit("small-0"))
+    found = score.replay(log, bundle(spark, sf))
+    changed = F.when(F.col("decided") != F.col("now"), F.col("n")).otherwise(0)
+    return found.groupBy("model_version").agg(F.sum("n").alias("n"), F.bool_and(F.col("n_changed") == changed).alias("consistent"))
 
 
 @query("expr_reason_text", f"""WITH {TX_EVENTS_SQL}, c AS (

@@ -205,12 +205,10 @@ def sample_one_of_class(spark, sf):
     return as_long(both, "label")
 
 
-@query("topk_convincing_cases", f"""WITH {TX_EVENTS_SQL}, s AS (SELECT * FROM tx ORDER BY {HASH_SQL}, tx_id LIMIT 5000),
-r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, tx_id) AS rank FROM s)
+@query("topk_convincing_cases", f"""WITH {TX_EVENTS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, tx_id) AS rank FROM tx)
 SELECT tx_id, CAST(label AS BIGINT) AS label, ROUND(score,6) AS score, rank FROM r WHERE rank <= 3""")
 def topk_convincing_cases(spark, sf):
-    sample = sampling.sample_n(tx_events(spark, sf), "tx_id", 5000)
-    out = sampling.top_per_group(sample, "label", [F.col("score").desc(), F.col("tx_id")], 3)
+    out = sampling.top_per_group(tx_events(spark, sf), "label", [F.col("score").desc(), F.col("tx_id")], 3)
     return rounded(as_long(out.select("tx_id", "label", "score", "rank"), "label", "rank"), score=6)
 
 

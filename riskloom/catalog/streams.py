@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.bindings import DAY_MICROS, EVENT_WINDOWS, TX_EVENTS_SQL, table, tx_events
 from riskloom.catalog.features import off_border, rolling_sql
-from riskloom.catalog.modelling import bundle, curated
+from riskloom.catalog.modelling import SPLIT_SQL, bundle, curated
 from riskloom.catalog.registry import query, rounded
+from riskloom.functions import scalar as X
+from riskloom.models.score import score_batch
 from riskloom.operators import rolling
 from riskloom.operators.selection import exact_quantiles
 from riskloom.session import work_dir
@@ -16,8 +18,12 @@ from riskloom.streaming import monitor, runs
 from riskloom.streaming.rolling import RollingStream
 
 
-def arriving(df: DataFrame, clock: str, parts: int = 3, files_per_batch: int | None = 1) -> DataFrame:
-    """Write the rows in time order as a few successive files and open them as a stream."""
+#: Files per step of an arriving stream; a step is one micro-batch.
+FILES = 4
+
+
+def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES) -> DataFrame:
+    """Write the rows in time order as a few successive steps of files and open them as a stream."""
     spark = df.sparkSession
     path = work_dir(spark, "arriving")
     micros = df.withColumn("_at", F.unix_micros(clock))
@@ -26,9 +32,8 @@ def arriving(df: DataFrame, clock: str, parts: int = 3, files_per_batch: int | N
         inside = F.lit(True)
         inside = inside & (F.col("_at") >= F.lit(low)) if low is not None else inside
         inside = inside & (F.col("_at") < F.lit(high)) if high is not None else inside
-        # One file per step; a real feed brings its own files.
-        micros.filter(inside).drop("_at").coalesce(1).write.mode("append").parquet(path)
-    return runs.tx_stream(spark, path, df.schema, files_per_batch)
+        micros.filter(inside).drop("_at").repartition(files).write.mode("append").parquet(path)
+    return runs.tx_stream(spark, path, df.schema, files)
 
 
 @query("st_rolling_state", f"WITH {TX_EVENTS_SQL} {rolling_sql(EVENT_WINDOWS)}")
@@ -48,15 +53,19 @@ def stream_source_tx(spark, sf):
     return spark.read.parquet(path).select("tx_id", "card", "amt")
 
 
-@query("st_score_decide")
+@query("st_score_decide", f"{SPLIT_SQL} SELECT tx_id, 'small-1' AS model_version, true AS as_in_batch, true AS reason_known FROM p")
 def st_score_decide(spark, sf):
+    """Every row is decided once, with the scores and the decision of the batch job."""
     path = work_dir(spark, "decided")
     source = curated(spark, sf)
     staged = work_dir(spark, "features")
     source.write.parquet(staged)
     decided = monitor.score_and_decide(runs.tx_stream(spark, staged, source.schema, 4), bundle(spark, sf))
     runs.run_to_table(decided, path, f"{path}-checkpoint", partition="model_version")
-    return spark.read.parquet(path).select("tx_id", "model_version", "score_raw", "score_calibrated", "decision", "reason_code")
+    batch = score_batch(source, bundle(spark, sf)).select("tx_id", F.col("score_raw").alias("_raw"), F.col("score_calibrated").alias("_calibrated"))
+    out = spark.read.parquet(path).join(batch, "tx_id", "left")
+    same = (F.col("score_raw") == F.col("_raw")) & (F.col("decision") == X.decision_band(F.col("_calibrated")))
+    return out.select("tx_id", "model_version", same.alias("as_in_batch"), F.col("reason_code").isNotNull().alias("reason_known"))
 
 
 @query("st_tumbling_report", f"""WITH {TX_EVENTS_SQL}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom import settings as S
 from riskloom.functions import scalar as X
-from riskloom.operators.ordered import ROWS_PER_KEY, global_rank, prior_totals
+from riskloom.operators.ordered import ROWS_PER_KEY, global_rank, null_safe, prior_totals
 from riskloom.operators.rolling import rolling_past
 from riskloom.session import broadcast_up_to
 
@@ -67,9 +67,11 @@ def confirmed_labels(
     reduced = labels.groupBy(F.col(tx_id).alias("_id"), "arrived").agg(F.max("confirmed").alias("confirmed"))
     lower = F.col(clock) + F.make_dt_interval(F.lit(first_day))
     upper = F.col(clock) + F.make_dt_interval(F.lit(last_day))
-    joined = tx.join(reduced, (F.col(tx_id) == F.col("_id")) & F.col("arrived").between(lower, upper), "left")
-    earliest = joined.groupBy(*tx.columns).agg(F.min_by("confirmed", "arrived").alias("confirmed"))
-    return earliest.withColumn("status", F.when(F.col("confirmed").isNull(), "provisional").otherwise("confirmed"))
+    # Found once per transaction and clock and joined back, so equal rows all stay.
+    asked = tx.select(tx_id, clock).distinct()
+    joined = asked.join(reduced, (F.col(tx_id) == F.col("_id")) & F.col("arrived").between(lower, upper))
+    earliest = joined.groupBy(tx_id, clock).agg(F.min_by("confirmed", "arrived").alias("confirmed"))
+    return null_safe(tx, earliest, [tx_id, clock]).withColumn("status", F.when(F.col("confirmed").isNull(), "provisional").otherwise("confirmed"))
 
 
 def review_queue(df: DataFrame, analyst: str, order: Sequence[Column], limit: int = ROWS_PER_KEY) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.operators.metrics import confusion_at
-from riskloom.operators.ordered import ROWS_PER_KEY, many_valued_keys, prior_totals
+from riskloom.operators.ordered import ROWS_PER_KEY, many_valued_keys, null_safe, prior_totals
 from riskloom.operators.selection import exact_quantiles
 
 _EMPTY_SHARE = 1e-6
@@ -26,11 +26,12 @@ def psi_drift(df: DataFrame, feature: str, is_baseline: Column, period: Column,
     # Heavily tied features repeat borders; a repeated border would be an always-empty bin.
     edges = sorted(set(edges))
     counts = df.filter(F.col(feature).isNotNull()).groupBy(
-        F.when(is_baseline, F.lit(None)).otherwise(period).alias("period"), X.bins_right_closed(F.col(feature), edges).alias("bin")
+        F.coalesce(is_baseline, F.lit(False)).alias("_baseline"), period.alias("period"), X.bins_right_closed(F.col(feature), edges).alias("bin")
     ).agg(F.count(F.lit(1)).alias("n"))
-    base = counts.filter(F.col("period").isNull()).select("bin", F.col("n").alias("_b"))
+    base = counts.filter("_baseline").groupBy("bin").agg(F.sum("n").alias("_b"))
     base_total = base.agg(F.sum("_b")).scalar()
-    current = counts.filter(F.col("period").isNotNull())
+    # Current rows without a period belong to none.
+    current = counts.filter(~F.col("_baseline") & F.col("period").isNotNull()).drop("_baseline")
     totals = current.groupBy("period").agg(F.sum("n").alias("_total"))
     all_bins = totals.select("period", "_total", F.explode(F.sequence(F.lit(0), F.lit(len(edges)))).alias("bin"))
     shares = all_bins.join(current, ["period", "bin"], "left").join(base, "bin", "left").select(
@@ -135,4 +136,4 @@ def service_levels(df: DataFrame, latency: str, clock: str, shift: Column, proba
         F.sum("n").alias("n"), F.max("n").alias("peak_per_second"), (F.sum("t") / F.sum("m")).alias("mean_latency")
     )
     # One row per shift.
-    return levels.join(F.broadcast(tails), "shift", "left")
+    return null_safe(levels, F.broadcast(tails), ["shift"])

@@ -17,6 +17,8 @@ from riskloom.session import materialize
 
 ROWS_PER_KEY = 1_000_000
 MAX_LISTED_KEYS = 10_000
+#: A slice is not cut below this many rows, whatever the limit, but there are always a few.
+MIN_SLICE_ROWS, MIN_SLICES = 100, 3
 ALL_KEYS = "all"
 
 
@@ -73,13 +75,16 @@ def _combine(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
     return hot if cold is None else cold.unionByName(hot)
 
 
-def slice_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def slice_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: int = ROWS_PER_KEY) -> DataFrame:
     """Add ``_slice``: contiguous, row-balanced ranges of the (key, order) sequence.
 
+    Their number follows from the rows and the limit, not from session settings, and as it
+    is given, adaptive execution keeps it.
     Written out once, so every later pass sees the same slice borders even when a task
     or an executor is lost and the range sample would be drawn again.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in by], *order)
+    slices = max(MIN_SLICES, -(-df.count() // max(limit, MIN_SLICE_ROWS)))
+    ranged = df.repartitionByRange(slices, *[F.col(c) for c in by], *order)
     return materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
@@ -122,7 +127,7 @@ def prior_totals(
         return part.withColumns(running(by)).drop(*helper)
 
     def sliced(part: DataFrame) -> DataFrame:
-        rows = slice_rows(part, by, order)
+        rows = slice_rows(part, by, order, limit)
         per_slice = rows.groupBy(*by, "_slice").agg(*[F.sum(h).alias(h) for h in helper])
         across = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         carried = per_slice.select(
@@ -164,7 +169,7 @@ def previous_row(
         return {new: F.lag(old).over(w) for old, new in columns.items()}
 
     def sliced(part: DataFrame) -> DataFrame:
-        rows = slice_rows(part, by, order)
+        rows = slice_rows(part, by, order, limit)
         local_order = Window.partitionBy(*by, "_slice").orderBy(*order)
         numbered = rows.withColumn("_pos", F.row_number().over(local_order))
         last = numbered.groupBy(*by, "_slice").agg(
@@ -196,27 +201,29 @@ def recent_values(
     """The key's last ``n`` values up to and including the row, oldest first."""
     by = list(by)
 
-    def last_n(frame_keys: Sequence[str]) -> Column:
+    def last_n(frame_keys: Sequence[str], what: Column) -> Column:
         w = Window.partitionBy(*frame_keys).orderBy(*order).rowsBetween(-(n - 1), Window.currentRow)
-        return F.collect_list(value).over(w)
+        return F.collect_list(what).over(w)
 
     def sliced(part: DataFrame) -> DataFrame:
-        rows = slice_rows(part, by, order)
+        rows = slice_rows(part, by, order, limit)
         local_order = Window.partitionBy(*by, "_slice").orderBy(*order)
-        local = rows.withColumn(name, last_n([*by, "_slice"])).withColumn("_pos", F.row_number().over(local_order))
+        # Boxed, so that rows with a null value keep their place; nulls go at the end.
+        boxed = F.struct(F.col(value).alias("v"))
+        local = rows.withColumn(name, last_n([*by, "_slice"], boxed)).withColumn("_pos", F.row_number().over(local_order))
         tails = local.groupBy(*by, "_slice").agg(F.max_by(name, "_pos").alias("_tail"))
         across = Window.partitionBy(*by).orderBy("_slice").rowsBetween(-n, -1)
         carried = tails.select(*by, "_slice", F.flatten(F.collect_list("_tail").over(across)).alias("_before"))
         joined = null_safe(local, _carry(by, hot_keys, carried), [*by, "_slice"])
-        # A non-empty slice holds at least one value, so n earlier slices are enough.
+        # A slice of a key holds at least one row, so n earlier slices are enough.
         full = F.concat(F.col("_before"), F.col(name))
         size = F.least(F.size(full), F.lit(n))
-        return joined.withColumn(
-            name, F.when(F.col("_pos") < n, F.slice(full, F.size(full) - size + 1, size)).otherwise(F.col(name))
-        ).drop("_slice", "_pos", "_before")
+        last = F.when(F.col("_pos") < n, F.slice(full, F.size(full) - size + 1, size)).otherwise(F.col(name))
+        values = F.transform(F.filter(last, lambda b: b["v"].isNotNull()), lambda b: b["v"])
+        return joined.withColumn(name, values).drop("_slice", "_pos", "_before")
 
     hot_keys = hot_key_hashes(df, by, limit)
     cold, hot = split_hot(df, by, hot_keys)
     return _combine(
-        cold.withColumn(name, last_n(by)) if cold is not None else None, sliced(hot) if hot is not None else None
+        cold.withColumn(name, last_n(by, F.col(value))) if cold is not None else None, sliced(hot) if hot is not None else None
     )

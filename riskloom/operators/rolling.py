@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -64,90 +63,74 @@ def _sliding(df: DataFrame, card: str, epoch: str, amount: str, windows: Mapping
     return df.withColumns(out)
 
 
-def cell_width(windows: Mapping[str, int]) -> int:
-    """About 1/60 of the shortest common step, and a divisor of every window."""
-    step = math.gcd(*windows.values())
-    return next(step // parts for parts in (60, 48, 30, 24, 20, 12, 10, 8, 6, 5, 4, 3, 2, 1) if step % parts == 0)
+def cell_width(width: int) -> int:
+    """About 1/60 of the window, and a divisor of it: frames over cells stay short."""
+    return next(width // parts for parts in (60, 48, 30, 24, 20, 12, 10, 8, 6, 5, 4, 3, 2, 1) if width % parts == 0)
 
 
 def _cells(df: DataFrame, card: str, epoch: str, amount: str, windows: Mapping[str, int], prefix: str) -> DataFrame:
     """The same statistics for cards too dense for one task, in time linear in the rows.
 
-    Rows collapse to one record per (card, instant) and time is cut into cells.  A window
-    is then three disjoint parts: the whole cells between its ends (differences of running
-    cell totals), the start of the row's own cell, and the end of the cell the window opens
-    in.  The last two are running sums inside one cell, so no task holds more than a cell,
-    and a cell has at most as many instants as the clock ticks in it.
+    Rows collapse to one record per (card, instant).  All parts of a window are plain sums
+    of doubles over its own records, never differences, so a NaN or an extreme amount
+    stays in the windows that hold it.
     """
-    cell = cell_width(windows)
-    # Sums are kept around the overall mean so that the variance does not cancel.
-    centre = df.agg(F.coalesce(F.avg(amount), F.lit(0.0)).alias("c")).scalar()
+    # Sums are kept around the mean of the finite amounts so that the variance does not cancel.
+    finite = F.when((F.col(amount) - F.col(amount)) == 0, F.col(amount))
+    centre = df.agg(F.coalesce(F.avg(finite), F.lit(0.0)).alias("c")).scalar()
     centred = F.col(amount) - F.col("_centre")
     moments = (
         df.select(card, epoch, amount).withColumn("_centre", centre)
         .groupBy(card, epoch, "_centre")
         .agg(F.count(amount).alias("n"), F.sum(centred).alias("s1"), F.sum(centred * centred).alias("s2"))
         .withColumns({p: F.coalesce(p, F.lit(0)) for p in _PARTS})
-        .withColumn("_cell", F.floor((F.col(epoch) - F.pmod(F.col(epoch), F.lit(cell))) / F.lit(cell)))
     )
+    out = df
+    for label, width in windows.items():
+        names = statistic_names(label, prefix)
+        n, s1, s2 = (F.col(p) for p in _PARTS)
+        spread = F.greatest(F.lit(0.0), s2 - s1 * s1 / n)
+        found = _window_sums(moments, card, epoch, width).select(
+            card, epoch,
+            n.cast("bigint").alias(names["count"]),
+            F.when(n > 0, s1 + n * F.col("_centre")).otherwise(F.lit(0.0)).alias(names["sum"]),
+            F.when(n > 0, s1 / n + F.col("_centre")).alias(names["mean"]),
+            F.when(n > 1, F.sqrt(spread / (n - 1))).alias(names["std"]),
+        )
+        out = null_safe(out, found, [card, epoch])
+    return out
 
-    # Whole cells: exact decimal running totals, so their difference loses nothing.
-    exact = {"n": "bigint", "s1": "decimal(38,10)", "s2": "decimal(38,10)"}
-    cells = moments.groupBy(card, "_cell").agg(*[F.sum(p).cast(exact[p]).alias(p) for p in _PARTS])
-    by_cell = Window.partitionBy(card).orderBy("_cell")
-
-    def through(part: str, cells_back: int) -> Column:
-        return F.coalesce(F.sum(part).over(by_cell.rangeBetween(Window.unboundedPreceding, -cells_back)), F.lit(0))
-
-    middle_names = [f"_mid_{p}_{label}" for label in windows for p in _PARTS]
-    middle = cells.select(
-        card, "_cell", F.lit(-1).alias("_ask"),
-        *[
-            (through(p, 1) - through(p, width // cell)).cast("bigint" if p == "n" else "double").alias(f"_mid_{p}_{label}")
-            for label, width in windows.items() for p in _PARTS
-        ],
-    )
 
+def _window_sums(moments: DataFrame, card: str, epoch: str, width: int) -> DataFrame:
+    """Sums of the moments over ``[t - width, t)`` for every (card, instant).
+
+    Time is cut into cells.  A window is three disjoint parts: the whole cells between its
+    ends, the start of the row's own cell, and the end of the cell the window opens in.
+    The last two are running sums inside one cell, so no task holds more than a cell.
+    """
+    cell = cell_width(width)
+    placed = moments.withColumn("_cell", F.floor((F.col(epoch) - F.pmod(F.col(epoch), F.lit(cell))) / F.lit(cell)))
+    steps = width // cell
+    cells = placed.groupBy(card, "_cell").agg(*[F.sum(p).alias(p) for p in _PARTS])
+    between = Window.partitionBy(card).orderBy("_cell").rangeBetween(-(steps - 1), -1)
+    whole = {p: F.coalesce(F.sum(p).over(between), F.lit(0)) if steps > 1 else F.lit(0) for p in _PARTS}
+    middle = cells.select(card, "_cell", F.lit(-1).alias("_ask"), *[c.alias(f"_mid_{p}") for p, c in whole.items()])
     # Inside a cell three kinds of rows meet, told apart by _ask: its whole-cell sums (-1), the
-    # opening cells of the windows shifted forward onto it (0), and its own instants (1).
-    asks = moments.withColumns({"_ask": F.lit(1), "_at": F.col(epoch)})
-    steps = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.lit(width).cast("bigint").alias("width"), F.lit(width // cell).cast("bigint").alias("cells"))
-        for label, width in windows.items()
-    ])
-    shifted = moments.withColumn("_w", F.explode(steps)).select(
-        card, *_PARTS, (F.col("_cell") + F.col("_w.cells")).alias("_cell"), F.lit(0).alias("_ask"),
-        F.col("_w.label").alias("_window"), (F.col(epoch) + F.col("_w.width")).alias("_at"),
+    # opening cell of the window shifted forward onto it (0), and its own instants (1).
+    asks = placed.withColumns({"_ask": F.lit(1), "_at": F.col(epoch)})
+    shifted = placed.select(
+        card, *_PARTS, (F.col("_cell") + steps).alias("_cell"), F.lit(0).alias("_ask"), (F.col(epoch) + width).alias("_at")
     )
     inside = asks.unionByName(shifted, allowMissingColumns=True).unionByName(middle, allowMissingColumns=True)
     in_cell = Window.partitionBy(card, "_cell")
     forwards = in_cell.orderBy("_ask", "_at").rowsBetween(Window.unboundedPreceding, -1)
     backwards = in_cell.orderBy(F.col("_at").desc(), F.col("_ask")).rowsBetween(Window.unboundedPreceding, 0)
 
-    def total(condition: Column, value: str, frame: WindowSpec) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(value))).over(frame), F.lit(0))
-
-    edge: dict[str, Column] = {}
-    for p in _PARTS:
-        edge[f"_head_{p}"] = total(F.col("_ask") == 1, p, forwards)
-        for label in windows:
-            edge[f"_tail_{p}_{label}"] = total(F.col("_window") == label, p, backwards)
-    for name in middle_names:
-        edge[name] = total(F.col("_ask") == -1, name, forwards)
-    whole = inside.withColumns(edge).filter(F.col("_ask") == 1)
+    def total(ask: int, value: str, frame: WindowSpec) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_ask") == ask, F.col(value))).over(frame), F.lit(0))
 
-    out = [F.col(card), F.col(epoch)]
-    for label in windows:
-        names = statistic_names(label, prefix)
-        n, s1, s2 = (F.col(f"_head_{p}") + F.col(f"_mid_{p}_{label}") + F.col(f"_tail_{p}_{label}") for p in _PARTS)
-        spread = F.greatest(F.lit(0.0), s2 - s1 * s1 / n)
-        out += [
-            n.cast("bigint").alias(names["count"]),
-            F.when(n > 0, s1 + n * F.col("_centre")).otherwise(F.lit(0.0)).alias(names["sum"]),
-            F.when(n > 0, s1 / n + F.col("_centre")).alias(names["mean"]),
-            F.when(n > 1, F.sqrt(spread / (n - 1))).alias(names["std"]),
-        ]
-    return null_safe(df, whole.select(*out), [card, epoch])
+    sums = {f"_{p}": total(1, p, forwards) + total(-1, f"_mid_{p}", forwards) + total(0, p, backwards) for p in _PARTS}
+    return inside.withColumns(sums).filter(F.col("_ask") == 1).select(card, epoch, "_centre", *[F.col(f"_{p}").alias(p) for p in _PARTS])
 
 
 def consecutive_features(

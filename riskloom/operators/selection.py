@@ -16,9 +16,13 @@ from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from riskloom.operators.ordered import null_safe, prior_totals
 
 BINS = 2048
 FINISH_ROWS = 20_000
+#: Groups that become literals of the histogram expression; more are ranked by a sorted plan.
 MAX_GROUPS = 256
 
 
@@ -50,17 +54,17 @@ def select_ranks(
     bins: int = BINS,
     finish_rows: int = FINISH_ROWS,
 ) -> dict[tuple, dict[int, Ranked]]:
-    """Value at each wanted 1-based ascending rank per group; nulls are not counted.
+    """Value at each wanted 1-based ascending rank per group; nulls and NaN are not counted.
 
-    ``ranks(group, n)`` names the ranks once the group size is known.  Groups must be few
-    (classes, splits, tied scores): they become literals of the histogram expression.
+    ``ranks(group, n)`` names the ranks once the group size is known.  The answer is one
+    entry per group and rank, so groups are classes, splits or tied scores, not row keys.
     """
     by = list(by)
     data = df.select(*by, F.col(value).alias("_v"))
+    if data.schema["_v"].dataType.typeName() in ("double", "float"):
+        data = data.withColumn("_v", F.when(~F.isnan("_v"), F.col("_v")))
     stats = data.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    heads = stats.limit(MAX_GROUPS + 1).collect()
-    if len(heads) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
+    heads = stats.collect()
     found: dict[tuple, dict[int, Ranked]] = {}
     totals: dict[tuple, int] = {}
     open_ranges: list[_Range] = []
@@ -73,6 +77,8 @@ def select_ranks(
         if wanted:
             open_ranges.append(_Range(group, row["_lo"], row["_hi"], 0, row["_n"], wanted))
 
+    if len(heads) > MAX_GROUPS:
+        return _sorted_ranks(data, by, open_ranges, found, totals)
     while True:
         still_open = []
         for r in open_ranges:
@@ -85,13 +91,34 @@ def select_ranks(
             return found
         fine = sum(r.rows for r in still_open) <= finish_rows
         open_ranges = _narrow(data, by, still_open, None if fine else bins)
+        if [(r.group, r.low, r.high, r.rows) for r in open_ranges] == [(r.group, r.low, r.high, r.rows) for r in still_open]:
+            raise RuntimeError(f"bins of {value} do not narrow {open_ranges[0]}")
+
+
+def _sorted_ranks(data: DataFrame, by: list[str], ranges: list[_Range], found: dict, totals: dict) -> dict[tuple, dict[int, Ranked]]:
+    """The same for many groups: running counts over the distinct values of each group."""
+    keys = [data.schema[c] for c in by]
+    wanted = [(*r.group, k) for r in ranges for k in r.ranks]
+    asked = data.sparkSession.createDataFrame(wanted, StructType([*keys, StructField("_rank", LongType())]))
+    values = data.filter(F.col("_v").isNotNull()).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    running = prior_totals(values, by, [F.col("_v")], {"_below": F.col("_n")})
+    for r in null_safe(running, asked, by, "inner").filter("_rank > _below AND _rank <= _below + _n").collect():
+        group = tuple(r[c] for c in by)
+        found[group][r["_rank"]] = Ranked(r["_v"], r["_below"], r["_n"], totals[group])
+    return found
 
 
 def _bin(r: _Range, bins: int) -> Column:
     """A bin number or name that never falls as the value rises."""
     if isinstance(r.low, str):
-        # Text ids: two characters more than the range has in common.
-        return F.substring("_v", 1, len(commonprefix([r.low, r.high])) + 2)
+        # Text: characters beyond those that the range has in common, two where they are ASCII.
+        known = len(commonprefix([r.low, r.high]))
+        return F.substring("_v", 1, known + (2 if (r.low[known:] + r.high[known:]).isascii() else 1))
+    if isinstance(r.low, float) and not math.isfinite(r.high - r.low):
+        # Infinite or overflowing: bins of the logarithm, in which infinity has a place of its own.
+        scaled = F.signum("_v") * F.least(F.log1p(F.abs("_v")), F.lit(1000.0))
+        low, high = (math.copysign(min(math.log1p(abs(x)), 1000.0), x) for x in (r.low, r.high))
+        return F.floor((scaled - F.lit(low)) / F.lit((high - low) / (bins - 1))).cast("int")
     share = (F.col("_v") - F.lit(r.low)).cast("double") / F.lit(float(r.high - r.low))
     return F.least(F.floor(share * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
 

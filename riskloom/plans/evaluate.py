@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
-from riskloom.models.calibrate import Calibrator, compare_calibrators
+from riskloom.models.calibrate import Calibrator, compare_calibrators, fit_isotonic, fit_platt
 from riskloom.models.explain import explain_rows, mean_abs_contribution, top_contributions
 from riskloom.models.score import Bundle
 from riskloom.models.train import raw_scores
@@ -62,7 +62,7 @@ def evaluate(
     transactions: DataFrame,
     bundle: Bundle,
     ticks_per_second: int = 1,
-    sample_rows: int = 5_000,
+    sample_rows: int | None = None,
     expected_pr_auc: float | None = None,
 ) -> Evaluation:
     """Metrics, calibration, segments, cost and explanations of a model on val and test.
@@ -82,9 +82,9 @@ def evaluate(
 
     calibrator, calibration = compare_calibrators(val, test, label, score)
     curve = metrics.calibration_curve(val, label, score).withColumn("kind", F.lit("raw"))
-    if calibrator.kind != "raw":
-        fitted = calibrator.apply(val, score, "_calibrated")
-        curve = curve.unionByName(metrics.calibration_curve(fitted, label, "_calibrated").withColumn("kind", F.lit(calibrator.kind)))
+    for other in (fit_platt(val, label, score), fit_isotonic(val, label, score)):
+        fitted = other.apply(val, score, "_calibrated")
+        curve = curve.unionByName(metrics.calibration_curve(fitted, label, "_calibrated").withColumn("kind", F.lit(other.kind)))
 
     rows = segments.segment_rows(test, "category", "is_night", "log1p_amt", "age", ["tx_id", label, score])
     by_segment = materialize(segments.segment_metrics(rows, label, score, "tx_id"), "segments")
@@ -97,8 +97,8 @@ def evaluate(
         ((F.max(F.when(in_test, F.col("us"))) - F.min(F.when(in_test, F.col("us")))) / month).alias("test_months"),
     )
 
-    # Written out: a top-n sample read twice must be the same rows both times.
-    sample = materialize(sampling.sample_n(test, "tx_id", sample_rows), "sample")
+    # All test rows, or a sample; a sample is written out, as both reads must see the same rows.
+    sample = test if sample_rows is None else materialize(sampling.sample_n(test, "tx_id", sample_rows), "sample")
     explained = explain_rows(sample, bundle.model, features=bundle.features)
     cases = sampling.top_per_group(sample, label, [F.col(score).desc(), F.col("tx_id")], 3).select("tx_id", label, score, "rank")
     return Evaluation(

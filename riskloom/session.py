@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,15 +35,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path under the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a folder of its own:
-    on a cluster a machine-local path would not be visible to other executors.
+    A local session without that setting uses the warehouse folder; on a cluster the
+    setting must be there, as a machine-local path would not be visible to other executors.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -28,8 +28,11 @@ def write_scored(df: DataFrame, path: str) -> None:
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    """A report table (segments, importance, top-k): small by construction."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """A report table (segments, importance, top-k): small by construction.
+
+    One file; the exchange keeps what makes the report from running in that one task.
+    """
+    df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def append_decisions(df: DataFrame, path: str, clock: str) -> None:
