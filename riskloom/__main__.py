@@ -16,6 +16,7 @@ def _parser() -> argparse.ArgumentParser:
     p = steps.add_parser("ingest", help="CSV files to staging table")
     p.add_argument("--csv", nargs="+", required=True)
     p.add_argument("--staging", required=True)
+    p.add_argument("--max-unreadable", type=int, default=0)
     p = steps.add_parser("features", help="staging table to curated features")
     p.add_argument("--staging", required=True)
     p.add_argument("--curated", required=True)
@@ -35,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--split", choices=["train", "val", "test"])
     p.add_argument("--limit", type=int)
+    p.add_argument("--expected-pr-auc", type=float)
     return parser
 
 
@@ -45,7 +47,7 @@ def run(args: argparse.Namespace) -> None:
 
     spark = build_session()
     if args.step == "ingest":
-        done = ingest.ingest(spark, args.csv, args.staging)
+        done = ingest.ingest(spark, args.csv, args.staging, args.max_unreadable)
         done.quality.show(truncate=False)
         done.nulls.show(truncate=False)
     elif args.step == "features":
@@ -61,7 +63,7 @@ def run(args: argparse.Namespace) -> None:
         found.calibration.show(truncate=False)
         found.cost_optimum.show(truncate=False)
     else:
-        scoring.score_table(spark, args.curated, args.bundle, args.out, args.split, args.limit).show(truncate=False)
+        scoring.score_table(spark, args.curated, args.bundle, args.out, args.split, args.limit, args.expected_pr_auc).show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -199,7 +199,7 @@ def explain_rows(spark, sf):
 @query("topk_contrib_per_row", f"{SPLIT_SQL} SELECT tx_id, CAST(5 AS BIGINT) AS n, true AS in_order, true AS directions FROM p WHERE split = 'test'")
 def topk_contrib_per_row(spark, sf):
     test = curated(spark, sf).filter(F.col("split") == "test")
-    top = explain.top_contributions(explain.explain_rows(test, trained(spark, sf)), test)
+    top = explain.top_contributions(explain.explain_rows(test, trained(spark, sf)))
     sizes = F.transform("top", lambda e: F.abs(e["contribution"]))
     agrees = F.forall("top", lambda e: e["direction"].eqNullSafe(X.contribution_direction(e["contribution"])) & e["feature"].isin(*S.FEATURE_COLUMNS))
     return top.select("tx_id", F.size("top").cast("bigint").alias("n"), (F.sort_array(sizes, asc=False) == sizes).alias("in_order"), agrees.alias("directions"))

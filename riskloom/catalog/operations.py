@@ -26,14 +26,20 @@ def band():
 
 @query("scan_csv_union", """SELECT event_id, user_id, value, event_type, CASE WHEN event_type='error' THEN NULL ELSE props END AS props FROM events""")
 def scan_csv_union(spark, sf):
-    """Two CSV sets with different columns in different order, read back as one table."""
+    """Two CSV sets with different columns in different order, read back as one table.
+
+    A third file holds one unreadable value; its row is told apart by it.
+    """
     path = work_dir(spark, "csv")
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type", "props")
     full, short = F.col("event_type") != "error", ["value", "event_type", "event_id", "user_id"]
     events.filter(full).write.option("escape", '"').csv(f"{path}/full", header=True)
     events.filter(~full).select(*short).write.csv(f"{path}/short", header=True)
     schema = events.schema
-    return tables.scan_csv_union(spark, [f"{path}/full", f"{path}/short"], schema).select(*events.columns)
+    bad = spark.createDataFrame([("1,200", "click", "-1", "0")], "value string, event_type string, event_id string, user_id string")
+    bad.write.csv(f"{path}/bad", header=True)
+    read = tables.scan_csv_union(spark, [f"{path}/{p}" for p in ("full", "short", "bad")], schema, keep_unreadable=True)
+    return read.where(F.size(tables.UNREADABLE) == 0).select(*events.columns)
 
 
 @query("schema_validate", "SELECT 'extra: k' AS difference, COUNT(*) AS n_rows FROM events")

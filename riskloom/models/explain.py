@@ -62,12 +62,16 @@ def load_forest(model: PipelineModel) -> Forest:
 
 
 def explain_rows(df: DataFrame, model: PipelineModel, key: str = "tx_id", features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
-    """``key, base_value, contributions`` with one entry per feature, in feature order."""
+    """``key, base_value, contributions, values`` with one entry per feature, in feature order.
+
+    ``values`` are the features as they came, so nothing has to be joined back.
+    """
     forest = load_forest(model)
     # Plain arrays and a local function: tasks need numpy and pandas only.
     shared = df.sparkSession.sparkContext.broadcast(vars(forest))
     columns = list(features)
-    rows = model_input(df, features).select(key, *columns)
+    given = df.withColumn("_values", F.array(*[F.col(c).cast("double") for c in columns]))
+    rows = model_input(given, features).select(key, "_values", *columns)
     key_type = df.schema[key].dataType.simpleString()
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,26 +91,30 @@ def explain_rows(df: DataFrame, model: PipelineModel, key: str = "tx_id", featur
                     found[moving, split_on] += value[child] - value[node]
                     at[moving] = child
                     moving = moving[left[child] >= 0]
-            yield pd.DataFrame({key: batch[key], "base_value": base, "contributions": list(found)})
+            yield pd.DataFrame({key: batch[key], "base_value": base, "contributions": list(found), "values": batch["_values"]})
+
+    return rows.mapInPandas(attribute, f"{key} {key_type}, base_value double, contributions array<double>, values array<double>")
+
 
-    return rows.mapInPandas(attribute, f"{key} {key_type}, base_value double, contributions array<double>")
+def explained_score() -> Column:
+    """The raw score of an explained row: contributions add up to its logit."""
+    return 1 / (1 + F.exp(-F.aggregate("contributions", F.col("base_value"), lambda a, v: a + v)))
 
 
-def top_contributions(explained: DataFrame, data: DataFrame, key: str = "tx_id", features: Sequence[str] = S.FEATURE_COLUMNS, k: int = 5) -> DataFrame:
-    """``key, base_value, top``: the k largest absolute contributions with value and direction."""
-    values = data.select(key, F.array(*[F.col(c).cast("double") for c in features]).alias("_values"))
+def top_contributions(explained: DataFrame, features: Sequence[str] = S.FEATURE_COLUMNS, k: int = 5) -> DataFrame:
+    """All columns of the explained rows and ``top``: the k largest absolute contributions with value and direction."""
     names = F.array(*[F.lit(c) for c in features])
 
     def entry(parts: Column) -> Column:
         return F.struct(
-            (-F.abs(parts["contributions"])).alias("order"), parts["names"].alias("feature"), parts["_values"].alias("value"),
+            (-F.abs(parts["contributions"])).alias("order"), parts["names"].alias("feature"), parts["values"].alias("value"),
             parts["contributions"].alias("contribution"), X.contribution_direction(parts["contributions"]).alias("direction"),
         )
 
-    zipped = explained.join(values, key).withColumn("names", names)
-    ordered = F.array_sort(F.transform(F.arrays_zip("names", "_values", "contributions"), entry))
+    zipped = explained.withColumn("names", names)
+    ordered = F.array_sort(F.transform(F.arrays_zip("names", "values", "contributions"), entry))
     top = F.transform(F.slice(ordered, 1, k), lambda e: e.dropFields("order"))
-    return zipped.select(key, "base_value", top.alias("top"))
+    return zipped.withColumn("top", top).drop("names")
 
 
 def long_contributions(explained: DataFrame, key: str = "tx_id", features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:

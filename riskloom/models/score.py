@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.models.calibrate import Calibrator, load_calibrator, save_calibrator
-from riskloom.models.explain import explain_rows, top_contributions
+from riskloom.models.explain import explain_rows, explained_score, top_contributions
 from riskloom.models.train import raw_scores
 from riskloom.operators.metrics import ranking_summary
 from riskloom.sources.gate import gate_rows
@@ -73,14 +73,17 @@ def score_batch(df: DataFrame, bundle: Bundle) -> DataFrame:
 
 
 def score_explained(df: DataFrame, bundle: Bundle, key: str = "tx_id", k: int = 5) -> DataFrame:
-    """One response per row: scores, both decisions with their thresholds, top contributions, base value."""
-    scored = score_batch(df, bundle).select(
+    """One response per row: scores, both decisions with their thresholds, top contributions, base value.
+
+    One pass over the rows: the explanation gives the score too, and no key is joined.
+    """
+    explained = explain_rows(df, bundle.model, key, bundle.features).withColumn("score_raw", explained_score())
+    scored = bundle.calibrator.apply(top_contributions(explained, bundle.features, k), "score_raw", "score_calibrated")
+    return scored.select(
         key, "score_raw", "score_calibrated",
         X.decision(F.col("score_raw"), bundle.operating_threshold).alias("decision_operating"),
-        X.decision(F.col("score_raw"), bundle.cost_threshold).alias("decision_cost"),
+        X.decision(F.col("score_raw"), bundle.cost_threshold).alias("decision_cost"), "base_value", "top",
     )
-    explained = explain_rows(df, bundle.model, key, bundle.features)
-    return scored.join(top_contributions(explained, df, key, bundle.features, k), key)
 
 
 def gate_and_score(df: DataFrame, bundle: Bundle, required: Sequence[str] = S.REQUIRED_FEATURES) -> tuple[DataFrame, DataFrame]:
@@ -91,9 +94,12 @@ def gate_and_score(df: DataFrame, bundle: Bundle, required: Sequence[str] = S.RE
     return score_batch(gated.filter(reason.isNull()).drop("reject_reason"), bundle), gated.filter(reason.isNotNull())
 
 
-def sanity_check(scored: DataFrame, target: str = S.TARGET) -> DataFrame:
-    """Ranking quality over answered rows, when labels are there."""
-    return ranking_summary(scored, target, "score_raw")
+def sanity_check(scored: DataFrame, target: str = S.TARGET, expected: float | None = None, tolerance: float = 0.01) -> DataFrame:
+    """Ranking quality over answered rows, when labels are there, and whether it is the expected one."""
+    found = ranking_summary(scored, target, "score_raw")
+    if expected is None:
+        return found
+    return found.withColumn("as_expected", F.coalesce(F.abs(F.col("pr_auc") - F.lit(expected)) <= F.lit(tolerance), F.lit(False)))
 
 
 def replay(log: DataFrame, bundle: Bundle, key: str = "tx_id") -> DataFrame:

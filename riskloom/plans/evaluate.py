@@ -108,6 +108,6 @@ def evaluate(
         calibration=calibration, calibration_curves=curve, segments=by_segment, weak_segments=segments.weak_segments(by_segment),
         cost_curve=cost.cost_sweep(val, label, score, "amt"), cost_optimum=optimum, monthly_value=cost.value_extrapolation(optimum, sizes),
         importance=mean_abs_contribution(explained, features=bundle.features).orderBy(F.desc("mean_abs"), "feature").limit(10),
-        convincing_cases=cases.join(top_contributions(explained, sample, features=bundle.features), "tx_id"),
+        convincing_cases=cases.join(top_contributions(explained, bundle.features).select("tx_id", "base_value", "top"), "tx_id"),
         calibrator=calibrator,
     )

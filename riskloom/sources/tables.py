@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,25 +28,55 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-def scan_csv_union(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
+#: Column of the values that a declared type could not read, by column name.
+UNREADABLE = "_unreadable"
+
+
+def scan_csv_union(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = RAW_SCHEMA, keep_unreadable: bool = False
+) -> DataFrame:
     """Read CSV files with headers and align their columns by name, absent ones as null.
 
-    With a declared schema each file still has its own column order and set, so the header
-    names the fields and the schema gives the types; without one, types are inferred.
+    With a declared schema the header names the fields and the schema gives the types;
+    without one, types are inferred.  Files with equal headers share one scan.  A value
+    that its type cannot read becomes null; ``keep_unreadable`` adds the map
+    ``_unreadable`` from its column to its text.
     """
     if not paths:
         raise FileNotFoundError("no CSV files given")
 
-    def one(path: str) -> DataFrame:
+    def header(path: str) -> tuple[str, ...]:
+        return tuple(spark.read.csv(path, header=True, escape='"').columns)
+
+    with ThreadPoolExecutor(8) as pool:
+        headers = dict(zip(paths, pool.map(header, paths)))
+
+    def one(columns: tuple[str, ...]) -> DataFrame:
+        own = [p for p in paths if headers[p] == columns]
         if schema is None:
-            return spark.read.csv(path, header=True, inferSchema=True, escape='"')
-        text = spark.read.csv(path, header=True, enforceSchema=False, escape='"')
-        known = {f.name: f.dataType for f in schema.fields}
-        return text.select([
-            F.col(f"`{c}`").try_cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in text.columns
-        ])
-
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p) for p in paths])
+            return spark.read.csv(own, header=True, inferSchema=True, escape='"')
+        text = spark.read.csv(own, header=True, enforceSchema=False, escape='"')
+        known = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields if f.name in columns}
+        out = text.select([known[c].alias(c) if c in known else F.col(f"`{c}`") for c in columns] + (
+            [_unreadable(known).alias(UNREADABLE)] if keep_unreadable else []
+        ))
+        return out
+
+    scans = [one(columns) for columns in dict.fromkeys(headers.values())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _unreadable(known: dict[str, Column]) -> Column:
+    lost = F.array(*[
+        F.when(cast.isNull() & F.col(f"`{c}`").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("text")))
+        for c, cast in known.items()
+    ])
+    return F.map_from_entries(F.filter(lost, lambda v: v.isNotNull()))
+
+
+def unreadable_counts(df: DataFrame) -> DataFrame:
+    """``column, n`` of the values that could not be read."""
+    return df.select(F.explode(UNREADABLE).alias("column", "text")).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)

@@ -146,7 +146,7 @@ def test_contributions_add_up_to_the_logit(flow):
     total = both.base_value + both.contributions.map(sum)
     logit = np.log(both.score_raw / (1 - both.score_raw))
     np.testing.assert_allclose(total, logit, atol=1e-6)
-    top = explain.top_contributions(explained, test).first().top
+    top = explain.top_contributions(explained).first().top
     sizes = [abs(e.contribution) for e in top]
     assert len(top) == 5 and sizes == sorted(sizes, reverse=True)
     assert all(e.direction == ("increases_fraud" if e.contribution >= 0 else "decreases_fraud") for e in top)
@@ -176,6 +176,18 @@ def test_scoring_plan_and_cli(flow, capsys):
     assert code == 2
 
 
+def test_scoring_refuses_bad_rows(flow):
+    base, spark = flow["base"], flow["curated"].sparkSession
+    test = flow["curated"].filter("split = 'test'")
+    first = test.agg(F.min("tx_id")).first()[0]
+    bad = test.withColumn("log1p_amt", F.when(F.col("tx_id") == first, F.lit(float("nan"))).otherwise(F.col("log1p_amt")))
+    bad.write.mode("overwrite").parquet(str(base / "bad"))
+    found = scoring.score_table(spark, str(base / "bad"), str(base / "out" / "bundle"), str(base / "some"), expected_pr_auc=2.0).first()
+    assert found.n == test.count() - 1 and not found.as_expected
+    (refused,) = spark.read.parquet(str(base / "some_quarantine")).collect()
+    assert refused.tx_id == first and "log1p_amt" in refused.reject_reason
+
+
 def test_evaluation_tables(flow, tmp_path):
     found = evaluate.evaluate(flow["curated"], flow["staging"], flow["bundle"], sample_rows=60)
     bundle = {r.metric: r.value for r in found.test_metrics.collect()}

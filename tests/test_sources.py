@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -105,3 +106,13 @@ def test_log_only_grows(spark, tmp_path):
     for _ in range(2):
         sinks.append_decisions(df, str(tmp_path / "log"), "ts")
     assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+
+
+def test_unreadable_values_are_kept(spark, tmp_path):
+    for name, lines in {"a": "id,amt\n1,5.5\n2,abc", "b": 'amt,id\n"1,200",3\n,4', "c": "id,amt\n5,7"}.items():
+        (tmp_path / f"{name}.csv").write_text(lines + "\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DoubleType())])
+    read = tables.scan_csv_union(spark, [str(tmp_path / f"{n}.csv") for n in "abc"], schema, keep_unreadable=True)
+    rows = {r.id: (r.amt, r[tables.UNREADABLE]) for r in read.collect()}
+    assert rows == {1: (5.5, {}), 2: (None, {"amt": "abc"}), 3: (None, {"amt": "1,200"}), 4: (None, {}), 5: (7.0, {})}
+    assert [(r["column"], r["n"]) for r in tables.unreadable_counts(read).collect()] == [("amt", 2)]
