@@ -3,8 +3,8 @@
 Each micro-batch joins the recent history of its own cards and runs the same operator as
 the batch plan, so training and serving cannot differ, and a card that dominates the
 stream is split like any hot key instead of growing one state entry in one task.  History
-is a table by day: a batch reads only the days its longest window reaches.
-Late events also re-emit the transactions whose windows they fall in, as new revisions.
+is a table by day and card bucket: a batch reads only the days its longest window reaches
+and the buckets of its cards.  Late events also re-emit the transactions whose windows they fall in, as new revisions.
 """
 
 from __future__ import annotations
@@ -19,20 +19,40 @@ from riskloom.operators.rolling import ROWS_PER_CARD, rolling_past, statistic_na
 from riskloom.streaming.runs import BatchTable, DayHistory, run_batches
 
 
+#: Card buckets of a day of history.
+BUCKETS = 64
+#: Days behind the newest event after which an event is too late to be used.
+MAX_DAYS_LATE = 30
+
+
 class RollingStream:
-    """Keeps ``<path>/history`` and ``<path>/features``; rows need ``tx_id, card, us, amt``."""
+    """Keeps ``<path>/history`` and ``<path>/features``; rows need ``tx_id, card, us, amt``.
+
+    Events more than ``max_days_late`` days behind the newest one go to ``<path>/quarantine``.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, windows: Mapping[str, int], ticks_per_day: int = 86_400, limit: int = ROWS_PER_CARD
+        self, spark: SparkSession, path: str, windows: Mapping[str, int], ticks_per_day: int = 86_400, limit: int = ROWS_PER_CARD,
+        max_days_late: int = MAX_DAYS_LATE,
     ):
+        self.max_days_late, self.quarantine = max_days_late, BatchTable(spark, f"{path}/quarantine")
         self.windows, self.ticks_per_day, self.limit, self.path = dict(windows), ticks_per_day, limit, path
         self.history = DayHistory(spark, f"{path}/history")
         self.features = BatchTable(spark, f"{path}/features")
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         day = F.floor(F.col("us") / F.lit(self.ticks_per_day))
-        new = batch.select("tx_id", "card", "us", "amt", day.alias("day")).persist()
+        bucket = F.pmod(F.xxhash64("card"), F.lit(BUCKETS))
+        came = batch.select("tx_id", "card", "us", "amt", day.alias("day"), bucket.alias("bucket")).persist()
         try:
+            newest = came.agg(F.max("day")).first()[0]
+            if newest is None:
+                return
+            # The batch's own newest day counts too, so a retry draws the same line.
+            oldest = max([newest, *self.history.days()]) - self.max_days_late
+            if not came.filter(F.col("day") < oldest).isEmpty():
+                self.quarantine.write(came.filter(F.col("day") < oldest).drop("day", "bucket"), batch_id)
+            new = came.filter(F.col("day") >= oldest)
             span = new.agg(F.min("us").alias("first"), F.max("us").alias("last")).first()
             if span.first is None:
                 return
@@ -40,13 +60,14 @@ class RollingStream:
             # Written last: a batch that fails half-way is not its own history when retried.
             self.history.write(new, batch_id)
         finally:
-            new.unpersist()
+            came.unpersist()
 
     def _emit(self, new: DataFrame, first: int, last: int, batch_id: int) -> DataFrame:
         longest = max(self.windows.values())
-        rows = new.drop("day").withColumn("_new", F.lit(1.0))
+        rows = new.drop("day", "bucket").withColumn("_new", F.lit(1.0))
         days = ((first - longest) // self.ticks_per_day, (last + longest) // self.ticks_per_day)
-        known = self.history.read(new.drop("day").schema, *days, before=batch_id)
+        buckets = {r.bucket for r in new.select("bucket").distinct().collect()}  # BUCKETS at the most
+        known = self.history.read(new.drop("day", "bucket").schema, *days, before=batch_id, buckets=buckets)
         late = False
         if known is not None:
             near = known.filter(F.col("us").between(first - longest, last + longest))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,10 +57,10 @@ class BatchTable:
 
 
 class DayHistory:
-    """Rows by ``day`` and micro-batch, read a few days at a time.
+    """Rows by ``day``, ``bucket`` and micro-batch, read a few days and buckets at a time.
 
-    Only the folders of the wanted days are listed, so a read does not slow down as the
-    history grows.  A retried batch replaces just its own (day, batch) folders.
+    Folders are listed, never asked for one by one, so neither a long history nor an odd
+    clock slows a read down.  A retried batch replaces just its own folders.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -69,18 +69,26 @@ class DayHistory:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("day", "batch").parquet(self.path)
-
-    def read(self, schema: T.StructType, first_day: int, last_day: int, before: int) -> DataFrame | None:
-        """Rows of the given days from earlier batches; None when no such folder exists."""
-        files = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        folders = []
-        for day in range(first_day, last_day + 1):
-            folder = files.Path(f"{self.path}/day={day}")
-            if folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-                folders.append(folder.toString())
+        ).partitionBy("day", "bucket", "batch").parquet(self.path)
+
+    def _numbers(self, path: str, name: str) -> list[int]:
+        """Numbers of the folders ``name=<number>`` in a folder; none when it does not exist."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+        return [int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")]
+
+    def days(self) -> list[int]:
+        return self._numbers(self.path, "day")
+
+    def read(self, schema: T.StructType, first_day: int, last_day: int, before: int, buckets: Collection[int]) -> DataFrame | None:
+        """Rows of the given days and buckets from earlier batches; None when no such folder exists."""
+        folders = [
+            f"{self.path}/day={day}/bucket={bucket}" for day in self.days() if first_day <= day <= last_day
+            for bucket in self._numbers(f"{self.path}/day={day}", "bucket") if bucket in buckets
+        ]
         if not folders:
             return None
-        keys = [T.StructField("day", T.LongType()), T.StructField("batch", T.LongType())]
+        keys = [T.StructField("day", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("batch", T.LongType())]
         reader = self.spark.read.schema(T.StructType([*schema.fields, *keys])).option("basePath", self.path)
         return reader.parquet(*folders).filter(F.col("batch") < before)

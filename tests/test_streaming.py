@@ -57,3 +57,17 @@ def test_retries_count_once(spark, tmp_path):
     out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
     runs.run_to_table(monitor.drop_retries(runs.tx_stream(spark, str(tmp_path / "in"), df.schema, 1), "tx_id", "ts"), out, mark)
     assert sorted(r.tx_id for r in spark.read.parquet(out).collect()) == list(range(50))
+
+
+def test_events_with_a_very_old_clock_are_set_aside(spark, tmp_path):
+    pdf = skewed(120).rename(columns={"tx": "tx_id", "t": "us"})
+    pdf["us"] += 10**9
+    df = spark.createDataFrame(pdf).select("tx_id", "card", "us", "amt")
+    old = spark.createDataFrame([(9_999, 1, 5, 1.0)], df.schema)
+    for part in (df.filter("tx_id < 60"), df.filter("tx_id >= 60").union(old)):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS)
+    job.run(runs.tx_stream(spark, str(tmp_path / "in"), df.schema, 1))
+    got = {r.tx_id: r.rolling_count_24h for r in job.current().collect()}
+    assert got == {r.tx_id: r.rolling_count_24h for r in rolling_past(df, "card", "us", "amt", WINDOWS).collect()}
+    assert [r.tx_id for r in job.quarantine.read().collect()] == [9_999]
