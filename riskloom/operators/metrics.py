@@ -17,6 +17,7 @@ from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.operators.ordered import ROWS_PER_KEY, global_rank, many_valued_keys, null_safe, prior_totals
 from riskloom.operators.selection import cut_points, exact_quantiles
+from riskloom.session import materialize
 
 
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), limit: int = ROWS_PER_KEY) -> DataFrame:
@@ -85,9 +86,12 @@ def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), lim
     )
 
 
-def best_f1_threshold(df: DataFrame, label: str, score: str, limit: int = ROWS_PER_KEY) -> DataFrame:
-    """One row ``(threshold, f1)``: highest F1, lowest threshold on ties, (0.5, 0) without rows."""
-    curve = _with_totals(score_curve(df, label, score, (), limit), df, label, score, ())
+def best_f1_threshold(df: DataFrame, label: str, score: str, limit: int = ROWS_PER_KEY, curve: DataFrame | None = None) -> DataFrame:
+    """One row ``(threshold, f1)``: highest F1, lowest threshold on ties, (0.5, 0) without rows.
+
+    ``curve`` is the rows' score curve, if it is there already.
+    """
+    curve = _with_totals(score_curve(df, label, score, (), limit) if curve is None else curve, df, label, score, ())
     f1 = F.lit(2.0) * F.col("cum_pos") / (F.col("cum_n") + F.col("_pos"))
     best = curve.withColumn("f1", f1).agg(
         F.max_by(F.struct("threshold", "f1"), F.struct(F.col("f1"), -F.col("threshold"))).alias("b")
@@ -170,7 +174,8 @@ def recall_at_fraction_by(
         *by, "_pos", F.col("threshold").alias("_cut"), (F.col("cum_pos") - F.col("pos")).alias("_above"),
         (F.col("_k") - F.col("cum_n") + F.col("n")).alias("_need"),
     )
-    tied = null_safe(df.select(*by, label, score, tie), cut, by, "inner").filter(F.col(score) == F.col("_cut"))
+    # One row per segment: broadcast, so that the rows need no exchange to meet it.
+    tied = null_safe(df.select(*by, label, score, tie), F.broadcast(cut), by, "inner").filter(F.col(score) == F.col("_cut"))
     ranked = global_rank(tied, by, [F.col(tie)], "_rank", limit)
     at_cut = ranked.filter(F.col("_rank") <= F.col("_need")).groupBy(*by).agg(F.sum(label).cast("bigint").alias("_at_cut"))
     joined = null_safe(cut, at_cut, by)
@@ -180,10 +185,12 @@ def recall_at_fraction_by(
 
 def metrics_bundle(df: DataFrame, label: str, score: str, tie: str, threshold: float | Column | None = None) -> DataFrame:
     """Long ``(metric, value)`` table: pr_auc, roc_auc, recall_at_1pct, f1_at_thr, threshold."""
-    summary = ranking_summary(df, label, score)
+    # One record per distinct score, written once and read by both.
+    curve = materialize(score_curve(df, label, score, (), ROWS_PER_KEY), "curve")
+    summary = curve_summary(curve)
     recall = top_fractions(df, label, score, tie, [S.TOP_FRACTION])
     if threshold is None:
-        best = best_f1_threshold(df, label, score)
+        best = best_f1_threshold(df, label, score, curve=curve)
     else:
         cut = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
         best = confusion_at(df, label, score, threshold).select("f1").withColumn("threshold", cut)
