@@ -40,7 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat a doc_id are one document, of which one row stays. Rows without doc_id stay.
     """
     found = materialize(jaccard.link_components(docs.select("doc_id", "text")), "components")
-    leading = found.where("doc_id = component_id").select("doc_id").distinct()
+    # The ids that stay grow with the documents: one plan at every size, without a broadcast.
+    leading = found.where("doc_id = component_id").select("doc_id").distinct().hint("merge")
     named = docs.where("doc_id IS NOT NULL").join(leading, "doc_id", "left_semi")
     # Only ids that occur again need their rows brought together.
     again = materialize(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
