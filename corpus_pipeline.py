@@ -15,6 +15,8 @@ from riskloom.session import materialize, prepare
 #: Cosine below which a text of so many characters is in none of the learned languages; a
 #: shorter one has too few n-grams to tell.
 LEAST_COSINE, TELLING = 0.1, 200
+#: Words of a shingle and percent of shingles in common, from which two texts are near duplicates.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +36,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the least doc_id.
 
-    Similar is what the join's contract says: 90 of 100 three-word shingles in common. That
-    allows a changed word in 57; five words at 0.8 would allow one in 45.
+    Similar means that ``NEAR_PERCENT`` of 100 shingles of ``NEAR_WORDS`` words are in common: a
+    copy with a passage added or cut is one up to a quarter more shingles.
 
     Rows that repeat a doc_id are one document, of which one row stays. Rows without doc_id stay.
     """
-    found = materialize(jaccard.link_components(docs.select("doc_id", "text")), "components")
+    found = materialize(jaccard.link_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT), "components")
     # The ids that stay grow with the documents: one plan at every size, without a broadcast.
     leading = found.where("doc_id = component_id").select("doc_id").distinct().hint("merge")
     named = docs.where("doc_id IS NOT NULL").join(leading, "doc_id", "left_semi")

@@ -1,8 +1,8 @@
 """Self-join of documents by n-gram Jaccard similarity: T-occurrence search with DivideSkip.
 
 A document is the set of its distinct word shingles. Equal sets are one *node*, so copies
-never meet each other. Nodes find their company without losing a pair: two sets with
-similarity 0.9 differ in at most H shingles, so if shingles are dealt over H + 1 buckets
+never meet each other. Nodes find their company without losing a pair: two similar
+sets differ in at most H shingles, so if shingles are dealt over H + 1 buckets
 the sets agree on a whole bucket. H depends on the size; sizes fall into classes so narrow
 that similar sets are in the same class or in neighbouring ones, and each set gives its
 buckets' digests for both. Nodes connected by equal digests form a *cluster*.
@@ -43,31 +43,33 @@ from riskloom.llm.common import mix64, table, text_chunks
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
-SHINGLE = 3
-#: Similarity in percent.
-PERCENT = 90
+#: Words of a shingle and similarity in percent, where the caller names no others.
+SHINGLE, PERCENT = 3, 90
 #: Sets in one part of a cluster; a cell joins two parts.
 CELL = 96
 #: Weight of merging against probing: the more, the fewer lists count as long.
 MERGE_WEIGHT = 0.0085
 CACHE_WORDS = 300_000
-#: Sets smaller than this are similar to equal ones only.
-SMALLEST = PERCENT // (100 - PERCENT)
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
-def size_classes(largest: int) -> list[int]:
+def smallest(percent: int) -> int:
+    """Sets smaller than this are similar to equal ones only."""
+    return max(1, percent // (100 - percent))
+
+
+def size_classes(largest: int, percent: int = PERCENT) -> list[int]:
     """First size of each class: sets two classes apart cannot reach the similarity."""
-    first = [SMALLEST]
+    first = [smallest(percent)]
     while first[-1] <= largest:
-        first.append(-(-first[-1] * 100 // PERCENT))
+        first.append(-(-first[-1] * 100 // percent))
     return first
 
 
-def buckets(size_class: int, first: list[int]) -> int:
+def buckets(size_class: int, first: list[int], percent: int = PERCENT) -> int:
     """Buckets of a class, one more than similar sets can differ in; larger classes have one spare."""
-    differ = 2 * (first[size_class + 1] - 1) * (100 - PERCENT) // (100 + PERCENT)
+    differ = 2 * (first[size_class + 1] - 1) * (100 - percent) // (100 + percent)
     return differ + 1 + (differ >= 8)
 
 
@@ -95,14 +97,14 @@ class Shingler:
         return np.unique(total)
 
 
-def digests(shingles: np.ndarray, first: list[int]) -> list[int]:
+def digests(shingles: np.ndarray, first: list[int], percent: int = PERCENT) -> list[int]:
     """Digests of the set's buckets in its own size class and the next."""
-    if len(shingles) < SMALLEST:
+    if len(shingles) < smallest(percent):
         return []
     mixed, out = mix64(shingles ^ _ODD[3]), []
     own = int(np.searchsorted(first, len(shingles), side="right")) - 1
     for size_class in (own, own + 1):
-        number = buckets(size_class, first)
+        number = buckets(size_class, first, percent)
         # A bucket is a range of the leading bits, so sorted shingles lie in buckets one after the other.
         bucket = ((shingles >> np.uint64(32)) * np.uint64(number)) >> np.uint64(32)
         starts = np.flatnonzero(np.append(True, np.diff(bucket) > 0))
@@ -111,25 +113,25 @@ def digests(shingles: np.ndarray, first: list[int]) -> list[int]:
         keys = mix64(digest + mix64(np.arange(number, dtype=np.uint64) + np.uint64(size_class << 32)))
         empty = number - len(starts)
         # With no more empty buckets than spare ones, similar sets also agree on a bucket that is not empty.
-        spare = number - 1 - 2 * (first[size_class + 1] - 1) * (100 - PERCENT) // (100 + PERCENT)
+        spare = number - 1 - 2 * (first[size_class + 1] - 1) * (100 - percent) // (100 + percent)
         out.append(keys if empty > spare else keys[bucket[starts].astype(np.int64)])
     return np.concatenate(out).astype(np.int64).tolist()
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, size and two digests of the set, and the digests of its buckets."""
     kinds = "doc_id long, n long, set_a long, set_b long, digests array<long>"
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("digests", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, first = Shingler(), size_classes(1_000)
+        shingler, first = Shingler(size), size_classes(1_000, percent)
         for part, texts in text_chunks(batches):
             rows = []
             for doc_id, text in zip(part.column(0).to_pylist(), texts):
                 s = shingler.shingles(text)
                 if len(s) * 2 > first[-1]:
-                    first = size_classes(len(s) * 4)
-                rows.append((doc_id, len(s), *_set_digests(s), digests(s, first)))
+                    first = size_classes(len(s) * 4, percent)
+                rows.append((doc_id, len(s), *_set_digests(s), digests(s, first, percent)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)
@@ -143,8 +145,8 @@ def _set_digests(shingles: np.ndarray) -> tuple[int, int]:
 class Lists:
     """Inverted lists of some sets, and DivideSkip over them."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
+        self.sets, self.percent = sets, percent
         shingles = np.concatenate([*sets, np.zeros(0, np.int64)])
         owners = np.repeat(np.arange(len(sets)), list(map(len, sets)))
         order = np.argsort(shingles, kind="stable")  # keeps owners in order within a list
@@ -156,7 +158,7 @@ class Lists:
         """(set, overlap) of all sets that share enough shingles with the query."""
         at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
         held = np.flatnonzero(self.shingles[at] == query) if len(self.shingles) else at[:0]
-        least = -(-PERCENT * len(query) // 100)  # the overlap with any similar set
+        least = -(-self.percent * len(query) // 100)  # the overlap with any similar set
         if len(held) < least:
             return
         length = (self.stops - self.starts)[at[held]]
@@ -166,12 +168,12 @@ class Lists:
         lists = [self.owners[self.starts[a] : self.stops[a]].tolist() for a in at[short]]
         for owner, found in merge_skip(lists, least - long):
             own = self.sets[owner]
-            if PERCENT * max(len(own), len(query)) > 100 * min(len(own), len(query)):
+            if self.percent * max(len(own), len(query)) > 100 * min(len(own), len(query)):
                 continue
             place = np.searchsorted(own, probed)
             place[place == len(own)] = 0
             overlap = found + int((own[place] == probed).sum())
-            if 100 * overlap >= PERCENT * (len(own) + len(query) - overlap):
+            if 100 * overlap >= self.percent * (len(own) + len(query) - overlap):
                 yield owner, overlap
 
 
@@ -197,7 +199,7 @@ def merge_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
                 heapq.heappush(heap, (lists[i][place[i]], i))
 
 
-def cell_links(asking: list[tuple], asked: list[tuple] | None) -> Iterator[tuple[int, int]]:
+def cell_links(asking: list[tuple], asked: list[tuple] | None, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
     """Links that connect components of a cell. Rows are (node, component, set).
 
     Without ``asked`` the rows are searched among themselves.
@@ -213,7 +215,7 @@ def cell_links(asking: list[tuple], asked: list[tuple] | None) -> Iterator[tuple
 
     if len({c for _, c, _ in [*asking, *(asked or [])]}) < 2:
         return
-    lists = Lists([s for _, _, s in own])
+    lists = Lists([s for _, _, s in own], percent)
     for i, (node, component, shingles) in enumerate(asking):
         for j, _ in lists.search(shingles):
             if asked is None and j <= i:
@@ -224,7 +226,7 @@ def cell_links(asking: list[tuple], asked: list[tuple] | None) -> Iterator[tuple
                 yield node, own[j][0]
 
 
-def search_cells(rows: DataFrame) -> DataFrame:
+def search_cells(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) within cells. Rows: cell, role (0 asks, 1 is asked, 2 both), node, component, shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +246,7 @@ def search_cells(rows: DataFrame) -> DataFrame:
         for held in cells():
             alone = held[0][0] == 2
             asking = [r[1:] for r in held if r[0] != 1]
-            found = list(cell_links(asking, None if alone else [r[1:] for r in held if r[0] == 1]))
+            found = list(cell_links(asking, None if alone else [r[1:] for r in held if r[0] == 1], percent))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
@@ -252,11 +254,11 @@ def search_cells(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def node_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node and shingles of the wanted nodes, cut anew from the text that stands for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler = Shingler(size)
         for part, texts in text_chunks(batches):
             nodes, sets = [], []
             for node, a, b, text in zip(*(part.column(c).to_pylist() for c in ("node", "set_a", "set_b")), texts):
@@ -274,9 +276,12 @@ def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return cut.groupBy("node", "set_a", "set_b").agg(F.first("shingles").alias("shingles")).select("node", "shingles")
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
-    sets = materialize(shingle_sets(docs), "shingle-sets")
+def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    Linked are documents with ``percent`` of 100 shingles of ``size`` words in common.
+    """
+    sets = materialize(shingle_sets(docs, size, percent), "shingle-sets")
     named = sets.where("doc_id IS NOT NULL AND n > 0")
     nodes = materialize(
         named.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.min_by("digests", "doc_id").alias("digests")), "nodes"
@@ -289,7 +294,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     )
     clusters = components(met.select(F.col("node").alias("a"), F.col("head").alias("b")))
     wanted = nodes.join(clusters.select("node"), "node", "left_semi")
-    shingles = materialize(node_sets(docs, wanted), "node-sets")
+    shingles = materialize(node_sets(docs, wanted, size), "node-sets")
 
     # First pass: each node asks the one it shares most with.
     best = materialize(met.groupBy("node").agg(F.max_by("head", F.struct("shared", -F.col("head"))).alias("head")), "best-company")
@@ -302,7 +307,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         parted.select("head", "part").distinct().withColumnRenamed("head", "node").join(shingles, "node")
         .select(F.xxhash64("node", "part").alias("cell"), F.lit(0).alias("role"), "node", F.col("node").alias("component"), "shingles")
     )
-    first = materialize(search_cells(asking.unionByName(asked)), "first-links")
+    first = materialize(search_cells(asking.unionByName(asked), percent), "first-links")
 
     # Second pass: clusters of several components, in pairs of parts.
     joined = components(first)
@@ -314,7 +319,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     cells = split.join(shingles, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     role = F.when(low == high, 2).when(F.col("part") == low, 0).otherwise(1)
-    second = search_cells(cells.select(F.xxhash64("cluster", low, high).alias("cell"), role.alias("role"), "node", "component", "shingles"))
+    second = search_cells(cells.select(F.xxhash64("cluster", low, high).alias("cell"), role.alias("role"), "node", "component", "shingles"), percent)
     linked = components(materialize(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second), "links"))
 
     of_set = nodes.join(linked, "node", "left").select("set_a", "set_b", "n", F.coalesce("component", "node").alias("component_id"))

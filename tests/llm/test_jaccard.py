@@ -139,3 +139,37 @@ def test_repeated_and_unnamed_rows(spark):
 def test_query_agrees_with_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, connect(sf), jaccard.query, jaccard.SQL, sf)[0] is None
+
+
+def brute_at(texts, size, percent):
+    """Component by position for any shingle size and similarity, all pairs compared."""
+    split = [[x for x in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x] for t in texts]
+    sets = [{tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for w in split]
+    links = [(j, i) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a and b and 100 * len(a & b) >= percent * len(a | b)]
+    own = list(range(len(texts)))
+    while (lower := [min([own[i], *(own[a + b - i] for a, b in links if i in (a, b))]) for i in range(len(texts))]) != own:
+        own = lower
+    return own
+
+
+def test_five_words_at_eighty_percent(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL", 8)
+    rng = random.Random(5)
+    texts = corpus(rng)
+    for size in (6, 9, 30, 100, 300):
+        base = words(rng, size)
+        texts += [base, base + " " + words(rng, max(1, size // 5)), " ".join(base.split()[: -max(1, size // 6)]), edited(rng, base, 1 + size // 40)]
+    found = {r.doc_id: r.component_id for r in jaccard.link_components(documents(spark, texts), 5, 80).collect()}
+    assert found == dict(enumerate(brute_at(texts, 5, 80))) != dict(enumerate(brute_at(texts, 3, 90)))
+
+
+def test_similar_sets_share_a_digest_at_eighty_percent():
+    rng = np.random.default_rng(2)
+    first = jaccard.size_classes(10_000, 80)
+    for _ in range(3000):
+        n = int(rng.integers(4, 80)) if rng.random() < 0.7 else int(rng.integers(80, 900))
+        split, more = int(rng.integers(0, n // 4 + 1)), n // 4
+        a = np.arange(n + split, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        b = np.append(a[:n], rng.integers(0, 2**64, more - split, dtype=np.uint64))
+        a, b = np.unique(a), np.unique(b)
+        assert set(jaccard.digests(a, first, 80)) & set(jaccard.digests(b, first, 80))

@@ -31,6 +31,13 @@ def test_near_duplicates(spark):
     assert sorted(i for i in kept if i is not None) == want and kept.count(None) == 2
 
 
+def test_copy_with_a_passage_added_goes(spark):
+    rng = random.Random(8)
+    base = words(rng, 200)
+    texts = [base, base + " " + words(rng, 40), " ".join(base.split()[:165]), words(rng, 200)]
+    assert sorted(r.doc_id for r in STAGES["near duplicates"](spark, documents(spark, texts), SF).collect()) == [0, 3]
+
+
 def test_language_stage(spark):
     docs = documents(spark, ["the cat and the dog sat"] * 5 + ["123 !?", None, "漢字漢字"])
     assert sorted(r.doc_id for r in STAGES["language id"](spark, docs, SF).collect()) == [0, 1, 2, 3, 4, 7]
