@@ -58,3 +58,14 @@ def test_few_rows(spark):
 
     assert run([(0, [1.0, 0.0]), (1, [1.0, 2.0])]) == [(0, 1, 1, 2.0)]
     assert run([(0, [1.0])]) == [] and run([(7, None)]) == []
+
+
+def test_near_copies_and_an_outlier(spark):
+    """Thousands of near copies of one vector, among others and one with a huge component."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal(32)
+    rows = np.concatenate([rng.standard_normal((500, 32)), base + 3e-5 * rng.standard_normal((2_500, 32)), [[1e30] + [0.0] * 31]])
+    vectors = {i: [float(np.float32(x)) for x in v] for i, v in enumerate(rows)}
+    docs = spark.createDataFrame([(i, v, 0, 1, "x") for i, v in vectors.items()], SCHEMA)
+    want = brute(vectors, [i for i in vectors if i % 50 == 0], 10)
+    assert recall(nndescent.nearest_neighbours(docs, every=50).collect(), want)[0] >= 0.95
