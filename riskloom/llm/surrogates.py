@@ -8,7 +8,8 @@ and the entity alone, so every mention of an entity gets the same one, in any do
   a valid Luhn digit or IBAN checksum; network addresses stay addresses;
 * e-mail addresses keep letters as letters, digits as digits, and their last two labels;
 * names keep the gender of their title and their script, and a surname its own surrogate
-  with or without a given name before it. Capitals follow the mention.
+  with or without a given name before it. Capitals follow the mention. Once a title has
+  given a name away, every capitalised mention of it in the same document is replaced.
 
 Numbers and addresses go through a keyed permutation of their format (a Feistel network
 over mixed radixes), names through a keyed choice of syllables. A table of all distinct
@@ -61,6 +62,8 @@ _PATTERNS = (
     ("phone", re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,5}|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w-]|\.[0-9])"), re.compile(r"[0-9]{2}")),
     ("ip", re.compile(r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9])"), re.compile(r"[0-9]\.[0-9]")),
 )
+#: Words that may be a name; a possessive ending is not part of one.
+_WORD = re.compile(r"(?<![^\W_])[^\W\d_]+(?:[-'’](?!s\b)[^\W\d_]+)*(?![^\W_])")
 _TITLED = re.compile(r"(?<!\w)(" + "|".join(re.escape(t) for own in TITLES.values() for t in own) + rf")\.?\x20({_NAME})(?:\x20({_NAME}))?")
 
 
@@ -95,6 +98,8 @@ def canonical(kind: str, found: str) -> str | None:
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, entity) of mentions, which do not overlap; earlier kinds win."""
     found: list[tuple[int, int, str, str]] = []
+    given: dict[str, str] = {}
+    surnames: set[str] = set()
 
     def add(start: int, end: int, kind: str) -> None:
         if (entity := canonical(kind, text[start:end])) is not None and all(end <= a or b <= start for a, b, _, _ in found):
@@ -111,10 +116,30 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             if names[:1] == [2]:
                 if len(names) == 2:
                     add(*m.span(2), f"given_{gender}")
+                    given.setdefault(m[2].casefold(), f"given_{gender}")
                 add(*m.span(names[-1]), "surname")
+                surnames.add(m[names[-1]].casefold())
+        found = sorted(found + _untitled(text, found, given, surnames))
     return sorted(found)
 
 
+def _untitled(text: str, found: list[tuple[int, int, str, str]], given: dict[str, str], surnames: set[str]) -> list[tuple[int, int, str, str]]:
+    """Further capitalised mentions of the names found behind a title: each whole word of them."""
+    if not surnames:
+        return []
+    starts, out, at = sorted((a, b) for a, b, _, _ in found), [], 0
+    for m in _WORD.finditer(text):
+        entity = m[0].casefold()
+        kind = "surname" if entity in surnames else given.get(entity)
+        if kind is None or not m[0][0].isupper():
+            continue
+        while at < len(starts) and starts[at][1] <= m.start():
+            at += 1
+        if at == len(starts) or m.end() <= starts[at][0]:
+            out.append((*m.span(), kind, entity))
+    return out
+
+
 def _number(key: str, *parts: object) -> int:
     return int.from_bytes(hmac.new(key.encode(), "\x1f".join(map(str, parts)).encode(), hashlib.sha256).digest(), "big")
 

@@ -90,3 +90,10 @@ def test_given_documents_and_empty_table(spark):
         assert after[doc_id].replaced == len(found) and (found or after[doc_id].text == text)
         assert all(text[a:b] not in after[doc_id].text for a, b, _, _ in found)
     assert s.replace(documents(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_later_mentions_without_title():
+    text = "Mr John Smith came. Smith left; John Smith wrote, SMITH's pen. John slept. A smith and Smithson stay, a.Smith@c.org too."
+    got = [(k, text[a:b]) for a, b, k, _ in s.detect(text)]
+    assert got == [("given_m", "John"), ("surname", "Smith"), ("surname", "Smith"), ("given_m", "John"), ("surname", "Smith"), ("surname", "SMITH"), ("given_m", "John"), ("email", "a.Smith@c.org")]
+    assert s.detect("Smith left, John Smith wrote.") == []
