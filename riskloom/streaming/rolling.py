@@ -9,6 +9,7 @@ and the buckets of its cards.  Late events also re-emit the transactions whose w
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +22,26 @@ from riskloom.streaming.runs import BatchTable, DayHistory, run_batches
 
 #: Card buckets of a day of history.
 BUCKETS = 64
-#: Days behind the newest event after which an event is too late to be used.
+#: Days behind the newest event of earlier batches after which an event is too late to be used.
 MAX_DAYS_LATE = 30
+#: Days after today from which a clock is wrong.
+MAX_DAYS_AHEAD = 1
 
 
 class RollingStream:
     """Keeps ``<path>/history`` and ``<path>/features``; rows need ``tx_id, card, us, amt``.
 
-    Events more than ``max_days_late`` days behind the newest one go to ``<path>/quarantine``.
+    Events more than ``max_days_late`` days behind the newest one of earlier batches go to
+    ``<path>/quarantine``, as do those more than ``MAX_DAYS_AHEAD`` days after ``today`` (days
+    since 1970, by default the clock's), which therefore move no line. A batch itself may span
+    any time. ``<path>/newest`` holds the newest day of each batch.
     """
 
     def __init__(
         self, spark: SparkSession, path: str, windows: Mapping[str, int], ticks_per_day: int = 86_400, limit: int = ROWS_PER_CARD,
-        max_days_late: int = MAX_DAYS_LATE,
+        max_days_late: int = MAX_DAYS_LATE, today: int | None = None,
     ):
+        self.today, self.newest = today, BatchTable(spark, f"{path}/newest")
         self.max_days_late, self.quarantine = max_days_late, BatchTable(spark, f"{path}/quarantine")
         self.windows, self.ticks_per_day, self.limit, self.path = dict(windows), ticks_per_day, limit, path
         self.history = DayHistory(spark, f"{path}/history")
@@ -45,23 +52,36 @@ class RollingStream:
         bucket = F.pmod(F.xxhash64("card"), F.lit(BUCKETS))
         came = batch.select("tx_id", "card", "us", "amt", day.alias("day"), bucket.alias("bucket")).persist()
         try:
-            newest = came.agg(F.max("day")).first()[0]
-            if newest is None:
-                return
-            # The batch's own newest day counts too, so a retry draws the same line.
-            oldest = max([newest, *self.history.days()]) - self.max_days_late
-            if not came.filter(F.col("day") < oldest).isEmpty():
-                self.quarantine.write(came.filter(F.col("day") < oldest).drop("day", "bucket"), batch_id)
-            new = came.filter(F.col("day") >= oldest)
+            today = int(time.time() // 86_400) if self.today is None else self.today
+            usable = F.col("day") <= today + MAX_DAYS_AHEAD
+            # Earlier batches only, so a retry draws the same line.
+            before = self._newest_before(batch_id)
+            if before is not None:
+                usable = usable & (F.col("day") >= before - self.max_days_late)
+            usable = F.coalesce(usable, F.lit(False))
+            if not came.filter(~usable).isEmpty():
+                self.quarantine.write(came.filter(~usable).drop("day", "bucket"), batch_id)
+            new = came.filter(usable)
             span = new.agg(F.min("us").alias("first"), F.max("us").alias("last")).first()
             if span.first is None:
                 return
             self.features.write(self._emit(new, span.first, span.last, batch_id), batch_id)
+            self.newest.write(new.agg(F.max("day").alias("newest")), batch_id)
             # Written last: a batch that fails half-way is not its own history when retried.
             self.history.write(new, batch_id)
         finally:
             came.unpersist()
 
+    def _newest_before(self, batch_id: int) -> int | None:
+        days = self.history.days()
+        if not days:
+            return None
+        folders = self.history._numbers(self.newest.path, "batch")
+        if not folders:  # a history from before this table was kept
+            return max(days)
+        earlier = self.newest.read().filter(F.col("batch") < batch_id)
+        return earlier.agg(F.max("newest")).first()[0]
+
     def _emit(self, new: DataFrame, first: int, last: int, batch_id: int) -> DataFrame:
         longest = max(self.windows.values())
         rows = new.drop("day", "bucket").withColumn("_new", F.lit(1.0))

@@ -71,3 +71,16 @@ def test_events_with_a_very_old_clock_are_set_aside(spark, tmp_path):
     got = {r.tx_id: r.rolling_count_24h for r in job.current().collect()}
     assert got == {r.tx_id: r.rolling_count_24h for r in rolling_past(df, "card", "us", "amt", WINDOWS).collect()}
     assert [r.tx_id for r in job.quarantine.read().collect()] == [9_999]
+
+
+def test_long_first_batch_and_a_clock_in_the_future(spark, tmp_path):
+    day = 86_400
+    first = [(i, i % 2, i * day + 5, 1.0) for i in range(90)] + [(900, 1, 40_000 * day, 1.0)]
+    schema = "tx_id long, card long, us long, amt double"
+    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS, today=100)
+    job.step(spark.createDataFrame(first, schema), 0)
+    job.step(spark.createDataFrame([(901, 1, 91 * day, 1.0), (902, 1, 10 * day, 1.0)], schema), 1)
+    assert {r.tx_id for r in job.current().collect()} == {*range(90), 901}
+    assert {r.tx_id for r in job.quarantine.read().collect()} == {900, 902}
+    job.step(spark.createDataFrame(first, schema), 0)
+    assert {r.tx_id for r in job.quarantine.read().collect()} == {900, 902}
