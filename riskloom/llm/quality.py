@@ -9,7 +9,10 @@ documents worth drawing, those whose weight is not far below that of the raw cor
 Units are word shapes, not words: runs of lower, upper and numeric characters shrink to one
 mark, other characters stay (three in a row at most), and a word equal to the one before it
 is marked. Shapes carry over to words and languages that no label covers. The n-grams are
-single shapes and pairs. Evidence counts as that of ``EVIDENCE`` n-grams at most, so that a
+single shapes and pairs, and in long words the kinds of characters of every ``BLOCK``
+characters, so that encoded data or code in one word is as much evidence as its length.
+Blocks of letters without case are left out, as such scripts need no white space, unless
+they repeat few characters. Evidence counts as that of ``EVIDENCE`` n-grams at most, so that a
 long document is not condemned for a slight bent.
 
 Raw counts cover all documents. The target is learned from at most ``MAX_LABELS`` labelled
@@ -39,6 +42,8 @@ from riskloom.session import materialize
 
 BUCKETS = 1 << 16
 MAX_LABELS = 20_000
+#: Characters of a block of a long word, and distinct ones up to which it repeats itself.
+BLOCK, FEW = 32, 4
 #: n-grams of evidence that a document can have, and the log weight below which none is drawn.
 EVIDENCE = 200
 WORTH = -15.0
@@ -66,6 +71,28 @@ def _marks() -> np.ndarray:
     return marks
 
 
+@lru_cache(maxsize=1)
+def _caseless() -> np.ndarray:
+    return np.array([unicodedata.category(chr(p)) == "Lo" for p in range(sys.maxunicode + 1)])
+
+
+def _blocks(points: np.ndarray, marks: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word number and hash of every whole block of the words, by the kinds of its characters."""
+    number = lengths // BLOCK
+    word = np.repeat(np.arange(len(starts)), number)
+    if not len(word):
+        return word, np.zeros(0, np.uint64)
+    nth = np.arange(len(word)) - np.repeat(np.cumsum(number) - number, number)
+    at = (starts[word] + nth * BLOCK)[:, None] + np.arange(BLOCK)
+    own, mark = points[at], marks[at]
+    few = (np.diff(np.sort(own, axis=1), axis=1) > 0).sum(axis=1) < FEW
+    caseless = _caseless()[own].sum(axis=1) * 2 >= BLOCK
+    kinds = [(mark == m).any(axis=1) for m in (_LOWER, _UPPER, _DIGIT)] + [(mark > _DIGIT).any(axis=1), few, caseless]
+    code = sum(k.astype(np.uint64) << np.uint64(i) for i, k in enumerate(kinds))
+    kept = few | ~caseless
+    return word[kept], mix64(code[kept] + np.uint64(1 << 40))
+
+
 def _sums(values: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Hash of each segment; depends on the order of its values."""
     return np.add.reduceat((values.astype(np.uint64) + np.uint64(1)) * _POWERS[place & 63], starts)
@@ -96,7 +123,8 @@ def shape_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     one = mix64(shape * np.uint64(2) + again.astype(np.uint64))
     pair = text[1:] == text[:-1]
     two = mix64(one[:-1] * np.uint64(3) + one[1:])[pair]
-    return np.concatenate([text, text[1:][pair]]), (np.concatenate([one, two]) % np.uint64(BUCKETS)).astype(np.int64)
+    long, block = _blocks(points[words], marks[words], starts, np.diff(starts, append=len(words)))
+    return np.concatenate([text, text[1:][pair], text[long]]), (np.concatenate([one, two, block]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def label_sample(labels: DataFrame, most: int = MAX_LABELS) -> DataFrame:

@@ -69,3 +69,20 @@ def test_without_labels_and_without_rows(spark):
 def test_label_sample_is_bounded(spark):
     many = spark.range(500).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
     assert quality.label_sample(many.union(many), 100).count() == 100
+
+
+def test_long_words_are_evidence():
+    good = ["Good text of some plain words here, with an end."] * 50
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"))
+    junk = ["".join(rng.choice(letters, 5_000)), "a" * 400, "#$" * 300, "漢" * 400, "x=function(a){return" + "(b1+C)*" * 50]
+    chinese = "".join(chr(0x4E00 + i) for i in rng.integers(0, 3_000, 400))
+    texts = [*good, *junk, chinese]
+    text, bucket = quality.shape_grams(texts)
+    raw = np.bincount(bucket, minlength=quality.BUCKETS).astype(float)
+    target = np.bincount(bucket[text < len(good)], minlength=quality.BUCKETS).astype(float)
+    with np.errstate(all="ignore"):
+        ratio = np.log((1 - quality.PRIOR) * target / target.sum() + quality.PRIOR * raw / raw.sum()) - np.log(raw / raw.sum())
+    weight = np.bincount(text, weights=ratio[bucket]) * np.minimum(1, quality.EVIDENCE / np.bincount(text))
+    assert (weight[: len(good)] > quality.WORTH).all() and weight[-1] > quality.WORTH
+    assert (weight[len(good) : -1] < quality.WORTH).all()
