@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, jaccard, kdtree, langid, nndescent, packing, quality, secrets, sharding, surrogates
+from riskloom.llm import bpe, jaccard, kdtree, langid, nndescent, packing, phrases, quality, rtree, secrets, sharding, signs, surrogates
 from riskloom.session import prepare
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +23,16 @@ _JOBS = {
     "op8_nn_descent": nndescent.query,
     "op9_jaccard_join": jaccard.query,
     "op10_language_id": langid.query,
+    "op11_rtree_negatives": rtree.query,
+    "op12_sign_near_dedup": signs.query,
+    "op13_phrase_collocations": phrases.query,
 }
 _SQL: dict[str, str] = {
     "op2_kdtree_topk": kdtree.SQL,
     "op9_jaccard_join": jaccard.SQL,
+    "op11_rtree_negatives": rtree.SQL,
+    "op12_sign_near_dedup": signs.SQL,
+    "op13_phrase_collocations": phrases.SQL,
 }
 
 
