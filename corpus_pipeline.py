@@ -19,18 +19,30 @@ LEAST_COSINE, TELLING = 0.1, 200
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def bundled(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all other columns in one, so that no operator meets their names."""
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(None).cast("int").alias("none"), *others).alias("others"))
+
+
+def unbundled(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns again, in their order."""
+    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"others.c{i}").alias(c) for i, c in enumerate(columns)))
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling; the model is learned from ``labels``."""
     ratio = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    weighed = materialize(quality.weigh(docs, ratio), "weighed")
-    return quality.resample(weighed).select(docs.columns)
+    # Only the weights are written; texts are weighed again, alike, rather than kept.
+    weights = materialize(quality.weigh(docs.select("doc_id", "text"), ratio).drop("text"), "weights")
+    return unbundled(quality.resample(quality.weigh(bundled(docs), ratio), weights=weights), docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those without a letter, or long and far from all prototypes, go."""
-    predicted = langid.predict(docs, langid.learn(docs), keep=True)
+    predicted = langid.predict(bundled(docs), langid.learn(docs), keep=True)
     known = (F.col("lang_pred") != langid.UNKNOWN) & ((F.col("score") >= LEAST_COSINE) | (F.length("text") < TELLING))
-    return predicted.where(known).select(docs.columns)
+    return unbundled(predicted.where(known), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +66,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in the text."""
-    return secrets.redact(docs)
+    return unbundled(secrets.redact(bundled(docs)), docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Working tables that go when the block ends; what is still to be read is written elsewhere by then."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, work_dir(spark, "scratch")
+        self.count = 0
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        """``df`` written and read back, as by ``materialize``."""
+        self.count += 1
+        path = f"{self.root}/{self.count}-{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
