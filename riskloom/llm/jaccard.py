@@ -5,7 +5,7 @@ never meet each other. Nodes find their company without losing a pair: two simil
 sets differ in at most H shingles, so if shingles are dealt over H + 1 buckets
 the sets agree on a whole bucket. H depends on the size; sizes fall into classes so narrow
 that similar sets are in the same class or in neighbouring ones, and each set gives its
-buckets' digests for both. Nodes connected by equal digests form a *cluster*.
+buckets' digests for both.
 
 Links are found by T-occurrence search in bounded cells. A cell holds inverted lists of its
 sets. For a query set, the lists of its shingles are ordered by length; the short ones are
@@ -13,11 +13,19 @@ merged over a heap that skips what cannot reach the count (T less the number of
 lists), the long ones are only probed by binary search for what is left. Sets with the
 required overlap are links.
 
-Two passes keep hot clusters cheap. First each node meets one node only, the one it shares
-most digests with; a group of near copies becomes one component in linear work. Clusters
-that are still several components are then searched whole, split into cells of at most
-2 * ``CELL`` sets, each pair of parts in one cell. Pairs within a component are skipped:
-the result is the components, not all links.
+Most company is by chance, so sets travel last. Digests that only one set holds are left out
+first, by a filter over packed counts (texts are cut a second time rather than all digests
+kept). Then cells are made of *counts*: how many shingles a set has in each of some groups, a
+byte each for about four shingles. The sum of the lesser
+counts of two sets is never below their overlap, so it tells which could reach the similarity.
+Only nodes that have such a partner go on, as whole sets, into the search.
+
+Two passes keep groups of near copies cheap. First each node meets one node only, the one it
+shares most digests with; such a group becomes one component in linear work. Then the sets
+that share a digest meet by their counts, where they are still of several components, each such
+group once. What could be linked hangs together in *clusters*, which are searched whole, split
+into cells of at most 2 * ``SETS`` sets; parts of one component do not meet. The result is the
+components, not all links.
 
 Null and empty texts have no shingles and are linked with nothing; a text of fewer words
 than a shingle is one shingle. doc_id names a document: rows that repeat it with other
@@ -41,15 +49,20 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import mix64, table, text_chunks
 from riskloom.llm.components import components
-from riskloom.session import materialize
+from riskloom.llm.frequent import Filter, frequent, ranges_for
+from riskloom.session import Scratch, materialize
 
 #: Words of a shingle and similarity in percent, where the caller names no others.
 SHINGLE, PERCENT = 3, 90
-#: Sets in one part of a cluster; a cell joins two parts.
-CELL = 96
+#: Nodes, and whole sets, in one part of a group; a cell joins two parts.
+CELL, SETS = 1_000, 200
+#: Lesser counts that are summed up at a time.
+STEP = 4_000_000
 #: Weight of merging against probing: the more, the fewer lists count as long.
 MERGE_WEIGHT = 0.0085
 CACHE_WORDS = 300_000
+#: Bytes of text for a digest, to guess their number.
+BYTES_A_DIGEST = 8
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -118,23 +131,47 @@ def digests(shingles: np.ndarray, first: list[int], percent: int = PERCENT) -> l
     return np.concatenate(out).astype(np.int64).tolist()
 
 
-def shingle_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, size and two digests of the set, and the digests of its buckets."""
-    kinds = "doc_id long, n long, set_a long, set_b long, digests array<long>"
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("digests", pa.list_(pa.int64()))])
+def _cut(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int]]]:
+    """Parts of the batches (doc_id and text) with the shingles of their texts and the size classes."""
+    shingler, first = Shingler(size), size_classes(1_000, percent)
+    for part, texts in text_chunks(batches):
+        sets = [shingler.shingles(text) for text in texts]
+        largest = max(map(len, sets))
+        if largest * 2 > first[-1]:
+            first = size_classes(largest * 4, percent)
+        yield part, sets, first
+
+
+def shingle_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
+    """doc_id, size and two digests of the set, its counts, and the digests of its buckets.
+
+    With ``scratch``, only digests that several rows have; the first of two passes over the
+    texts finds out which.
+    """
+    kinds = "doc_id long, n long, set_a long, set_b long, digests array<long>, counts binary"
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("digests", pa.list_(pa.int64())), ("counts", pa.binary())])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    shared = None
+    if scratch:
+        def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+            for _, sets, first in _cut(batches, size, percent):
+                yield np.array([d for s in sets for d in digests(s, first, percent)], np.int64).view(np.uint64)
+
+        characters = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        ranges = ranges_for(characters // BYTES_A_DIGEST)
+        again = scratch.table(frequent(rows.where("doc_id IS NOT NULL"), hashes, ranges, 2), "digests-again")
+        shared = docs.sparkSession.sparkContext.broadcast(Filter.of(again, ranges).parts())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, first = Shingler(size), size_classes(1_000, percent)
-        for part, texts in text_chunks(batches):
-            rows = []
-            for doc_id, text in zip(part.column(0).to_pylist(), texts):
-                s = shingler.shingles(text)
-                if len(s) * 2 > first[-1]:
-                    first = size_classes(len(s) * 4, percent)
-                rows.append((doc_id, len(s), *_set_digests(s), digests(s, first, percent)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        known = Filter(*shared.value) if shared else None
+        for part, sets, first in _cut(batches, size, percent):
+            out = []
+            for doc_id, s in zip(part.column(0).to_pylist(), sets):
+                own = np.array(digests(s, first, percent), np.int64)
+                out.append((doc_id, len(s), *_set_digests(s), own[known.has(own.view(np.uint64))] if known else own, counts(s)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)
+    return rows.mapInArrow(run, kinds)
 
 
 def _set_digests(shingles: np.ndarray) -> tuple[int, int]:
@@ -142,6 +179,87 @@ def _set_digests(shingles: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def counts(shingles: np.ndarray) -> bytes:
+    """Shingles in each of 2^k groups, two to four in a group on average, four to eight in a large set."""
+    bits = (len(shingles) // (2 if len(shingles) < 200 else 4)).bit_length() - 1
+    if bits <= 0:
+        return bytes([min(255, len(shingles))])
+    group = mix64(shingles ^ _ODD[2]) >> np.uint64(64 - bits)
+    # Groups are random: none of so few shingles on average holds more than a byte can tell.
+    return np.bincount(group.astype(np.int64), minlength=1 << bits).astype(np.uint8).tobytes()
+
+
+def close(own: np.ndarray, sizes: np.ndarray, component: np.ndarray, asking: np.ndarray, asked: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of a cell might link by their counts, asking by asked, if they are of different components."""
+    may = np.zeros((len(asking), len(asked)), bool)
+    step = max(1, STEP // max(1, len(asked) * own.shape[1]))
+    for start in range(0, len(asking), step):
+        rows = asking[start : start + step]
+        most = np.minimum(own[rows][:, None, :], own[asked][None, :, :]).sum(axis=2, dtype=np.int64)
+        both = sizes[rows][:, None] + sizes[asked][None, :]
+        may[start : start + step] = (100 * most >= percent * (both - most)) & (component[rows][:, None] != component[asked][None, :])
+    return may
+
+
+def connected(may: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, columns) of each part of a matrix that hangs together."""
+    left = may.any(axis=1)
+    while left.any():
+        rows, columns = np.zeros(len(left), bool), np.zeros(may.shape[1], bool)
+        rows[left.argmax()] = True
+        while True:
+            columns = may[rows].any(axis=0)
+            more = may[:, columns].any(axis=1)
+            if (more == rows).all():
+                break
+            rows = more
+        left &= ~rows
+        yield np.flatnonzero(rows), np.flatnonzero(columns)
+
+
+def close_cells(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) that connect, within a cell, nodes that may be linked. Rows: cell, role, node, component, n, counts."""
+    names = ["cell", "role", "node", "component"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+
+        def cells(held: pa.Table, last: bool) -> Iterator[pa.Table]:
+            nonlocal kept
+            key = held["cell"].to_numpy()
+            starts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()] if len(key) else []
+            for start, stop in zip(starts, [*starts[1:], len(key) if last else None]):
+                if stop is None:
+                    kept = held.slice(start)
+                else:
+                    yield held.slice(start, stop - start)
+
+        def search(held: pa.Table) -> Iterator[pa.RecordBatch]:
+            component, role, node = (held[c].to_numpy() for c in ("component", "role", "node"))
+            if held.num_rows < 2 or component.min() == component.max():
+                return
+            texts = held["counts"].to_pylist()
+            least = min(map(len, texts))
+            # Groups are leading bits, so counts of more groups add up to those of fewer.
+            own = np.array([np.frombuffer(t, np.uint8).reshape(least, -1).sum(axis=1) for t in texts]).astype(np.int32)
+            asking, asked = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
+            for rows, columns in connected(close(own, held["n"].to_numpy(), component, asking, asked, percent)):
+                first = node[asking[rows[0]]]
+                others = np.unique(np.append(node[asking[rows]], node[asked[columns]]))
+                yield pa.RecordBatch.from_arrays([pa.array(others), pa.array(np.full(len(others), first))], names=["a", "b"])
+
+        for batch in batches:
+            whole = pa.Table.from_batches([batch])
+            whole, kept = pa.concat_tables([kept, whole]).combine_chunks() if kept else whole, None
+            for held in cells(whole, False):
+                yield from search(held)
+        if kept:
+            yield from search(kept.combine_chunks())
+
+    dealt = rows.select(*names, "n", "counts").repartition("cell").sortWithinPartitions("cell", "role", "node")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 class Lists:
     """Inverted lists of some sets, and DivideSkip over them."""
 
@@ -256,6 +374,13 @@ def search_cells(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def node_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node and shingles of the wanted nodes, cut anew from the text that stands for each."""
+    known = Filter.of(wanted.select(F.xxhash64("node").alias("h")))
+    shared = docs.sparkSession.sparkContext.broadcast(known.parts())
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Filter(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(known.has(batch.column(2).to_numpy().view(np.uint64)))).select([0, 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -271,61 +396,100 @@ def node_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFr
             values = np.concatenate([*sets, np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(values))], names=["node", "set_a", "set_b", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted.select("node", "set_a", "set_b"), "node")
+    of_doc = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("node"), "text")
+    # Only texts that the filter lets through need be brought to their nodes.
+    some = of_doc.select("node", "text", F.xxhash64("node").alias("h")).mapInArrow(held, "node long, text string")
+    texts = some.join(wanted.select("node", "set_a", "set_b").hint("merge"), "node")
     cut = texts.select("node", "set_a", "set_b", "text").mapInArrow(run, "node long, set_a long, set_b long, shingles array<long>")
     return cut.groupBy("node", "set_a", "set_b").agg(F.first("shingles").alias("shingles")).select("node", "shingles")
 
 
-def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def cluster_cells(placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """cell, role, node and component: all nodes of a cluster meet but for those of one component.
 
-    Linked are documents with ``percent`` of 100 shingles of ``size`` words in common.
+    A large component has parts of its own, small ones are dealt over parts together; each
+    pair of parts is a cell unless both are of one component.
     """
-    sets = materialize(shingle_sets(docs, size, percent), "shingle-sets")
-    named = sets.where("doc_id IS NOT NULL AND n > 0")
-    nodes = materialize(
-        named.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.min_by("digests", "doc_id").alias("digests")), "nodes"
-    )
-    dealt = nodes.select("node", F.explode("digests").alias("digest"))
-    # Written, so that joins see two plain exchanges and can split a hot digest or head.
-    heads = materialize(dealt.groupBy("digest").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
-    met = materialize(
-        dealt.join(heads.drop("n"), "digest").where("head <> node").groupBy("node", "head").agg(F.count(F.lit(1)).alias("shared")), "company"
-    )
-    clusters = components(met.select(F.col("node").alias("a"), F.col("head").alias("b")))
-    wanted = nodes.join(clusters.select("node"), "node", "left_semi")
-    shingles = materialize(node_sets(docs, wanted, size), "node-sets")
-
-    # First pass: each node asks the one it shares most with.
-    best = materialize(met.groupBy("node").agg(F.max_by("head", F.struct("shared", -F.col("head"))).alias("head")), "best-company")
-    meet = materialize(best.groupBy("head").agg(F.count(F.lit(1)).alias("n")), "heads-company")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CELL))
-    parted = best.join(meet, "head").select("head", "node", part.alias("part"))
-    key = F.xxhash64("head", "part").alias("cell")
-    asked = parted.join(shingles, "node").select(key, F.lit(1).alias("role"), "node", F.col("node").alias("component"), "shingles")
-    asking = (
-        parted.select("head", "part").distinct().withColumnRenamed("head", "node").join(shingles, "node")
-        .select(F.xxhash64("node", "part").alias("cell"), F.lit(0).alias("role"), "node", F.col("node").alias("component"), "shingles")
-    )
-    first = materialize(search_cells(asking.unionByName(asked), percent), "first-links")
-
-    # Second pass: clusters of several components, in pairs of parts.
-    joined = components(first)
-    members = clusters.join(joined.withColumnRenamed("component", "own"), "node", "left").select("node", F.col("component").alias("cluster"), F.coalesce("own", "node").alias("component"))
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = materialize(sizes.where("n > 2 AND low <> high"), "open-clusters")
-    parts = F.ceil(F.col("n") / CELL).cast("int")
-    split = members.join(open_.select("cluster", "n"), "cluster").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    cells = split.join(shingles, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sizes = scratch.table(placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n")), "component-sizes")
+    large = F.when(F.col("n") >= SETS, F.col("component"))
+    owners = sizes.select("cluster", large.alias("owner"), "n").groupBy("cluster", "owner").agg(F.ceil(F.sum("n") / SETS).cast("int").alias("parts"))
+    owners = scratch.table(owners, "owners")
+    owned = placed.join(sizes.select("cluster", "component", large.alias("owner")).hint("merge"), ["cluster", "component"])
+    same = F.col("cluster").eqNullSafe(F.col("c")) & F.col("owner").eqNullSafe(F.col("o"))
+    own = owned.join(owners.select(F.col("cluster").alias("c"), F.col("owner").alias("o"), "parts").hint("merge"), same).drop("c", "o")
+    own = own.withColumn("part", F.struct("owner", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("at")))
+    every = owners.select("cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"), "owner").select("cluster", F.struct("owner", "at").alias("other"))
+    met = own.join(every.hint("merge"), "cluster").where(F.col("part.owner").isNull() | F.col("other.owner").isNull() | (F.col("part.owner") != F.col("other.owner")))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     role = F.when(low == high, 2).when(F.col("part") == low, 0).otherwise(1)
-    second = search_cells(cells.select(F.xxhash64("cluster", low, high).alias("cell"), role.alias("role"), "node", "component", "shingles"), percent)
-    linked = components(materialize(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second), "links"))
+    return met.select(F.xxhash64("cluster", low, high).alias("cell"), role.alias("role"), "node", "component")
+
 
-    of_set = nodes.join(linked, "node", "left").select("set_a", "set_b", "n", F.coalesce("component", "node").alias("component_id"))
-    by_doc = named.select("doc_id", "set_a", "set_b", "n").join(of_set, ["set_a", "set_b", "n"])
-    rest = sets.where("doc_id IS NULL OR n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return by_doc.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(rest)
+def link_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    Linked are documents with ``percent`` of 100 shingles of ``size`` words in common.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        sets = scratch.table(shingle_sets(docs, size, percent, scratch), "shingle-sets")
+        named = sets.where("doc_id IS NOT NULL AND n > 0")
+        by_set = named.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("counts", "digests"), "doc_id").alias("own"))
+        nodes = scratch.table(by_set.select("set_a", "set_b", "n", "node", "own.*"), "nodes")
+        dealt = nodes.select("node", F.explode("digests").alias("digest"))
+
+        def close_pairs(cells: DataFrame) -> DataFrame:
+            """Edges between nodes that may be linked. Rows: cell, role, node and component."""
+            return close_cells(cells.join(nodes.select("node", "n", "counts").hint("merge"), "node"), percent)
+
+        def links(cells: DataFrame, label: str) -> DataFrame:
+            """Links within cells of such rows."""
+            wanted = nodes.select("set_a", "set_b", "node").join(cells.select("node").distinct().hint("merge"), "node", "left_semi")
+            shingles = scratch.table(node_sets(docs, scratch.table(wanted, f"{label}-nodes"), size), f"{label}-sets")
+            return scratch.table(search_cells(cells.join(shingles.hint("merge"), "node"), percent), f"{label}-links")
+
+        # First pass: each node asks the one it shares most with.
+        # Written, so that joins see two plain exchanges and can split a hot digest or head.
+        sharing = dealt.groupBy("digest").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("who"))
+        # Digests that the same nodes share are one group.
+        alike = sharing.where("n > 1").groupBy("who", "n").agg(F.min("digest").alias("digest"), F.min("head").alias("head"), F.count(F.lit(1)).alias("times"))
+        groups = scratch.table(alike.drop("who"), "groups")
+        company = scratch.table(dealt.join(groups.hint("merge"), "digest"), "company")
+        met = company.where("head <> node").groupBy("node", "head").agg(F.sum("times").alias("shared"))
+        best = scratch.table(met.groupBy("node").agg(F.max_by("head", F.struct("shared", -F.col("head"))).alias("head")), "best-company")
+        meet = scratch.table(best.groupBy("head").agg(F.count(F.lit(1)).alias("n")), "heads-company")
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / SETS))
+        parted = best.join(meet.hint("merge"), "head").select("head", "node", part.alias("part"))
+        cell = F.xxhash64("head", "part").alias("cell")
+
+        def stars(of: DataFrame) -> DataFrame:
+            asking = of.select(cell, F.lit(0).alias("role"), F.col("head").alias("node"), F.col("head").alias("component")).distinct()
+            return asking.unionByName(of.select(cell, F.lit(1).alias("role"), "node", F.col("node").alias("component")))
+
+        near = scratch.table(close_pairs(stars(parted)), "first-close").select(F.col("a").alias("node")).distinct()
+        joined = scratch.table(components(links(scratch.table(stars(parted.join(near.hint("merge"), "node", "left_semi")), "first-cells"), "first")), "joined")
+
+        # Second pass: groups that share a digest and are still of several components, each group once.
+        of_node = joined.select("node", "component")
+        inside = company.join(of_node.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        inside = scratch.table(inside.select("digest", "n", "node", "component"), "inside")
+        several = inside.groupBy("digest", "n").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        open_ = scratch.table(several.select("digest", "n"), "open-groups")
+        parts = F.ceil(F.col("n") / CELL).cast("int")
+        split = inside.select("digest", "node", "component").join(open_.select("digest", "n").hint("merge"), "digest").withColumn("parts", parts)
+        split = split.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        pairs = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        low, high = F.least("part", "other"), F.greatest("part", "other")
+        role = F.when(low == high, 2).when(F.col("part") == low, 0).otherwise(1)
+        may = scratch.table(close_pairs(pairs.select(F.xxhash64("digest", low, high).alias("cell"), role.alias("role"), "node", "component")), "second-close")
+        clusters = components(may).withColumnRenamed("component", "cluster")
+        placed = scratch.table(clusters.join(of_node.hint("merge"), "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("component")), "clusters")
+        second = links(scratch.table(cluster_cells(placed, scratch), "second-cells"), "second")
+        linked = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
+
+        of_set = nodes.join(linked.hint("merge"), "node", "left").select("set_a", "set_b", "n", F.coalesce("component", "node").alias("component_id"))
+        by_doc = named.select("doc_id", "set_a", "set_b", "n").join(of_set.hint("merge"), ["set_a", "set_b", "n"])
+        rest = sets.where("doc_id IS NULL OR n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+        return materialize(by_doc.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(rest), "components")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,12 @@ counted. ROLLUP over their columns then sums ever shorter prefixes, which are th
 all shorter phrases: every occurrence of a phrase is the prefix of exactly one window.
 
 A phrase counted fewer than ``LEAST`` times can be neither a candidate nor a part of one,
-and a phrase is no more frequent than any two words in it. So a first pass counts words and
-neighbouring words by a 64-bit hash, and windows are padded from the first one on that is
-too rare. Those that are frequent enough go into a Bloom filter of bounded size; what it
-lets through by chance is only counted for nothing. No frequent phrase loses an occurrence.
+nor can any phrase that holds it. So first words and neighbours, then phrases of three words
+and so on are counted by a hash, each size only where the two next shorter phrases are
+frequent enough, and a window is padded from where its prefix is too rare. Hashes travel
+packed, a few bytes each, by ranges of their values. The frequent ones go into a Bloom filter
+of bounded size. Equal hashes and what the filter lets through by chance are only counted for
+nothing: words are compared in the windows, and no frequent phrase loses an occurrence.
 
 For every cut of a candidate into a first part and a rest, their counts l and r and the
 phrase's a give floor(2000000 * a / (l + r)); the lowest cut counts, ties to the shortest
@@ -27,7 +29,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +37,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import mix64, salted, table, text_chunks
+from riskloom.llm.frequent import Filter, frequent, ranges_for
 from riskloom.session import materialize
 
 LONGEST, LEAST, WITHIN, TOP = 4, 30, 80, 2_000
 UNKNOWN = "und"
-#: Bits of the filter for each frequent hash, and the most bits there are.
-BITS_EACH, MAX_BITS = 16, 1 << 30
+#: Bytes of text for a word, to guess the number of hashes.
+BYTES_A_WORD = 6
 #: Bytes of text that are cut into words at a time.
 STEP = 2_000_000
 #: Candidates of a language that are ranked in one task at first.
@@ -83,23 +85,41 @@ class Chunk:
         self.follows[ends] = False
         seed = xxhash.xxh3_64_intdigest(lang.encode())
         hashed = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words))
-        #: Hashes of each occurrence and of it with the next one (0 at the end of a piece).
+        #: Hash of the word at each place.
         self.word = mix64(hashed)[self.code]
-        after = np.append(self.word[1:], np.uint64(0))
-        self.pair = np.where(self.follows, mix64(self.word * _PAIR + after + _SEED), np.uint64(0))
 
-    def windows(self, live: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct windows as rows of word codes (-1 for none) and their counts.
+    def grams(self, filters: list[Filter | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """By size, the hash of the phrase at each place, and where it may be frequent.
 
-        A window ends where two words are not ``linked``; that of a word that is not ``live`` is empty.
+        The filters tell by size; one more size is given where all shorter phrases may be.
         """
-        columns = [np.where(live, self.code, -1)]
-        linked, after = np.append(linked, False), np.append(self.code, -1)
-        for lead in range(1, LONGEST):
-            # The lead-th word behind each one; past the end nothing is linked.
-            at = np.minimum(np.arange(len(live)) + lead, len(live))
-            columns.append(np.where((columns[-1] >= 0) & linked[at - 1], after[at], -1))
-        return np.unique(np.stack(columns, axis=1), axis=0, return_counts=True)
+        hashed, some = self.word, np.ones(len(self.code), bool)
+        words, following = np.append(self.word, np.uint64(0)), np.append(self.follows, False)
+        for size in range(1, LONGEST + 1):
+            if size > 1:
+                last = np.minimum(np.arange(len(hashed)) + size - 1, len(hashed))
+                hashed = mix64(hashed * _PAIR + words[last] + _SEED)
+                # Both phrases that are one word shorter must be there.
+                some = some & np.append(some[1:], False) & following[last - 1]
+            if size > len(filters):
+                yield hashed, some
+                return
+            if known := filters[size - 1]:
+                some[some] = known.has(hashed[some])
+            yield hashed, some
+
+    def windows(self, filters: list[Filter | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct windows as rows of word codes (-1 for none) and their counts."""
+        code, place = np.append(self.code, -1), np.arange(len(self.code))
+        # The lead-th word behind each one, as long as the phrase up to it may be frequent.
+        columns = [np.where(some, code[np.minimum(place + lead, len(place))], -1) for lead, (_, some) in enumerate(self.grams(filters))]
+        if not len(self.code):
+            return np.zeros((0, LONGEST), np.int64), np.zeros(0, np.int64)
+        # Two codes, each below 2^31, fit one number: half as many columns to sort.
+        order = np.lexsort([(columns[i] + 1) << 32 | (columns[i + 1] + 1) for i in range(0, LONGEST, 2)])
+        new = np.any([np.diff(c[order], prepend=-2) != 0 for c in columns], axis=0)
+        starts = np.flatnonzero(new)
+        return np.stack([c[order[starts]] for c in columns], axis=1), np.diff(starts, append=len(order))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Chunk]]:
@@ -119,57 +139,31 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text")
 
 
-def frequent_hashes(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """Hashes of the words and pairs of neighbours that occur often enough."""
+def frequent_hashes(docs: DataFrame, filters: list[Filter | None], ranges: int, least: int = LEAST) -> DataFrame:
+    """Hashes of the phrases that occur often enough and are one word longer than the filters tell of.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, chunk in _chunks(batches):
-            hashes, n = np.unique(np.concatenate([chunk.word, chunk.pair[chunk.follows]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.astype(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
-
-    return _texts(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
-
-
-class Filter:
-    """Bloom filter of 64-bit hashes with two probes."""
-
-    def __init__(self, bits: int, held: np.ndarray):
-        self.bits, self.held = bits, held
-
-    @staticmethod
-    def positions(h: Column, bits: int) -> list[Column]:
-        return [F.shiftrightunsigned(h, 64 - bits), h.bitwiseAND(F.lit((1 << bits) - 1))]
-
-    @classmethod
-    def of(cls, hashes: DataFrame) -> Filter:
-        wanted = max(1, hashes.count()) * BITS_EACH
-        bits = min(int(log2(MAX_BITS)), max(15, ceil(log2(wanted))))
-        at = hashes.select(F.explode(F.array(*cls.positions(F.col("h"), bits))).alias("at"))
-        # Rows of 32768 bits, numbered from 1 as their positions are; MAX_BITS bounds what reaches the driver.
-        place = F.col("at") + 1
-        maps = at.groupBy(F.bitmap_bucket_number(place).alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
-        held = np.zeros((1 << bits) // 8, np.uint8)
-        for r in maps.toLocalIterator():
-            base = (r["row"] - 1) * 4096
-            held[base : base + 4096] = np.frombuffer(bytes(r["map"]), np.uint8)
-        return cls(bits, held)
+    Where the filters tell nothing, shorter phrases are counted along.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast([f and f.parts() for f in filters])
 
-    def has(self, h: np.ndarray) -> np.ndarray:
-        low, high = h & np.uint64((1 << self.bits) - 1), h >> np.uint64(64 - self.bits)
-        return self._bit(low) & self._bit(high)
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        known = [f and Filter(*f) for f in shared.value]
+        for _, chunk in _chunks(batches):
+            for (hashed, some), told in zip(chunk.grams(known), [*known, None]):
+                if not told:
+                    yield hashed[some]
 
-    def _bit(self, at: np.ndarray) -> np.ndarray:
-        return (self.held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return frequent(_texts(docs), hashes, ranges, least)
 
 
-def windows(docs: DataFrame, known: Filter) -> DataFrame:
+def windows(docs: DataFrame, filters: list[Filter | None]) -> DataFrame:
     """lang, the words of the padded longest windows, and their number."""
-    shared = docs.sparkSession.sparkContext.broadcast((known.bits, known.held))
+    shared = docs.sparkSession.sparkContext.broadcast([f and f.parts() for f in filters])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(*shared.value)
+        known = [f and Filter(*f) for f in shared.value]
         for lang, chunk in _chunks(batches):
-            rows, n = chunk.windows(known.has(chunk.word), chunk.follows & known.has(chunk.pair))
+            rows, n = chunk.windows(known)
             words = pa.array(chunk.words, pa.binary())
             columns = [words.take(pa.array(np.where(c < 0, 0, c), mask=c < 0)).cast(pa.string()) for c in rows.T]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n.astype(np.int64))], names=["lang", *_WORDS, "n"])
@@ -184,10 +178,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
 
     The first has lang, words (an array) and f; the second lang and n.
     """
-    known = Filter.of(materialize(frequent_hashes(docs, least), "frequent-hashes"))
-    rolled = windows(docs, known).rollup("lang", *_WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    ranges = ranges_for(size // BYTES_A_WORD)
+    filters: list[Filter | None] = [None]
+    while len(filters) < LONGEST:
+        found = Filter.of(materialize(frequent_hashes(docs, filters, ranges, least), "frequent-hashes"), ranges)
+        filters = [found, found] if filters == [None] else [*filters, found]
+    rolled = windows(docs, filters).rollup("lang", *_WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # At a level of k words the last LONGEST - k columns are summed over.
-    size = LONGEST - F.log2(F.col("level") + 1).cast("int")
+    size = LONGEST - F.round(F.log2(F.col("level") + 1)).cast("int")
     padded = F.array(*_WORDS)
     kept = rolled.select("lang", "f", size.alias("size"), F.slice(padded, 1, F.greatest(size, F.lit(0))).alias("words"))
     whole = (F.col("size") > 0) & (F.col("f") >= least) & F.get("words", F.col("size") - 1).isNotNull()

@@ -173,15 +173,17 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, f"{kinds}, log_weight double")
 
 
-def resample(weighed: DataFrame, k: int | None = None) -> DataFrame:
+def resample(weighed: DataFrame, k: int | None = None, weights: DataFrame | None = None) -> DataFrame:
     """Gumbel top-k: the rows of the k largest perturbed log weights.
 
-    ``weighed`` is read several times, so it should be a written table. Without ``k``, as
-    many as have a weight of at least ``WORTH``.
+    Weights are read several times, so ``weighed`` should be a written table, or ``weights`` one
+    that holds doc_id and log_weight of the same rows. Without ``k``, as many as have a weight
+    of at least ``WORTH``.
     """
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = weighed.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
-    scaled = keyed.select(F.round(F.col("gumbel_key") * (1 << 30)).cast("long").alias("key"), F.lit(1).alias("size"), "log_weight")
+    key = F.col("log_weight") - F.log(-F.log(uniform))
+    keyed = weighed.withColumn("gumbel_key", key)
+    scaled = (weighed if weights is None else weights).withColumn("gumbel_key", key).select(F.round(F.col("gumbel_key") * (1 << 30)).cast("long").alias("key"), F.lit(1).alias("size"), "log_weight")
     n = scaled.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("log_weight") >= WORTH).alias("worth")).first()
     k = min(n["worth"] if k is None else k, n["all"])
     if k == n["all"]:

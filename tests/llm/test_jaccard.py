@@ -61,6 +61,7 @@ def corpus(rng):
 @pytest.mark.parametrize("cell", [96, 4])
 def test_components_equal_all_pairs(spark, monkeypatch, cell):
     monkeypatch.setattr(jaccard, "CELL", cell)
+    monkeypatch.setattr(jaccard, "SETS", cell)
     texts = corpus(random.Random(cell))
     docs = documents(spark, texts).selectExpr("*", "1 AS n", "2 AS node", "3 AS set_a")
     rows = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(docs).collect()}
@@ -70,6 +71,7 @@ def test_components_equal_all_pairs(spark, monkeypatch, cell):
 def test_hot_group_with_stragglers(spark, monkeypatch):
     """A large group of near copies, some of them linked through few others only."""
     monkeypatch.setattr(jaccard, "CELL", 8)
+    monkeypatch.setattr(jaccard, "SETS", 5)
     rng = random.Random(9)
     base = words(rng, 120)
     texts = [edited(rng, base, rng.randint(0, 6)) for _ in range(150)] + [base] * 50
@@ -154,6 +156,7 @@ def brute_at(texts, size, percent):
 
 def test_five_words_at_eighty_percent(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "CELL", 8)
+    monkeypatch.setattr(jaccard, "SETS", 5)
     rng = random.Random(5)
     texts = corpus(rng)
     for size in (6, 9, 30, 100, 300):

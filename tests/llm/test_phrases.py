@@ -6,7 +6,8 @@ from collections import Counter
 
 import numpy as np
 
-from riskloom.llm import phrases
+from riskloom.llm import frequent, phrases
+from riskloom.llm.common import mix64
 from tests.llm.helpers import documents
 from tests.oracle import compare, connect
 
@@ -96,10 +97,19 @@ def test_salts_rank_alike(spark, monkeypatch):
 
 def test_filter_holds_what_went_in(spark):
     rng = np.random.default_rng(3)
-    hashes = rng.integers(-(2**63), 2**63 - 1, 3000)
-    known = phrases.Filter.of(spark.createDataFrame([(int(h),) for h in hashes], "h long"))
-    assert known.has(hashes.astype(np.uint64)).all()
-    assert known.has(rng.integers(0, 2**63 - 1, 20_000).astype(np.uint64)).mean() < 0.05
+    for ranges in (16, 1 << 20):
+        hashes = rng.integers(0, 2**64 - 1, 3000, np.uint64)
+        kept = mix64(hashes >> np.uint64(33 - ranges.bit_length())).astype(np.int64)
+        known = frequent.Filter.of(spark.createDataFrame([(int(h),) for h in kept], "h long"), ranges)
+        assert known.has(hashes).all()
+        assert known.has(rng.integers(0, 2**64 - 1, 20_000, np.uint64)).mean() < 0.05
+
+
+def test_frequent_hashes_are_sent_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(frequent, "GATHER", 10)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(50)) for _ in range(40)]
+    assert run(spark, documents(spark, texts), least=300) == [] and run(spark, documents(spark, texts), least=15) == brute([(t, "en") for t in texts], 15)
 
 
 def test_empty_table(spark):

@@ -5,18 +5,23 @@ import random
 import corpus_pipeline
 from riskloom.llm import secrets
 from tests.llm.helpers import SF, documents, words
-from tests.llm.test_jaccard import brute, edited
+from tests.llm.test_jaccard import brute_at, edited
 from tests.llm.test_packing import check
 
 STAGES = dict(corpus_pipeline.STAGES)
 
 
+def near(texts):
+    return brute_at(texts, corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT)
+
+
 def test_order_and_columns(spark):
     assert list(STAGES) == ["quality classifier", "language id", "near duplicates", "secret scan", "best-fit packing"]
-    docs = documents(spark, ["Plain text of a few words."] * 3).selectExpr("*", "0.5 AS score", "'x' AS kind")
+    extra = ["score", "lang_pred", "held_out", "log_weight", "weight", "kind", "n", "node", "component_id", "row", "h", "spans", "entities"]
+    docs = documents(spark, ["Plain text of a few words."] * 3).selectExpr("*", *(f"{i} AS {c}" for i, c in enumerate(extra)))
     for name in list(STAGES)[:-1]:
-        out = STAGES[name](spark, docs.drop("score", "kind") if name == "language id" else docs.drop("score", "kind"), SF)
-        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"] and out.count() == (1 if name == "near duplicates" else 3)
+        out = STAGES[name](spark, docs, SF)
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", *extra] and out.count() == (1 if name == "near duplicates" else 3)
 
 
 def test_near_duplicates(spark):
@@ -27,7 +32,7 @@ def test_near_duplicates(spark):
         texts += [base, base, edited(rng, base, 1), edited(rng, base, 40)]
     docs = documents(spark, texts).union(documents(spark, texts[3:5], first=3)).union(documents(spark, ["no id"] * 2).selectExpr("NULL", "text", "lang", "source", "n_chars"))
     kept = [r.doc_id for r in STAGES["near duplicates"](spark, docs, SF).collect()]
-    want = [i for i, (_, component) in enumerate(brute(texts)) if component == i]
+    want = [i for i, component in enumerate(near(texts)) if component == i]
     assert sorted(i for i in kept if i is not None) == want and kept.count(None) == 2
 
 
@@ -57,6 +62,6 @@ def test_whole_run(spark):
     assert not any(marks.get(i) == 0 for i in first) and all(i in first for i, q in marks.items() if q == 1)
     texts = {d.doc_id: d.text for d in docs.collect() if d.doc_id in first}
     order = sorted(texts)
-    left = [order[i] for i, (_, component) in enumerate(brute([texts[i] for i in order])) if component == i]
+    left = [order[i] for i, component in enumerate(near([texts[i] for i in order])) if component == i]
     rows = corpus_pipeline.run(spark, SF).collect()
     check(rows, [(i, secrets.without_secrets(texts[i])) for i in left], 2048)
