@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,39 +56,79 @@ class BatchTable:
         return df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v")).select(*keys, "_v.*")
 
 
+#: Parts of a day above which they are merged into one.
+MAX_PARTS = 12
+
+
 class DayHistory:
-    """Rows by ``day``, ``bucket`` and micro-batch, read a few days and buckets at a time.
+    """Rows by ``day`` and micro-batch, each day in few files sorted by ``order``.
 
-    Folders are listed, never asked for one by one, so neither a long history nor an odd
-    clock slows a read down.  A retried batch replaces just its own folders.
+    A batch adds one part ``batch=<id>`` to every day it touches.  A day of more than ``max_parts``
+    parts is rewritten as one part ``upto=<id>`` that holds all rows before that batch, so reading a
+    day costs the same after ten batches and after a million.  A merge counts once its mark
+    is written; until then, and after a failure, the parts it was made of are read.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, order: Sequence[str], max_parts: int = MAX_PARTS):
+        self.spark, self.path, self.order, self.max_parts = spark, path, list(order), max_parts
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("day", "bucket", "batch").parquet(self.path)
+        """Add the batch, with a column ``day``; a retried batch replaces just its own parts."""
+        self._store(df.withColumn("batch", F.lit(batch_id)), "batch")
 
-    def _numbers(self, path: str, name: str) -> list[int]:
-        """Numbers of the folders ``name=<number>`` in a folder; none when it does not exist."""
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        system = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def days(self) -> list[int]:
+        return [int(name.removeprefix("day=")) for name in self._names(self.path) if name.startswith("day=")]
+
+    def newest(self, before: int) -> int | None:
+        """The newest day with rows of a batch earlier than ``before``."""
+        return next((day for day in sorted(self.days(), reverse=True) if self._parts(day, before)), None)
+
+    def read(self, schema: T.StructType, days: Collection[int], before: int) -> DataFrame | None:
+        """Rows of the given days from batches earlier than ``before``; None when there are none."""
+        folders = [part for day in sorted(set(days) & set(self.days())) for part in self._parts(day, before)]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else None
+
+    def compact(self, schema: T.StructType, days: Collection[int], before: int) -> None:
+        """Merge the parts of those of the given days that have too many of them."""
+        parts = {day: self._parts(day, before) for day in sorted(set(days) & set(self.days()))}
+        due = {day: found for day, found in parts.items() if len(found) > self.max_parts}
+        if not due:
+            return
+        rows = self.spark.read.schema(schema).parquet(*[part for found in due.values() for part in found])
+        by_day = F.regexp_extract("_metadata.file_path", "/day=(-?[0-9]+)/", 1).cast("bigint")
+        self._store(rows.withColumns({"day": by_day, "upto": F.lit(before)}), "upto")
+        self._file_system().create(self._path(f"{self.path}/_merged/{before}"), True).close()
+        for part in [part for found in due.values() for part in found]:
+            self._file_system().delete(self._path(part), True)
+
+    def drop_before(self, day: int) -> None:
+        """Days that no event to come can reach."""
+        for old in (d for d in self.days() if d < day):
+            self._file_system().delete(self._path(f"{self.path}/day={old}"), True)
+
+    def _store(self, df: DataFrame, part: str) -> None:
+        # Rebalancing puts a small day into one file and cuts a large one into several.
+        df.hint("rebalance", "day").sortWithinPartitions("day", *self.order).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("day", part).parquet(self.path)
+
+    def _parts(self, day: int, before: int) -> list[str]:
+        """Folders that together hold the rows of a day from earlier batches, each row once."""
+        names = [name.split("=") for name in self._names(f"{self.path}/day={day}")]
+        merged = [int(n) for kind, n in names if kind == "upto" and int(n) <= before]
+        upto = max((n for n in merged if self._file_system().exists(self._path(f"{self.path}/_merged/{n}"))), default=None)
+        single = [int(n) for kind, n in names if kind == "batch" and int(n) < before and (upto is None or int(n) >= upto)]
+        found = [f"upto={upto}"] if upto is not None else []
+        return [f"{self.path}/day={day}/{name}" for name in found + [f"batch={n}" for n in sorted(single)]]
+
+    def _names(self, path: str) -> list[str]:
+        """Names of the partition folders in a folder; none when it does not exist."""
+        folder, system = self._path(path), self._file_system()
         found = [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
-        return [int(f.split("=")[1]) for f in found if f.startswith(f"{name}=")]
+        return [name for name in found if "=" in name]
 
-    def days(self) -> list[int]:
-        return self._numbers(self.path, "day")
-
-    def read(self, schema: T.StructType, first_day: int, last_day: int, before: int, buckets: Collection[int]) -> DataFrame | None:
-        """Rows of the given days and buckets from earlier batches; None when no such folder exists."""
-        folders = [
-            f"{self.path}/day={day}/bucket={bucket}" for day in self.days() if first_day <= day <= last_day
-            for bucket in self._numbers(f"{self.path}/day={day}", "bucket") if bucket in buckets
-        ]
-        if not folders:
-            return None
-        keys = [T.StructField("day", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("batch", T.LongType())]
-        reader = self.spark.read.schema(T.StructType([*schema.fields, *keys])).option("basePath", self.path)
-        return reader.parquet(*folders).filter(F.col("batch") < before)
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _file_system(self):
+        return self._path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())

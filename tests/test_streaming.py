@@ -66,7 +66,7 @@ def test_events_with_a_very_old_clock_are_set_aside(spark, tmp_path):
     old = spark.createDataFrame([(9_999, 1, 5, 1.0)], df.schema)
     for part in (df.filter("tx_id < 60"), df.filter("tx_id >= 60").union(old)):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS)
+    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS, max_days_late=30)
     job.run(runs.tx_stream(spark, str(tmp_path / "in"), df.schema, 1))
     got = {r.tx_id: r.rolling_count_24h for r in job.current().collect()}
     assert got == {r.tx_id: r.rolling_count_24h for r in rolling_past(df, "card", "us", "amt", WINDOWS).collect()}
@@ -77,10 +77,41 @@ def test_long_first_batch_and_a_clock_in_the_future(spark, tmp_path):
     day = 86_400
     first = [(i, i % 2, i * day + 5, 1.0) for i in range(90)] + [(900, 1, 40_000 * day, 1.0)]
     schema = "tx_id long, card long, us long, amt double"
-    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS, today=100)
+    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS, max_days_late=30, last_day=101)
     job.step(spark.createDataFrame(first, schema), 0)
     job.step(spark.createDataFrame([(901, 1, 91 * day, 1.0), (902, 1, 10 * day, 1.0)], schema), 1)
     assert {r.tx_id for r in job.current().collect()} == {*range(90), 901}
     assert {r.tx_id for r in job.quarantine.read().collect()} == {900, 902}
     job.step(spark.createDataFrame(first, schema), 0)
     assert {r.tx_id for r in job.quarantine.read().collect()} == {900, 902}
+
+
+def test_very_late_events_and_odd_clocks_without_a_limit(spark, tmp_path):
+    day = 86_400
+    schema = "tx_id long, card long, us long, amt double"
+    rows = [(i, 1, (i * 37 % 200) * day // 4, float(i)) for i in range(120)] + [(900, 1, 40_000 * day, 1.0), (901, 1, None, 1.0), (902, None, -5, 1.0)]
+    df = spark.createDataFrame(rows, schema)
+    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS)
+    for i in range(3):
+        job.step(df.filter(F.col("tx_id") % 3 == i), i)
+    want = rolling_past(df.filter("us IS NOT NULL"), "card", "us", "amt", WINDOWS)
+    pick = ["tx_id", "rolling_count_24h", "rolling_amt_sum_24h"]
+    assert sorted(job.current().select(*pick).collect()) == sorted(want.select(*pick).collect())
+    assert [r.tx_id for r in job.quarantine.read().collect()] == [901]
+
+
+def test_many_batches_are_merged_and_old_days_go(spark, tmp_path):
+    day = 86_400
+    schema = "tx_id long, card long, us long, amt double"
+    rows = [(i, i % 3, i * day // 8, float(i)) for i in range(40)]
+    job = RollingStream(spark, str(tmp_path / "job"), WINDOWS, max_days_late=1, max_parts=2)
+    for i in range(20):
+        job.step(spark.createDataFrame(rows[2 * i : 2 * i + 2], schema), i)
+        if i == 11:  # a merge that has no mark, as after a failure, is not read
+            stray = f"{job.history.path}/day=2/upto=1"
+            spark.createDataFrame([(99, 0, 2 * day, 1.0)], schema).write.parquet(stray)
+    want = rolling_past(spark.createDataFrame(rows, schema), "card", "us", "amt", WINDOWS)
+    pick = ["tx_id", "rolling_count_24h", "rolling_amt_sum_24h"]
+    assert sorted(job.current().select(*pick).collect()) == sorted(want.select(*pick).collect())
+    parts = {d: len(job.history._parts(d, 20)) for d in job.history.days()}
+    assert min(parts) >= 2 and max(parts.values()) <= 4
