@@ -15,6 +15,7 @@ from riskloom.operators.sampling import sample_per_class
 from riskloom.operators.split import temporal_split
 from riskloom.session import work_dir
 from riskloom.sources import gate, sinks, tables
+from riskloom.sources.decisions import DecisionLog
 
 OP = "CAST(0.6642 AS DOUBLE)"
 BAND = "CASE WHEN score < CAST(0.3 AS DOUBLE) THEN 'approve' WHEN score >= CAST(0.85 AS DOUBLE) THEN 'block' ELSE 'pending_review' END"
@@ -129,13 +130,47 @@ def feature_schema_gate_json(spark, sf):
 @query("decision_log_append", f"""WITH {TX_EVENTS_SQL}
 SELECT strftime(ts, '%Y-%m-%d') AS day, {BAND} AS decision, COUNT(*) + COUNT(*) FILTER (WHERE category='error') AS n_entries FROM tx GROUP BY ALL""")
 def decision_log_append(spark, sf):
-    path = work_dir(spark, "decisions")
-    decided = tx_events(spark, sf).select("tx_id", "ts", "category", band().alias("decision"))
-    sinks.append_decisions(decided, path, "ts")
-    # A correction is a second entry; the first one stays.
-    sinks.append_decisions(decided.filter(F.col("category") == "error"), path, "ts")
-    log = spark.read.parquet(path)
-    return log.groupBy(F.col("dt").cast("string").alias("day"), "decision").agg(F.count(F.lit(1)).alias("n_entries"))
+    log = DecisionLog(spark, work_dir(spark, "decisions"))
+    decided = entries(tx_events(spark, sf), "auto")
+    # A correction is a second entry; the first one stays.  What is sent again changes nothing.
+    corrected = entries(tx_events(spark, sf).filter(F.col("category") == "error"), "corrected").withColumn("corrects", entry_id("auto"))
+    for batch_id, batch in (("auto", decided), ("auto", decided), ("corrected", corrected), ("corrected", corrected)):
+        log.append(batch, batch_id)
+    return log.entries().groupBy(F.col("dt").cast("string").alias("day"), "decision").agg(F.count(F.lit(1)).alias("n_entries"))
+
+
+def entry_id(kind):
+    return F.concat_ws("-", F.lit(kind), "tx_id")
+
+
+def entries(tx, kind):
+    """Log entries of the given transactions."""
+    return tx.select(
+        entry_id(kind).alias("entry_id"), "tx_id", F.col("ts").alias("recorded_at"), band().alias("decision"), F.lit("m-1").alias("model_version"),
+        F.col("score").alias("score_raw"), F.col("score").alias("score_calibrated"), F.to_json(F.struct("amt", "k")).alias("inputs"),
+        F.lit("[]").alias("top_features"), F.array(F.lit("model")).alias("rules"),
+    )
+
+
+@query("decision_log_as_of", f"""WITH {TX_EVENTS_SQL}, t AS (SELECT ((MIN(us)+MAX(us))//2000000)*1000000 AS moment FROM tx)
+SELECT tx_id, CASE WHEN category='view' AND us + 7200000000 <= moment THEN 'approve' WHEN k < 50 AND us + 10800000000 <= moment THEN 'block' ELSE {BAND} END AS decision,
+ CASE WHEN category='view' AND us + 7200000000 <= moment THEN 'analyst' END AS analyst,
+ 1 + CASE WHEN category='view' AND us + 7200000000 <= moment THEN 1 ELSE 0 END + CASE WHEN k < 50 AND us + 10800000000 <= moment THEN 1 ELSE 0 END AS n_entries
+FROM tx, t WHERE us <= moment""")
+def decision_log_as_of(spark, sf):
+    """An analyst decides after two hours; an error found after three corrects the model's entry, not the analyst's."""
+    tx = tx_events(spark, sf)
+    log = DecisionLog(spark, work_dir(spark, "decisions"))
+    log.append(entries(tx, "auto"), 0)
+    later = F.col("recorded_at")
+    by_hand = entries(tx.filter(F.col("category") == "view"), "hand").withColumns(
+        {"recorded_at": later + F.expr("INTERVAL 2 HOURS"), "decision": F.lit("approve"), "analyst": F.lit("analyst"), "reason": F.lit("known customer")})
+    log.append(by_hand, 1)
+    fixed = entries(tx.filter(F.col("k") < 50), "fixed").withColumns(
+        {"recorded_at": later + F.expr("INTERVAL 3 HOURS"), "decision": F.lit("block"), "corrects": entry_id("auto")})
+    log.append(fixed, 2)
+    middle = tx.agg(F.floor((F.min("us") + F.max("us")) / F.lit(2 * X.MICROS)).alias("s")).select(F.timestamp_seconds("s").cast("string").alias("t")).first().t
+    return log.as_of(middle).select("tx_id", "decision", "analyst", "n_entries")
 
 
 @query("join_meta_to_test", f"""WITH {TX_EVENTS_SQL}, {SPLIT_SQL}

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from riskloom.catalog.bindings import DAY_MICROS, EVENT_WINDOWS, TX_EVENTS_SQL, table, tx_events
 from riskloom.catalog.features import off_border, rolling_sql
 from riskloom.catalog.modelling import SPLIT_SQL, bundle, curated
-from riskloom.catalog.registry import query, rounded
+from riskloom.catalog.registry import once, query, rounded
 from riskloom.functions import scalar as X
-from riskloom.models.score import score_batch
+from riskloom.models import calibrate, train
+from riskloom.models.score import Bundle, score_batch
 from riskloom.operators import rolling
 from riskloom.operators.selection import exact_quantiles
-from riskloom.session import work_dir
+from riskloom.operators.split import temporal_split
+from riskloom.session import materialize, work_dir
 from riskloom.streaming import monitor, runs
+from riskloom.streaming.chain import DecisionStream
 from riskloom.streaming.rolling import RollingStream
 
 
@@ -22,8 +25,8 @@ from riskloom.streaming.rolling import RollingStream
 FILES = 4
 
 
-def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES) -> DataFrame:
-    """Write the rows in time order as a few successive steps of files and open them as a stream."""
+def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES, last: DataFrame | None = None) -> DataFrame:
+    """Write the rows in time order as a few successive steps of files, ``last`` behind them, and open them as a stream."""
     spark = df.sparkSession
     path = work_dir(spark, "arriving")
     micros = df.withColumn("_at", F.unix_micros(clock))
@@ -33,6 +36,8 @@ def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES) -> D
         inside = inside & (F.col("_at") >= F.lit(low)) if low is not None else inside
         inside = inside & (F.col("_at") < F.lit(high)) if high is not None else inside
         micros.filter(inside).drop("_at").repartition(files).write.mode("append").parquet(path)
+    if last is not None:
+        last.coalesce(1).write.mode("append").parquet(path)
     return runs.tx_stream(spark, path, df.schema, files)
 
 
@@ -98,9 +103,10 @@ def st_sliding_rate_limit(spark, sf):
 def st_dedup(spark, sf):
     path = work_dir(spark, "deduplicated")
     sent = tx_events(spark, sf).select("tx_id", "ts", "amt", "category")
-    again = sent.filter(F.col("category") == "error")
+    # Sent again ten days later: mostly in another micro-batch, so the state has to know them.
+    again = sent.filter(F.col("category") == "error").withColumn("ts", F.col("ts") + F.expr("INTERVAL 10 DAYS"))
     stream = arriving(sent.unionByName(again), "ts")
-    runs.run_to_table(monitor.drop_retries(stream, "tx_id", "ts"), path, f"{path}-checkpoint")
+    runs.run_to_table(monitor.drop_retries(stream, "tx_id", "ts", "30 days"), path, f"{path}-checkpoint")
     return spark.read.parquet(path).select("tx_id", "amt")
 
 
@@ -110,12 +116,71 @@ SELECT o_orderkey AS tx_id, CASE WHEN MIN(l_shipdate) IS NULL THEN 'provisional'
  (SELECT l_orderkey, l_shipdate, MAX(CASE WHEN l_returnflag='R' THEN 1 ELSE 0 END) AS r FROM lineitem GROUP BY ALL)
  ON o_orderkey = l_orderkey AND l_shipdate BETWEEN o_orderdate + INTERVAL 30 DAY AND o_orderdate + INTERVAL 60 DAY GROUP BY o_orderkey""")
 def st_late_labels(spark, sf):
+    """States from the rows of the stream alone, those without a confirmation included."""
+    return monitor.label_status(labelled(spark, sf)).select("tx_id", "status", "confirmed")
+
+
+@query("st_label_versions", """
+SELECT o_orderkey AS tx_id, CASE WHEN l_shipdate IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate, r DESC) END AS version,
+ CASE WHEN l_shipdate IS NULL THEN 'provisional' ELSE 'confirmed' END AS status, strftime(l_shipdate, '%Y-%m-%d') AS arrived, CAST(r AS BIGINT) AS confirmed
+FROM orders LEFT JOIN (SELECT l_orderkey, l_shipdate, CASE WHEN l_returnflag='R' THEN 1 ELSE 0 END AS r FROM lineitem)
+ ON o_orderkey = l_orderkey AND l_shipdate BETWEEN o_orderdate + INTERVAL 30 DAY AND o_orderdate + INTERVAL 60 DAY""")
+def st_label_versions(spark, sf):
+    out = monitor.label_versions(labelled(spark, sf))
+    return out.select("tx_id", "version", "status", F.date_format("arrived", "yyyy-MM-dd").alias("arrived"), "confirmed")
+
+
+def labelled(spark, sf):
+    """Orders joined with their shipments as a stream of transactions and one of late confirmations."""
     path = work_dir(spark, "labelled")
     tx = table(spark, sf, "orders").select(F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
     labels = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("label_tx_id"), F.col("l_shipdate").cast("timestamp").alias("arrived"),
         (F.col("l_returnflag") == "R").cast("bigint").alias("confirmed"),
     )
-    joined = monitor.late_label_join(arriving(tx, "ts", 2), arriving(labels, "arrived", 2), "ts", delay="400 days")
-    runs.run_to_table(joined, path, f"{path}-checkpoint")
-    return monitor.label_status(tx, spark.read.parquet(path)).select("tx_id", "status", "confirmed")
+    last_tx, last_label = monitor.closing_rows(tx, labels, "ts")
+    joined = monitor.late_label_join(arriving(tx, "ts", 2, last=last_tx), arriving(labels, "arrived", 2, last=last_label), "ts")
+    versions = runs.BatchTable(spark, path)
+    runs.run_batches(joined, f"{path}-checkpoint", versions.write)
+    return versions.read()
+
+
+CHAIN_FEATURES = ("amt", "k", *(n for w in EVENT_WINDOWS for n in rolling.statistic_names(w).values()))
+
+
+def event_bundle(spark, sf):
+    """A small model over the rolling features of the events, trained by the batch job."""
+    def make():
+        rows = rolling.rolling_past(tx_events(spark, sf), "card", "us", "amt", EVENT_WINDOWS)
+        rows = materialize(temporal_split(rows.withColumn("is_fraud", F.col("label_rare")), "us", "tx_id"), "events-train")
+        model = train.fit_trees(rows, train.TreeParams(max_depth=4, learning_rate=0.2, max_trees=10), CHAIN_FEATURES)
+        val = train.raw_scores(rows.filter(F.col("split") == "val"), model, CHAIN_FEATURES)
+        return Bundle(model, calibrate.fit_platt(val, "is_fraud", "score_raw"), "events-1", CHAIN_FEATURES)
+    return once(spark, sf, "event-bundle", make)
+
+
+@query("st_decision_chain", f"""WITH {TX_EVENTS_SQL}, f AS ({rolling_sql(EVENT_WINDOWS)})
+SELECT f.tx_id, rolling_count_1h, rolling_count_24h, rolling_amt_sum_24h, 1 AS n_entries, 'events-1' AS model_version, true AS as_scored, true AS as_decided
+FROM f""")
+def st_decision_chain(spark, sf):
+    """Raw transactions to log entries in one stream; the entry's inputs are the batch job's features."""
+    bundle_ = event_bundle(spark, sf)
+    job = DecisionStream(spark, work_dir(spark, "chain"), bundle_, EVENT_WINDOWS, DAY_MICROS)
+    job.run(arriving(tx_events(spark, sf).select("tx_id", "card", "ts", "us", "amt", "k"), "ts"))
+    inputs = "amt double, k int, " + ", ".join(f"{n} double" for n in CHAIN_FEATURES[2:])
+    log = job.log.as_of("2999-01-01").select(
+        "tx_id", F.from_json("inputs", inputs).alias("i"), "score_raw", "score_calibrated", "decision", "model_version", "n_entries"
+    )
+    # The logged inputs, scored again by the batch job.
+    again = train.raw_scores(log.select("tx_id", "score_raw", "score_calibrated", "decision", "model_version", "n_entries", "i.*")
+                             .withColumnRenamed("score_raw", "_logged"), bundle_.model, CHAIN_FEATURES)
+    out = again.select(
+        "tx_id", *[F.col(n) for n in CHAIN_FEATURES[2:]], "n_entries", "model_version",
+        (F.abs(F.col("score_raw") - F.col("_logged")) < 1e-9).alias("as_scored"),
+        (F.col("decision") == X.decision_band(F.col("score_calibrated"))).alias("as_decided"),
+    )
+    rows = rounded(off_border(out, EVENT_WINDOWS), rolling_amt_sum_24h=4)
+    return rows.select(
+        "tx_id", F.col("rolling_count_1h").cast("bigint").alias("rolling_count_1h"), F.col("rolling_count_24h").cast("bigint").alias("rolling_count_24h"),
+        "rolling_amt_sum_24h", "n_entries", "model_version", "as_scored", "as_decided",
+    )

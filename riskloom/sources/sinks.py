@@ -33,8 +33,3 @@ def write_report_csv(df: DataFrame, path: str) -> None:
     One file; the exchange keeps what makes the report from running in that one task.
     """
     df.repartition(1).write.mode("overwrite").csv(path, header=True)
-
-
-def append_decisions(df: DataFrame, path: str, clock: str) -> None:
-    """Append-only decision log partitioned by date; corrections are appended as new rows."""
-    df.withColumn("dt", F.to_date(clock)).write.mode("append").option("compression", "zstd").partitionBy("dt").parquet(path)

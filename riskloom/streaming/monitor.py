@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as X
@@ -49,14 +49,46 @@ def late_label_join(tx: DataFrame, labels: DataFrame, clock: str, first_day: int
     )
 
 
-def label_status(tx: DataFrame, joined: DataFrame) -> DataFrame:
-    """Earliest confirmation per transaction; the others are provisional."""
-    earliest = joined.filter(F.col("arrived").isNotNull()).groupBy(F.col("tx_id").alias("_id")).agg(
-        F.min_by("confirmed", F.struct("arrived", -F.col("confirmed"))).alias("confirmed")
+def closing_rows(tx: DataFrame, labels: DataFrame, clock: str, last_day: int = 60, delay_days: int = 1) -> tuple[DataFrame, DataFrame]:
+    """A row for either stream of ``late_label_join``, past the last window by more than both delays.
+
+    A stream that goes on needs none: its later rows move the watermark.  At the end of a finite one
+    these rows do, so the transactions still waiting come out unconfirmed.  The transaction has no id; the
+    label has one, as the join leaves out labels without before they move the watermark, but arrives too late for any.
+    """
+    last = tx.agg(F.max(clock).alias("t"), F.min("tx_id").alias("id")).unionByName(
+        labels.agg(F.max("arrived").alias("t"), F.min("label_tx_id").alias("id"))
+    ).agg(F.max("t").alias("t"), F.min("id").alias("id"))
+    end = F.col("t") + F.make_dt_interval(F.lit(last_day + 2 * delay_days + 1))
+
+    def row(like: DataFrame, **values: Column) -> DataFrame:
+        return last.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema])
+
+    return row(tx, **{clock: end}), row(labels, arrived=end, label_tx_id=F.col("id"))
+
+
+def label_versions(joined: DataFrame) -> DataFrame:
+    """One row per state that a transaction's label has had, from the rows of ``late_label_join`` alone.
+
+    Version 0 is the state without a confirmation within the delay window; otherwise versions count the
+    confirmations in order of arrival, a confirming one first among those of one instant.
+    """
+    order = Window.partitionBy("tx_id").orderBy("arrived", F.col("confirmed").desc())
+    known = joined.filter(F.col("tx_id").isNotNull())
+    return known.select(
+        "tx_id", "arrived", "confirmed",
+        F.when(F.col("arrived").isNull(), 0).otherwise(F.row_number().over(order)).cast("bigint").alias("version"),
+        F.when(F.col("arrived").isNull(), "provisional").otherwise("confirmed").alias("status"),
     )
-    return tx.join(earliest, F.col("tx_id") == F.col("_id"), "left").drop("_id").withColumn(
-        "status", F.when(F.col("confirmed").isNull(), "provisional").otherwise("confirmed")
+
+
+def label_status(joined: DataFrame) -> DataFrame:
+    """The earliest confirmation of each transaction of the joined stream; one without is provisional."""
+    came = F.when(F.col("arrived").isNotNull(), F.struct("arrived", -F.col("confirmed")))
+    earliest = joined.filter(F.col("tx_id").isNotNull()).groupBy("tx_id").agg(
+        F.min_by("confirmed", came).alias("confirmed"), F.count("arrived").alias("_n")
     )
+    return earliest.select("tx_id", F.when(F.col("_n") > 0, "confirmed").otherwise("provisional").alias("status"), "confirmed")
 
 
 def score_and_decide(features: DataFrame, bundle: Bundle) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,9 +50,18 @@ class BatchTable:
     def read(self) -> DataFrame:
         return self.spark.read.option("basePath", self.path).parquet(self.path)
 
-    def latest(self, *keys: str) -> DataFrame:
-        """The newest version of each key."""
-        df = self.read()
+    def read_batch(self, batch_id: int) -> DataFrame | None:
+        """The rows of one batch; None when it wrote nothing."""
+        try:
+            return self.spark.read.parquet(f"{self.path}/batch={batch_id}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def latest(self, *keys: str, batches: DataFrame | None = None) -> DataFrame:
+        """The newest version of each key, of the given ``batches`` (a column ``batch``) or of all."""
+        df = self.read() if batches is None else self.read().join(batches, "batch", "left_semi")
         values = [c for c in df.columns if c not in keys and c != "batch"]
         return df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v")).select(*keys, "_v.*")
 

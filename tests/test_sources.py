@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.operators import decide
-from riskloom.sources import gate, sinks, tables
+from riskloom.sources import gate, tables
+from riskloom.sources.decisions import DecisionLog
 
 # --- fixed values: the stored scores of one known fraud and one known legitimate row ---
 KNOWN_SCORES = {"fraud": (0.6700729727745056, True, True), "legit": (0.31541281938552856, False, False)}
@@ -101,11 +102,45 @@ def test_lists_come_before_the_model(spark):
     assert got == {1: ("block", "denylist"), 2: ("approve", "allowlist"), 3: ("block", "denylist"), 4: ("pending_review", "model")}
 
 
+def entry_rows(spark, rows):
+    given = spark.createDataFrame(rows, "entry_id string, tx_id long, s long, decision string, corrects string")
+    return given.select(
+        "entry_id", "tx_id", F.timestamp_seconds("s").alias("recorded_at"), "decision", "corrects", F.lit("m").alias("model_version"),
+        F.lit(0.5).alias("score_raw"), F.lit(0.5).alias("score_calibrated"), F.lit("{}").alias("inputs"), F.lit("[]").alias("top_features"),
+        F.array(F.lit("model")).alias("rules"),
+    )
+
+
 def test_log_only_grows(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a")], "tx_id long, decision string").withColumn("ts", F.timestamp_seconds(F.lit(0)))
-    for _ in range(2):
-        sinks.append_decisions(df, str(tmp_path / "log"), "ts")
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+    log = DecisionLog(spark, str(tmp_path / "log"))
+    assert log.entries().count() == 0 and log.as_of("2100-01-01").count() == 0
+    first = entry_rows(spark, [("a", 1, 0, "approve", None), ("b", 2, 0, "block", None)])
+    assert log.append(first, "x") and not log.append(first, "x")
+    # An attempt without manifest row, as of a writer that was lost.
+    first.withColumn("dt", F.to_date("recorded_at")).write.partitionBy("dt").parquet(f"{log.path}/entries/attempt=lost")
+    assert sorted(r.entry_id for r in log.entries().collect()) == ["a", "b"]
+    assert log.append(entry_rows(spark, []), "empty") and log.holds("empty")
+
+
+def test_corrections_stand_where_the_first_entry_stood(spark, tmp_path):
+    log = DecisionLog(spark, str(tmp_path / "log"))
+    log.append(entry_rows(spark, [("a", 1, 10, "approve", None), ("hand", 1, 20, "block", None), ("b", 2, 10, "approve", None)]), 0)
+    log.append(entry_rows(spark, [("a2", 1, 30, "review", "a"), ("b2", 2, 30, "block", "b"), ("b3", 2, 40, "review", "b")]), 1)
+    states = {t: {r.tx_id: (r.decision, r.n_entries) for r in log.as_of(f"1970-01-01 00:00:{t}").collect()} for t in ("09", "15", "30", "45")}
+    assert states == {
+        "09": {}, "15": {1: ("approve", 1), 2: ("approve", 1)}, "30": {1: ("block", 3), 2: ("block", 2)}, "45": {1: ("block", 3), 2: ("review", 3)},
+    }
+
+
+def test_entries_that_say_too_little_are_refused(spark, tmp_path):
+    log = DecisionLog(spark, str(tmp_path / "log"))
+    with pytest.raises(ValueError, match="inputs"):
+        log.append(entry_rows(spark, []).drop("inputs"), 0)
+    with pytest.raises(ValueError, match="1 decision entries"):
+        log.append(entry_rows(spark, [("a", 1, 0, None, None)]), 0)
+    with pytest.raises(ValueError, match="1 corrections"):
+        log.append(entry_rows(spark, [("a", 1, 0, "block", None), ("c", 1, 1, "block", "nothing")]), 0)
+    assert log.entries().count() == 0
 
 
 def test_unreadable_values_are_kept(spark, tmp_path):

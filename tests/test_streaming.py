@@ -1,11 +1,14 @@
 """The stream gives the batch result, whatever the arrival order."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.rolling import rolling_past
 from riskloom.streaming import monitor, runs
+from riskloom.streaming.chain import DecisionStream
 from riskloom.streaming.rolling import RollingStream
 from tests.test_ordered import skewed
 
@@ -103,10 +106,10 @@ def test_very_late_events_and_odd_clocks_without_a_limit(spark, tmp_path):
 def test_many_batches_are_merged_and_old_days_go(spark, tmp_path):
     day = 86_400
     schema = "tx_id long, card long, us long, amt double"
-    rows = [(i, i % 3, i * day // 8, float(i)) for i in range(40)]
+    rows = [(i, i % 3, i * day // 4, float(i)) for i in range(20)]
     job = RollingStream(spark, str(tmp_path / "job"), WINDOWS, max_days_late=1, max_parts=2)
     for i in range(20):
-        job.step(spark.createDataFrame(rows[2 * i : 2 * i + 2], schema), i)
+        job.step(spark.createDataFrame(rows[i : i + 1], schema), i)
         if i == 11:  # a merge that has no mark, as after a failure, is not read
             stray = f"{job.history.path}/day=2/upto=1"
             spark.createDataFrame([(99, 0, 2 * day, 1.0)], schema).write.parquet(stray)
@@ -115,3 +118,68 @@ def test_many_batches_are_merged_and_old_days_go(spark, tmp_path):
     assert sorted(job.current().select(*pick).collect()) == sorted(want.select(*pick).collect())
     parts = {d: len(job.history._parts(d, 20)) for d in job.history.days()}
     assert min(parts) >= 2 and max(parts.values()) <= 4
+
+
+class PlainScores(DecisionStream):
+    """The chain with a formula in place of a model."""
+
+    def _score(self, came, batch_id):
+        made = self.rolling.features.read_batch(batch_id).select("tx_id", "rolling_count_24h")
+        score = F.col("rolling_count_24h") / 100
+        return came.join(made, "tx_id", "left").select(
+            "tx_id", F.col("ts").alias("recorded_at"), F.to_json(F.struct("amt", "rolling_count_24h")).alias("inputs"),
+            score.alias("score_raw"), score.alias("score_calibrated"), F.lit("[]").alias("top_features"),
+        )
+
+
+@pytest.mark.parametrize("broken", ["features", "history", "scores", "entries", "none"])
+def test_chain_logs_each_row_once_after_a_failure_at_any_write(spark, tmp_path, monkeypatch, broken):
+    pdf = skewed(60).rename(columns={"tx": "tx_id", "t": "us"})
+    df = spark.createDataFrame(pdf).select("tx_id", "card", "us", "amt", F.timestamp_seconds("us").alias("ts"))
+    job = PlainScores(spark, str(tmp_path / "job"), SimpleNamespace(version="v", features=("amt",)), WINDOWS)
+    first, second = df.filter("us < 120000"), df.filter("us >= 120000")
+    job.step(first, 0)
+    owner, name = {
+        "features": (job.rolling.features, "write"), "history": (job.rolling.history, "write"), "scores": (job.scores, "write"),
+        "entries": (job.log, "append"), "none": (job.scores, "read"),
+    }[broken]
+    if broken != "none":
+        write = getattr(owner, name)
+
+        def lost(rows, batch_id):
+            write(rows.limit(5), batch_id) if broken != "entries" else None
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(owner, name, lost)
+        with pytest.raises(RuntimeError):
+            job.step(second, 1)
+        monkeypatch.setattr(owner, name, write)
+        assert job.log.entries().count() == first.count() == job.scored().count() == job.features().count()
+    job.step(second, 1)
+    job.step(second, 1)
+    want = {r.tx_id: r.rolling_count_24h for r in rolling_past(df, "card", "us", "amt", WINDOWS).collect()}
+    got = job.log.entries().select("tx_id", F.get_json_object("inputs", "$.rolling_count_24h").cast("long").alias("n")).collect()
+    assert len(got) == len(want) and {r.tx_id: r.n for r in got} == want
+    assert job.scored().count() == job.features().count() == len(want)
+
+
+def test_labels_come_from_the_stream_alone(spark, tmp_path):
+    day = 86_400
+    # Spark drops what is not after 1970-01-01, where a watermark begins.
+    tx = spark.createDataFrame([(i, i * day) for i in range(1, 40)], "tx_id long, s long").select("tx_id", F.timestamp_seconds("s").alias("ts"))
+    # Early, in time and twice, at the last day, too late, of an unknown transaction; the rest have none.
+    given = [(1, 1 + 5, 1), (2, 2 + 30, 0), (2, 2 + 40, 1), (3, 3 + 60, 1), (4, 4 + 61, 1), (99, 50, 1), (5, 5 + 45, 0), (5, 5 + 45, 1)]
+    labels = spark.createDataFrame([(t, d * day, c) for t, d, c in given], "label_tx_id long, s long, confirmed long").select(
+        "label_tx_id", F.timestamp_seconds("s").alias("arrived"), "confirmed"
+    )
+    ends = monitor.closing_rows(tx, labels, "ts")
+    for name, df, end, cut in (("tx", tx, ends[0], "ts < timestamp_seconds(1728000)"), ("labels", labels, ends[1], "arrived < timestamp_seconds(4000000)")):
+        for part in (df.filter(cut), df.filter(f"NOT {cut}"), end):
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    streams = [runs.tx_stream(spark, str(tmp_path / n), d.schema, 1) for n, d in (("tx", tx), ("labels", labels))]
+    versions = runs.BatchTable(spark, str(tmp_path / "out"))
+    runs.run_batches(monitor.late_label_join(*streams, "ts"), str(tmp_path / "mark"), versions.write)
+    found = {r.tx_id: (r.status, r.confirmed) for r in monitor.label_status(versions.read()).collect()}
+    assert found == {i: {2: ("confirmed", 0), 3: ("confirmed", 1), 5: ("confirmed", 1)}.get(i, ("provisional", None)) for i in range(1, 40)}
+    history = sorted((r.tx_id, r.version, r.confirmed) for r in monitor.label_versions(versions.read()).collect() if r.version)
+    assert history == [(2, 1, 0), (2, 2, 1), (3, 1, 1), (5, 1, 1), (5, 2, 0)]
