@@ -59,6 +59,7 @@ def run(args: argparse.Namespace) -> None:
         staging = features.staging_to_transactions(spark.read.parquet(args.staging))
         found = evaluate.evaluate(spark.read.parquet(args.curated), staging, load_bundle(args.bundle))
         found.write_reports(args.out)
+        found.log(f"{args.out}/runs")
         found.test_metrics.show(truncate=False)
         found.calibration.show(truncate=False)
         found.cost_optimum.show(truncate=False)

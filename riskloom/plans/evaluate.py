@@ -12,7 +12,7 @@ from riskloom import settings as S
 from riskloom.models.calibrate import Calibrator, compare_calibrators, fit_isotonic, fit_platt
 from riskloom.models.explain import explain_rows, mean_abs_contribution, top_contributions
 from riskloom.models.score import Bundle
-from riskloom.models.train import raw_scores
+from riskloom.models.train import append_run_log, metric_rows, raw_scores
 from riskloom.operators import cost, metrics, sampling, segments
 from riskloom.session import materialize
 from riskloom.sources.sinks import write_report_csv
@@ -52,6 +52,22 @@ class Evaluation:
     importance: DataFrame
     convincing_cases: DataFrame
     calibrator: Calibrator
+    settings: dict[str, float]
+
+    def log(self, path: str, run: str = "evaluation") -> None:
+        """Add the evaluation to a run log: settings, test metrics, Brier values, chosen calibrator, cost optimum."""
+        brier = {(r.kind, r.split): r.brier for r in self.calibration.collect()}
+        chosen = self.calibrator.kind
+        best = self.cost_optimum.first()
+        rows = [
+            *metric_rows(run, "param", self.settings),
+            *metric_rows(run, "metric_test", {r.metric: r.value for r in self.test_metrics.collect()}),
+            *metric_rows(run, "brier_test", {k: b for (k, split), b in brier.items() if split == "test"}),
+            *metric_rows(run, "brier_test", {"chosen": brier[chosen, "test"]}),
+            *metric_rows(run, "calibrator_chosen", {k: k == chosen for k, split in brier if split == "test"}),
+            *metric_rows(run, "cost_val", {c: best[c] for c in ("threshold_min_cost", "cost_at_min", "cost_at_f1", "saved_vs_f1")}),
+        ]
+        append_run_log(self.test_metrics.sparkSession, path, rows)
 
     def write_reports(self, path: str) -> None:
         for name in ("segments", "cost_curve", "importance"):
@@ -111,4 +127,8 @@ def evaluate(
         importance=mean_abs_contribution(explained, features=bundle.features).orderBy(F.desc("mean_abs"), "feature").limit(10),
         convincing_cases=cases.join(top_contributions(explained, bundle.features).select("tx_id", "base_value", "top"), "tx_id"),
         calibrator=calibrator,
+        settings={
+            "operating_threshold": bundle.operating_threshold, "cost_per_false_positive": S.COST_PER_FALSE_POSITIVE,
+            **({} if sample_rows is None else {"explained_rows": sample_rows}),
+        },
     )

@@ -199,6 +199,14 @@ def test_evaluation_tables(flow, tmp_path):
     assert found.importance.count() == 10 and found.convincing_cases.count() == 6
     assert found.monthly_value.first().n_test == flow["curated"].filter("split = 'test'").count()
     found.write_reports(str(tmp_path))
+    found.log(str(tmp_path / "runs"))
+    logged = {(r.kind, r.name): r.value for r in flow["curated"].sparkSession.read.parquet(str(tmp_path / "runs")).collect()}
+    assert {n: v for (k, n), v in logged.items() if k == "metric_test"} == bundle
+    assert logged["cost_val", "saved_vs_f1"] == pytest.approx(best.cost_at_f1 - best.cost_at_min) and logged["param", "explained_rows"] == 60
+    kinds = {"raw", "platt", "isotonic"}
+    assert {n for k, n in logged if k == "brier_test"} == kinds | {"chosen"}
+    chosen = [n for n in kinds if logged["calibrator_chosen", n]]
+    assert len(chosen) == 1 and logged["brier_test", "chosen"] == logged["brier_test", chosen[0]]
 
 
 def test_metadata_guard(flow):
