@@ -33,7 +33,8 @@ class TreeParams:
     feature_share: float = 1.0
     min_gain: float = 0.0
     max_trees: int = 500
-    stop_tolerance: float = 0.001
+    #: Rounds without a better average precision on val before boosting stops; 0 keeps all.
+    patience: int = 30
     seed: int = 42
 
 
@@ -62,23 +63,30 @@ def fit_trees(
     features: Sequence[str] = S.FEATURE_COLUMNS,
     target: str = S.TARGET,
 ) -> PipelineModel:
-    """Fit on the train rows of a split table; val rows stop the boosting early."""
-    fitted = table.filter(F.col("split").isin("train", "val"))
-    weight = positive_weight(fitted.filter(F.col("split") == "train"), target).first().pos_weight
+    """Fit on the train rows of a split table; average precision on its val rows gives the length.
+
+    MLlib boosts without a look at val, so ``max_trees`` are fitted and then cut.
+    """
+    from riskloom.models.staged import stop_early
+
+    fitted = table.filter(F.col("split") == "train")
+    weight = positive_weight(fitted, target).first().pos_weight
     rows = model_input(fitted, features).select(
-        *features, F.col(target).cast("double").alias("_label"), (F.col("split") == "val").alias("_held_out"),
+        *features, F.col(target).cast("double").alias("_label"),
         F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("_weight"),
     )
     gather = assembler(features)
     trees = GBTClassifier(
-        featuresCol=VECTOR, labelCol="_label", weightCol="_weight", validationIndicatorCol="_held_out",
+        featuresCol=VECTOR, labelCol="_label", weightCol="_weight",
         maxIter=params.max_trees, maxDepth=params.max_depth, stepSize=params.learning_rate,
         minInstancesPerNode=params.min_rows_per_node, subsamplingRate=params.row_share,
         featureSubsetStrategy="all" if params.feature_share >= 1.0 else str(params.feature_share),
-        minInfoGain=params.min_gain, validationTol=params.stop_tolerance, seed=params.seed,
+        minInfoGain=params.min_gain, seed=params.seed,
         maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10,
     ).fit(gather.transform(rows))
-    return PipelineModel(stages=[gather, trees])
+    model = PipelineModel(stages=[gather, trees])
+    held_out = table.filter(F.col("split") == "val")
+    return stop_early(model, held_out, params.patience, target, features) if params.patience else model
 
 
 def raw_scores(df: DataFrame, model: PipelineModel, features: Sequence[str] = S.FEATURE_COLUMNS, name: str = "score_raw") -> DataFrame:
@@ -128,7 +136,7 @@ def _draw(rng: random.Random, fixed: TreeParams) -> TreeParams:
         max_depth=rng.randint(4, 10), learning_rate=log_uniform(0.01, 0.3),
         min_rows_per_node=round(log_uniform(1.0, 100.0)), row_share=rng.uniform(0.6, 1.0),
         feature_share=rng.uniform(0.6, 1.0), min_gain=rng.uniform(0.0, 0.05),
-        max_trees=fixed.max_trees, stop_tolerance=fixed.stop_tolerance, seed=fixed.seed,
+        max_trees=fixed.max_trees, patience=fixed.patience, seed=fixed.seed,
     )
 
 
