@@ -11,7 +11,7 @@ from riskloom import settings as S
 from riskloom.functions import scalar as X
 from riskloom.operators.metrics import confusion_at
 from riskloom.operators.ordered import ROWS_PER_KEY, many_valued_keys, null_safe, prior_totals
-from riskloom.operators.selection import exact_quantiles
+from riskloom.operators.selection import exact_quantiles, quantile_table
 
 _EMPTY_SHARE = 1e-6
 
@@ -127,13 +127,11 @@ def period_report(df: DataFrame, merchant: str, clock: str, decision: str, label
 def service_levels(df: DataFrame, latency: str, clock: str, shift: Column, probability: float = 0.99, **tuning: int) -> DataFrame:
     """Per shift: latency percentile, mean resolution and peak rows per second."""
     keyed = df.withColumn("shift", shift)
-    found = exact_quantiles(keyed, latency, [probability], by=["shift"], **tuning)
-    tails = df.sparkSession.createDataFrame([(g[0], q[0]) for g, q in found.items()], "shift string, p99 double")
+    tails = quantile_table(keyed, latency, {"p99": probability}, ["shift"], **tuning)
     per_second = keyed.groupBy("shift", F.date_trunc("second", F.col(clock)).alias("_s")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(latency).alias("t"), F.count(latency).alias("m")
     )
     levels = per_second.groupBy("shift").agg(
         F.sum("n").alias("n"), F.max("n").alias("peak_per_second"), (F.sum("t") / F.sum("m")).alias("mean_latency")
     )
-    # One row per shift.
-    return null_safe(levels, F.broadcast(tails), ["shift"])
+    return null_safe(levels, tails, ["shift"])

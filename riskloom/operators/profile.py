@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as X
-from riskloom.operators.selection import exact_quantiles
+from riskloom.operators.selection import exact_quantiles, quantile_table
 
 
 def quality_report(df: DataFrame, label: str, clock: str, card: str) -> DataFrame:
@@ -95,13 +95,9 @@ def quantiles_by_class(df: DataFrame, label: str, values: Sequence[str], probabi
     """
     pairs = F.inline(F.array(*[F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value")) for v in values]))
     long = df.select(F.col(label).cast("int").alias("label"), pairs)
-    quantiles = exact_quantiles(long, "value", list(probabilities.values()), by=["measure", "label"], **tuning)
-    rows = [(*group, *found) for group, found in quantiles.items()]
-    names = ", ".join(f"{n} double" for n in probabilities)
-    found = df.sparkSession.createDataFrame(rows, f"measure string, label int, {names}")
+    found = quantile_table(long, "value", probabilities, ["measure", "label"], **tuning)
     basic = long.groupBy("measure", "label").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max"))
-    # One row per measure and class.
-    return basic.join(F.broadcast(found), ["measure", "label"])
+    return basic.join(found, ["measure", "label"])
 
 
 def conditional_quantile(df: DataFrame, value: str, probability: float, where: Column, **tuning: int) -> float | None:

@@ -10,15 +10,15 @@ use equal-width bins, text its leading characters.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from riskloom.operators.ordered import null_safe, prior_totals
+from riskloom.operators.ordered import ROWS_PER_KEY, many_valued_keys, null_safe, prior_totals
 
 BINS = 2048
 FINISH_ROWS = 20_000
@@ -178,6 +178,43 @@ def exact_quantiles(
     return out
 
 
+def quantile_table(df: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str], max_groups: int = MAX_GROUPS, **tuning: int) -> DataFrame:
+    """One row per group (null keys are one) with an exact quantile per name, as ``exact_quantiles`` gives it.
+
+    Few groups are searched by histograms; the table then carries a broadcast hint, as it has
+    at most ``max_groups`` rows. More groups never leave Spark: rows are combined to distinct
+    values per group, running counts tell which ranks each value holds, and a group that owns most
+    values is cut into slices. Groups without values have null quantiles.
+    """
+    by = list(by)
+    keys = [df.schema[c] for c in by]
+    if df.select(*by).distinct().limit(max_groups + 1).count() <= max_groups:
+        found = exact_quantiles(df, value, list(probabilities.values()), by, **tuning)
+        kind = StructType([*keys, *[StructField(name, DoubleType()) for name in probabilities]])
+        return F.broadcast(df.sparkSession.createDataFrame([(*group, *q) for group, q in found.items()], kind))
+    data = df.select(*by, F.col(value).cast("double").alias("_v")).withColumn("_v", F.when(~F.isnan("_v"), F.col("_v")))
+    groups = data.groupBy(*by).agg(F.count("_v").alias("_total"))
+    values = data.filter(F.col("_v").isNotNull()).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    running = prior_totals(
+        values, by, [F.col("_v")], {"_below": F.col("_n")}, hot_keys=many_valued_keys(data, by, "_v", ROWS_PER_KEY))
+    ranked = null_safe(groups, running, by)
+    held, ends = F.lit(False), {}
+    for name, p in probabilities.items():
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        for end, rank in (("low", F.floor(at) + 1), ("high", F.least(F.floor(at) + 2, F.col("_total")))):
+            here = (F.col("_below") < rank) & (rank <= F.col("_below") + F.col("_n"))
+            held, ends[f"_{end}_{name}"] = held | here, F.max(F.when(here, F.col("_v")))
+    # Only values at a wanted rank go on, and one row of every group without values.
+    picked = ranked.filter(held | (F.col("_total") == 0)).groupBy(*by).agg(
+        F.max("_total").alias("_total"), *[c.alias(n) for n, c in ends.items()])
+
+    def between(name: str, p: float) -> Column:
+        at, low, high = F.lit(float(p)) * (F.col("_total") - 1), F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        return (low + (high - low) * (at - F.floor(at))).alias(name)
+
+    return picked.select(*by, *[between(name, p) for name, p in probabilities.items()])
+
+
 @dataclass(frozen=True)
 class Cut:
     """The row at position ``rank`` of an order by value, ties broken by a unique id."""

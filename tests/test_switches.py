@@ -114,3 +114,49 @@ def test_service_levels_of_a_null_shift(spark):
     df = spark.createDataFrame(rows, "ms double, ts timestamp, s string")
     found = {r.shift: r.p99 for r in monitor.service_levels(df, "ms", "ts", F.col("s")).collect()}
     assert found["day"] == pytest.approx(98.02) and found[None] == pytest.approx(97.02)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 300])
+def test_quantiles_of_many_groups_stay_in_spark(spark, limit, monkeypatch):
+    """One group holds a third of the rows; keys and values may be null, NaN or infinite."""
+    rng = np.random.default_rng(8)
+    n = 6_000
+    group = np.where(rng.random(n) < 1 / 3, 0, rng.integers(1, 900, n))
+    value = rng.normal(size=n).round(2)
+    value[rng.random(n) < 0.05] = np.nan
+    value[group == 7] = np.nan
+    value[(group == 9)] = np.inf
+    rows = [(None if g == 5 else int(g), "a" if g % 2 else None, None if i % 50 == 0 else float(v)) for i, (g, v) in enumerate(zip(group, value))]
+    df = spark.createDataFrame(rows, "g long, h string, v double")
+    wanted = {"first": 0.0, "q1": 0.25, "half": 0.5, "tail": 0.99, "last": 1.0}
+    monkeypatch.setattr(selection, "ROWS_PER_KEY", limit)
+
+    held = {}
+    for g, h, v in rows:
+        own = held.setdefault((g, h), [])
+        if v is not None and not np.isnan(v):
+            own.append(v)
+
+    def plain(own, p):
+        own, at = sorted(own), p * (len(own) - 1)
+        low, high = own[int(at)], own[min(int(at) + 1, len(own) - 1)]
+        return low + (high - low) * (at - int(at))
+
+    def close(a, b):
+        return (a is None) == (b is None) and (a is None or a == b or np.isnan(a) and np.isnan(b) or abs(a - b) < 1e-9)
+
+    found = selection.quantile_table(df, "v", wanted, ["g", "h"]).collect()
+    assert len(found) == len(held) > selection.MAX_GROUPS
+    for r in found:
+        own = held[r.g, r.h]
+        for name, p in wanted.items():
+            assert close(r[name], plain(own, p) if own else None), (r, name)
+    few = df.filter("g < 60")
+    one, other = (sorted(map(str, selection.quantile_table(few, "v", wanted, ["g", "h"], max_groups=m).collect())) for m in (256, 2))
+    assert one == other
+
+
+def test_quantiles_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "g long, v double")
+    assert selection.quantile_table(df, "v", {"half": 0.5}, ["g"]).collect() == []
+    assert selection.quantile_table(df, "v", {"half": 0.5}, ["g"], max_groups=-1).collect() == []
