@@ -11,8 +11,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom import settings as S
-from riskloom.catalog.bindings import ORDER_WINDOWS, TX_EVENTS_SQL, TX_ORDERS_SQL, staged_orders, tx_events
-from riskloom.catalog.features import GEO_SQL, rolling_sql
+from riskloom.catalog.bindings import EVENT_WINDOWS, ORDER_WINDOWS, TX_EVENTS_SQL, TX_ORDERS_SQL, staged_orders, tx_events
+from riskloom.catalog.expressions import HOUR
+from riskloom.catalog.features import GEO_SQL, OFF_BORDER, rolling_sql
 from riskloom.catalog.registry import as_long, once, query, rounded
 from riskloom.functions import scalar as X
 from riskloom.models import calibrate, explain, score, train
@@ -252,3 +253,35 @@ def expr_reason_text(spark, sf):
         [("amt", "amount is %s"), ("k", "activity index %s"), ("score", "model score %s")], "feature string, template string"
     )
     return reason_sentences(tx.select("tx_id", entries), "tx_id", templates, top=2)
+
+
+# Stand-ins for contributions: whole numbers from the row id, so both engines order them alike.
+CASE_FEATURES = ("log1p_amt", "rolling_amt_mean_24h", "amt_gt_p95_legit", "hour", "is_night", "hour_sin", "hour_cos")
+CASE_STEPS = ((7, 11), (3, 7), (5, 9), (2, 3), (1, 5), (1, 3), (2, 5))
+
+
+def _case_weight_sql(*features: str) -> str:
+    steps = dict(zip(CASE_FEATURES, CASE_STEPS))
+    return " + ".join(f"(tx_id*{a} % {m} - {m // 2})" for a, m in (steps[f] for f in features))
+
+
+@query("expr_reason_case", f"""WITH {TX_EVENTS_SQL},
+roll AS (SELECT *, AVG(amt) OVER (PARTITION BY card ORDER BY us RANGE BETWEEN {EVENT_WINDOWS['24h']} PRECEDING AND 1 PRECEDING) + CAST({OFF_BORDER} AS DOUBLE) AS usual FROM tx),
+v AS (SELECT tx_id, CASE WHEN usual > 0 THEN amt/usual END AS times, k < 30 AS above, {HOUR} AS hour FROM roll),
+said AS (
+SELECT tx_id, 0 AS place, {_case_weight_sql("log1p_amt", "rolling_amt_mean_24h")} AS weight, CASE WHEN times >= 2 THEN 'amount ' || format('{{:,.1f}}', times) || ' times the 24 h mean of this card' END AS sentence FROM v
+UNION ALL SELECT tx_id, 1, {_case_weight_sql("amt_gt_p95_legit")}, CASE WHEN above THEN 'above the p95 of legitimate transactions' END FROM v
+UNION ALL SELECT tx_id, 2, {_case_weight_sql("hour", "is_night", "hour_sin", "hour_cos")}, CASE WHEN hour >= 22 OR hour <= 2 THEN 'at night, when the base rate of fraud is high' END FROM v),
+r AS (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY weight DESC, place) AS rn FROM said WHERE weight > 0 AND sentence IS NOT NULL)
+SELECT v.tx_id, string_agg(sentence, '; ' ORDER BY rn) AS reasons FROM v LEFT JOIN r ON r.tx_id = v.tx_id AND rn <= 2 GROUP BY v.tx_id""")
+def expr_reason_case(spark, sf):
+    """Sentences over several features of a case: amount against the card's own mean, ceiling, time of day."""
+    from riskloom.operators.decide import case_reasons
+    from riskloom.operators.rolling import rolling_past
+    rolled = rolling_past(tx_events(spark, sf), "card", "us", "amt", {"24h": EVENT_WINDOWS["24h"]})
+    hour = X.hour_of_day(F.col("ts"))
+    values = [F.log1p("amt"), F.col("rolling_amt_mean_24h") + F.lit(OFF_BORDER), F.col("k") < 30, hour, X.is_night(hour), *X.cyclic_hour(hour)]
+    weights = [F.pmod(F.col("tx_id") * a, F.lit(m)) - m // 2 for a, m in CASE_STEPS]
+    explained = rolled.select(
+        "tx_id", F.array(*[v.cast("double") for v in values]).alias("values"), F.array(*[w.cast("double") for w in weights]).alias("contributions"))
+    return explained.select("tx_id", case_reasons(CASE_FEATURES, top=2).alias("reasons"))

@@ -157,6 +157,18 @@ def half_month(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM"), F.when(F.dayofmonth(ts) <= 15, "-A").otherwise("-B"))
 
 
+def times_sentence(value: Column, usual: Column, at_least: float, template: str) -> Column:
+    """``template`` with how many times the usual value this one is; null below ``at_least`` and where a part is missing, NaN or not positive."""
+    times = value / F.when(usual > 0, usual)
+    said = F.replace(F.lit(template), F.lit("%s"), F.format_number(times, 1))
+    return F.when((times >= F.lit(float(at_least))) & (times < F.lit(math.inf)), said)
+
+
+def flag_sentence(flag: Column, text: str) -> Column:
+    """``text`` where the flag is one, else null."""
+    return F.when(flag == 1, F.lit(text))
+
+
 def fold_of(tx_id: Column, folds: int = S.ENCODING_FOLDS) -> Column:
     """Deterministic fold by multiplicative hashing of the row id: (id * 2654435761 mod 2^32) mod folds.
 

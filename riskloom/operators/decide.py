@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +96,47 @@ def reason_sentences(contributions: DataFrame, tx_id: str, templates: DataFrame,
     return ranked.select(tx_id, F.array_join(sentence, "; ").alias("reasons"))
 
 
+@dataclass(frozen=True)
+class Sentence:
+    """What some features say together.
+
+    ``text`` gets a lookup from feature name to value column; its result is null where the
+    sentence does not apply.
+    """
+
+    features: tuple[str, ...]
+    text: Callable[[Callable[[str], Column]], Column]
+
+
+CASE_SENTENCES = (
+    Sentence(("log1p_amt", "rolling_amt_mean_24h"), lambda value: X.times_sentence(
+        F.expm1(value("log1p_amt")), value("rolling_amt_mean_24h"), 2.0, "amount %s times the 24 h mean of this card")),
+    Sentence(("amt_gt_p95_legit",), lambda value: X.flag_sentence(value("amt_gt_p95_legit"), "above the p95 of legitimate transactions")),
+    Sentence(("is_night", "hour", "hour_sin", "hour_cos"), lambda value: X.flag_sentence(value("is_night"), "at night, when the base rate of fraud is high")),
+)
+
+
+def case_reasons(features: Sequence[str] = S.FEATURE_COLUMNS, sentences: Sequence[Sentence] = CASE_SENTENCES, top: int = 3) -> Column:
+    """Why the model raised the score of an explained row (``contributions`` and ``values`` in feature order), in words.
+
+    A sentence weighs what its features contribute together. Those that raise the score are named,
+    the heaviest first and equal ones in the order given; null where none is left. One
+    projection: nothing is joined or shuffled.
+    """
+    place = {name: i for i, name in enumerate(features)}
+
+    def value(name: str) -> Column:
+        return F.col("values")[place[name]]
+
+    def entry(position: int, sentence: Sentence) -> Column:
+        weights = [F.coalesce(F.nanvl(F.col("contributions")[place[name]], F.lit(0.0)), F.lit(0.0)) for name in sentence.features]
+        return F.struct((-sum(weights, F.lit(0.0))).alias("order"), F.lit(position).alias("position"), sentence.text(value).alias("text"))
+
+    entries = F.array(*[entry(i, s) for i, s in enumerate(sentences)])
+    said = F.slice(F.array_sort(F.filter(entries, lambda e: (e["order"] < 0) & e["text"].isNotNull())), 1, top)
+    return F.when(F.size(said) > 0, F.array_join(F.transform(said, lambda e: e["text"]), "; "))
+
+
 def canary_metrics(df: DataFrame, card: str, label: str, score: str, threshold: float = S.OPERATING_THRESHOLD, percent: int = 5, worst_drop: float = 0.05) -> DataFrame:
     """Confusion and F1 per model version on its share of cards, with promote or rollback."""
     from riskloom.operators.metrics import confusion_at
