@@ -152,3 +152,24 @@ def test_time_split_with_tied_borders(spark):
     got = temporal_split(df, "t", "tx_id", finish_rows=3).toPandas().sort_values("tx_id")
     assert got.split.tolist() == ["train"] * 70 + ["val"] * 15 + ["test"] * 16
     assert temporal_split(df.limit(1), "t", "tx_id").first().split == "test"
+
+
+def test_slices_follow_the_rows_and_stay_tasks_of_a_fair_size():
+    assert ordered.slice_count(600, 100) == 6 and ordered.slice_count(10, 1) == ordered.MIN_SLICES
+    # A low limit on many rows gave one task per hundred rows.
+    assert ordered.slice_count(36_000_000, 50) == 360
+    assert ordered.slice_count(1_000_000, 50) == ordered.MANY_SLICES
+    # Limits above the full slice are kept as they were.
+    assert ordered.slice_count(36_000_000, 1_000_000) == 36 and ordered.slice_count(500_000_000, 1_000_000) == 500
+
+
+def test_previous_row_and_rank_on_slices_larger_than_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MANY_SLICES", 4)
+    monkeypatch.setattr(ordered, "MIN_SLICE_ROWS", 10)
+    pdf = skewed(null_key=True)
+    df, order = spark.createDataFrame(pdf), [F.col("t"), F.col("tx")]
+    for by in (["card"], []):
+        plain = ordered.global_rank(ordered.previous_row(df, by, order, {"amt": "before"}, 10**6), by, order, limit=10**6)
+        sliced = ordered.global_rank(ordered.previous_row(df, by, order, {"amt": "before"}, 1), by, order, limit=1)
+        a, b = (x.select("tx", "before", "rank").toPandas().sort_values("tx").reset_index(drop=True) for x in (plain, sliced))
+        pd.testing.assert_frame_equal(a, b)
