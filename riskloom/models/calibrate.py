@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as X
 from riskloom.operators.metrics import brier
+from riskloom.session import materialize
 
 KINDS = ("raw", "platt", "isotonic")
 _INVERSE_PENALTY = 1e6
@@ -70,7 +71,11 @@ def fit_isotonic(val: DataFrame, label: str, score: str) -> Calibrator:
 
 
 def compare_calibrators(val: DataFrame, test: DataFrame, label: str, score: str) -> tuple[Calibrator, DataFrame]:
-    """The calibrator with the smallest Brier score on val, and ``kind, split, brier, chosen``."""
+    """The calibrator with the smallest Brier score on val, and ``kind, split, brier, chosen``.
+
+    Labels and scores are written once: fits and comparisons read them many times, and the model need not score again.
+    """
+    val, test = (materialize(rows.select(label, score), "calibration") for rows in (val, test))
     fitted = [Calibrator("raw"), fit_platt(val, label, score), fit_isotonic(val, label, score)]
     table = None
     for calibrator in fitted:
