@@ -91,3 +91,42 @@ def test_best_length():
     assert staged.best_length([0.1, 0.3, 0.3, 0.2, 0.9], 2) == (2, True)
     assert staged.best_length([0.1, 0.3, 0.3, 0.2, 0.9], 3) == (5, False)
     assert staged.best_length([None, None], 1) == (None, False) and staged.best_length([], 1) == (None, False)
+
+
+def test_training_rows_are_dealt_by_their_number(noisy):
+    one = noisy.coalesce(1)
+    assert train.spread_rows(one, 3_000, 3_000).rdd.getNumPartitions() == 1
+    dealt = train.spread_rows(one, 3_000, 100)
+    sizes = dealt.rdd.glom().map(len).collect()
+    # A scan that gave one partition was trained on by one task.
+    assert sum(sizes) == 3_000 and max(sizes) <= 110 and len(sizes) >= 30
+    assert sorted(r.tx_id for r in dealt.select("tx_id").collect()) == list(range(3_000))
+
+
+def test_dealt_rows_train_a_model_of_all_rows(noisy, whole, monkeypatch):
+    monkeypatch.setattr(train.spread_rows, "__defaults__", (100,))
+    again = train.fit_trees(noisy.coalesce(1), train.TreeParams(max_depth=5, learning_rate=0.4, max_trees=14, patience=0), FEATURES)
+    trees = [m.stages[-1].trees for m in (whole, again)]
+    counts = [[t.numNodes for t in found] for found in trees]
+    assert len(counts[0]) == len(counts[1]) == 14
+    held = noisy.filter("split = 'val'")
+    a, b = (ranking_summary(train.raw_scores(held, m, FEATURES), "is_fraud", "score_raw").first() for m in (whole, again))
+    assert a.n == b.n and a.pr_auc == pytest.approx(b.pr_auc, abs=0.05)
+
+
+def test_scores_are_made_once_for_metrics_and_calibration(spark):
+    from riskloom.models.calibrate import compare_calibrators
+    from riskloom.operators.metrics import metrics_bundle
+
+    made = spark.sparkContext.accumulator(0)
+
+    def slow(i):
+        made.add(1)
+        return (i * 37 % 101) / 101
+
+    score = F.udf(slow, "double").asNondeterministic()
+    rows = spark.range(400).select(F.col("id").alias("tx_id"), (F.col("id") % 3 == 0).cast("int").alias("is_fraud")).withColumn("score_raw", score("tx_id"))
+    assert {r.metric for r in metrics_bundle(rows, "is_fraud", "score_raw", "tx_id").collect()} == {"pr_auc", "roc_auc", "recall_at_1pct", "f1_at_thr", "threshold"}
+    assert made.value == 400
+    chosen, table = compare_calibrators(rows, rows, "is_fraud", "score_raw")
+    assert made.value == 1_200 and table.count() == 6
