@@ -21,8 +21,15 @@ from riskloom.streaming.chain import DecisionStream
 from riskloom.streaming.rolling import RollingStream
 
 
-#: Files per step of an arriving stream; a step is one micro-batch.
+#: Files per step of an arriving stream, at least; a step is one micro-batch.
 FILES = 4
+#: Rows of an arriving file; larger steps come in more files, as one task writes or reads a file.
+ROWS_PER_FILE = 200_000
+
+
+def files_per_step(df: DataFrame, parts: int = 3, files: int = FILES) -> int:
+    """Files of each of ``parts`` steps of about the same number of rows."""
+    return max(files, -(-df.count() // (parts * ROWS_PER_FILE)))
 
 
 def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES, last: DataFrame | None = None) -> DataFrame:
@@ -30,6 +37,7 @@ def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES, last
     spark = df.sparkSession
     path = work_dir(spark, "arriving")
     micros = df.withColumn("_at", F.unix_micros(clock))
+    files = files_per_step(df, parts, files)
     borders = [None, *exact_quantiles(micros, "_at", [i / parts for i in range(1, parts)])[()], None]
     for low, high in zip(borders, borders[1:]):
         inside = F.lit(True)
@@ -64,8 +72,8 @@ def st_score_decide(spark, sf):
     path = work_dir(spark, "decided")
     source = curated(spark, sf)
     staged = work_dir(spark, "features")
-    source.write.parquet(staged)
-    decided = monitor.score_and_decide(runs.tx_stream(spark, staged, source.schema, 4), bundle(spark, sf))
+    source.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(staged)
+    decided = monitor.score_and_decide(runs.tx_stream(spark, staged, source.schema, files_per_step(source)), bundle(spark, sf))
     runs.run_to_table(decided, path, f"{path}-checkpoint", partition="model_version")
     batch = score_batch(source, bundle(spark, sf)).select("tx_id", F.col("score_raw").alias("_raw"), F.col("score_calibrated").alias("_calibrated"))
     out = spark.read.parquet(path).join(batch, "tx_id", "left")

@@ -183,3 +183,19 @@ def test_labels_come_from_the_stream_alone(spark, tmp_path):
     assert found == {i: {2: ("confirmed", 0), 3: ("confirmed", 1), 5: ("confirmed", 1)}.get(i, ("provisional", None)) for i in range(1, 40)}
     history = sorted((r.tx_id, r.version, r.confirmed) for r in monitor.label_versions(versions.read()).collect() if r.version)
     assert history == [(2, 1, 0), (2, 2, 1), (3, 1, 1), (5, 1, 1), (5, 2, 0)]
+
+
+def test_steps_of_many_rows_arrive_in_more_files(spark, monkeypatch):
+    import glob
+    from riskloom.catalog import streams
+
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 100)
+    seen = []
+    monkeypatch.setattr(streams.runs, "tx_stream", lambda spark, path, schema, files: seen.append((path, files)))
+    rows = spark.range(3_000).select("id", F.timestamp_seconds("id").alias("ts"))
+    streams.arriving(rows, "ts")
+    path, files = seen[0]
+    assert files == 10 and len(glob.glob(f"{path}/*.parquet")) == 30
+    assert spark.read.parquet(path).distinct().count() == 3_000
+    # Small steps keep their few files.
+    assert streams.files_per_step(rows.limit(50)) == streams.FILES
