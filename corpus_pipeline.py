@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import jaccard, langid, packing, quality, secrets
+from riskloom.llm.frequent import Filter
 from riskloom.session import materialize, prepare
 
 #: Cosine below which a text of so many characters is in none of the learned languages; a
@@ -53,15 +54,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat a doc_id are one document, of which one row stays. Rows without doc_id stay.
     """
-    found = materialize(jaccard.link_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT), "components")
+    found = jaccard.link_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT)
+    # Most ids come once and stay. Only rows that a filter of all other ids lets through are brought to their ids.
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("leads"), F.count(F.lit(1)).alias("n"))
+    others = materialize(ids.where("NOT leads OR n > 1").select("doc_id"), "others")
+    may = Filter.of(others.select(F.xxhash64("doc_id").alias("h"))).held_by(spark)(F.xxhash64(F.col("doc_id").cast("long")))
+    plain = docs.where("doc_id IS NOT NULL").where(~may)
     # The ids that stay grow with the documents: one plan at every size, without a broadcast.
     leading = found.where("doc_id = component_id").select("doc_id").distinct().hint("merge")
-    named = docs.where("doc_id IS NOT NULL").join(leading, "doc_id", "left_semi")
+    named = docs.where("doc_id IS NOT NULL").where(may).join(leading, "doc_id", "left_semi")
     # Only ids that occur again need their rows brought together.
     again = materialize(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
     once, repeated = named.join(again, "doc_id", "left_anti"), named.join(again, "doc_id", "left_semi")
     least = repeated.groupBy("doc_id").agg(F.min(F.struct(*(c for c in docs.columns if c != "doc_id"))).alias("row")).select("doc_id", "row.*")
-    return once.select(docs.columns).union(least.select(docs.columns)).union(docs.where("doc_id IS NULL"))
+    return plain.union(once.select(docs.columns)).union(least.select(docs.columns)).union(docs.where("doc_id IS NULL"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,8 +12,9 @@ from collections.abc import Callable, Iterator
 from math import ceil, log2
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import mix64
@@ -104,5 +105,14 @@ class Filter:
         low, high = h & np.uint64((1 << self.bits) - 1), h >> np.uint64(64 - self.bits)
         return self._bit(low) & self._bit(high)
 
+    def held_by(self, spark: SparkSession) -> Callable[[Column], Column]:
+        """Whether the filter holds the hashes of a column; only these go to Python, not the rows they are of."""
+        shared = spark.sparkContext.broadcast(self.parts())
+
+        def has(h: pd.Series) -> pd.Series:
+            return pd.Series(Filter(*shared.value).has(h.to_numpy().view(np.uint64)))
+
+        return F.pandas_udf(has, "boolean")
+
     def _bit(self, at: np.ndarray) -> np.ndarray:
         return (self.held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -15,8 +15,8 @@ required overlap are links.
 
 Most company is by chance, so sets travel last. Digests that only one set holds are left out
 first, by a filter over packed counts (texts are cut a second time rather than all digests
-kept). Then cells are made of *counts*: how many shingles a set has in each of some groups, a
-byte each for about four shingles. The sum of the lesser
+kept). Then cells are made of *counts*: how many shingles a set has in each of some groups of
+one to four shingles, half a byte each. The sum of the lesser
 counts of two sets is never below their overlap, so it tells which could reach the similarity.
 Only nodes that have such a partner go on, as whole sets, into the search.
 
@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from math import log2
 
@@ -179,14 +180,36 @@ def _set_digests(shingles: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def groups(n: int) -> int:
+    """Groups in which a set of n shingles is counted, a power of two: one to two shingles in each on average, two to four in a large set."""
+    return 1 << max(0, (n // (1 if n < 200 else 2)).bit_length() - 1)
+
+
 def counts(shingles: np.ndarray) -> bytes:
-    """Shingles in each of 2^k groups, two to four in a group on average, four to eight in a large set."""
-    bits = (len(shingles) // (2 if len(shingles) < 200 else 4)).bit_length() - 1
-    if bits <= 0:
-        return bytes([min(255, len(shingles))])
-    group = mix64(shingles ^ _ODD[2]) >> np.uint64(64 - bits)
+    """Shingles in each of the groups, two groups in a byte unless one of them holds more than 15."""
+    number = groups(len(shingles))
+    if number == 1:
+        return bytes([len(shingles)])
+    group = mix64(shingles ^ _ODD[2]) >> np.uint64(64 - number.bit_length() + 1)
     # Groups are random: none of so few shingles on average holds more than a byte can tell.
-    return np.bincount(group.astype(np.int64), minlength=1 << bits).astype(np.uint8).tobytes()
+    each = np.bincount(group.astype(np.int64), minlength=number).astype(np.uint8)
+    return each.tobytes() if each.max() > 15 else (each[::2] << 4 | each[1::2]).tobytes()
+
+
+def counted(texts: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Counts of some sets, a row each, in as many groups as the set with the fewest has."""
+    number = [groups(n) for n in sizes.tolist()]
+    least, alike = min(number), defaultdict(list)
+    for row, kind in enumerate(zip(number, map(len, texts))):
+        alike[kind].append(row)
+    own = np.empty((len(texts), least), np.uint16 if sizes.max() < 1 << 16 else np.uint32)
+    for (of, length), rows in alike.items():
+        each = np.frombuffer(b"".join([texts[r] for r in rows]), np.uint8)
+        if length < of:
+            each = np.stack([each >> 4, each & 15], axis=1)
+        # Groups are leading bits, so counts of more groups add up to those of fewer.
+        own[rows] = each.reshape(len(rows), least, -1).sum(axis=2)
+    return own
 
 
 def close(own: np.ndarray, sizes: np.ndarray, component: np.ndarray, asking: np.ndarray, asked: np.ndarray, percent: int) -> np.ndarray:
@@ -238,12 +261,10 @@ def close_cells(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
             component, role, node = (held[c].to_numpy() for c in ("component", "role", "node"))
             if held.num_rows < 2 or component.min() == component.max():
                 return
-            texts = held["counts"].to_pylist()
-            least = min(map(len, texts))
-            # Groups are leading bits, so counts of more groups add up to those of fewer.
-            own = np.array([np.frombuffer(t, np.uint8).reshape(least, -1).sum(axis=1) for t in texts]).astype(np.int32)
+            sizes = held["n"].to_numpy()
+            own = counted(held["counts"].to_pylist(), sizes)
             asking, asked = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
-            for rows, columns in connected(close(own, held["n"].to_numpy(), component, asking, asked, percent)):
+            for rows, columns in connected(close(own, sizes, component, asking, asked, percent)):
                 first = node[asking[rows[0]]]
                 others = np.unique(np.append(node[asking[rows]], node[asked[columns]]))
                 yield pa.RecordBatch.from_arrays([pa.array(others), pa.array(np.full(len(others), first))], names=["a", "b"])

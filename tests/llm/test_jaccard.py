@@ -176,3 +176,22 @@ def test_similar_sets_share_a_digest_at_eighty_percent():
         b = np.append(a[:n], rng.integers(0, 2**64, more - split, dtype=np.uint64))
         a, b = np.unique(a), np.unique(b)
         assert set(jaccard.digests(a, first, 80)) & set(jaccard.digests(b, first, 80))
+
+
+def test_counts_bound_the_overlap_and_tell_chance_apart():
+    rng = np.random.default_rng(6)
+    for n in [1, 2, 3, 7, 50, 199, 200, 390, 5_000]:
+        pool = rng.integers(0, 2**64, 3 * n + 4, dtype=np.uint64)
+        sets = [np.unique(pool[start : start + size]) for start, size in ((0, n), (n // 3, n), (0, 2 * n), (2 * n, n + 4))]
+        own = jaccard.counted([jaccard.counts(s) for s in sets], np.array(list(map(len, sets))))
+        assert (own.sum(axis=1) == list(map(len, sets))).all()
+        for i, a in enumerate(sets):
+            assert all(np.minimum(own[i], own[j]).sum() >= len(np.intersect1d(a, b)) for j, b in enumerate(sets))
+    # Two sets of nothing in common look it, in no more bytes than one for eight shingles.
+    one, other = (np.unique(rng.integers(0, 2**64, 390, dtype=np.uint64)) for _ in range(2))
+    texts = [jaccard.counts(one), jaccard.counts(other)]
+    most = np.minimum(*jaccard.counted(texts, np.array([390, 390]))).sum()
+    assert len(texts[0]) == 64 and 100 * most < 80 * 390 * 0.95
+    # More than 15 in a group are told in whole bytes, and add up with halves.
+    crowded = np.bincount(np.zeros(16, np.int64), minlength=64).astype(np.uint8).tobytes()
+    assert jaccard.counted([crowded, jaccard.counts(one)], np.array([100, 390]))[0, 0] == 16

@@ -3,7 +3,9 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from riskloom.llm import secrets
+from riskloom.llm.frequent import Filter
 from tests.llm.helpers import SF, documents, words
 from tests.llm.test_jaccard import brute_at, edited
 from tests.llm.test_packing import check
@@ -43,6 +45,12 @@ def test_copy_with_a_passage_added_goes(spark):
     assert sorted(r.doc_id for r in STAGES["near duplicates"](spark, documents(spark, texts), SF).collect()) == [0, 3]
 
 
+def test_filter_of_ids_tells_which_rows_need_a_join(spark):
+    held = Filter.of(spark.range(0, 300, 3).select(F.xxhash64("id").alias("h")))
+    rows = spark.range(300).withColumn("may", held.held_by(spark)(F.xxhash64("id"))).collect()
+    assert all(r.may for r in rows if r.id % 3 == 0) and sum(r.may for r in rows) < 120
+
+
 def test_language_stage(spark):
     docs = documents(spark, ["the cat and the dog sat"] * 5 + ["123 !?", None, "漢字漢字"])
     assert sorted(r.doc_id for r in STAGES["language id"](spark, docs, SF).collect()) == [0, 1, 2, 3, 4, 7]
