@@ -6,6 +6,9 @@ but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,16 @@ LEAST_COSINE, TELLING = 0.1, 200
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def prepared(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage under the session's settings, also where it runs by itself."""
+
+    @wraps(stage)
+    def run_prepared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(prepare(spark), docs, sf_dir)
+
+    return run_prepared
+
+
 def bundled(docs: DataFrame) -> DataFrame:
     """doc_id, text and all other columns in one, so that no operator meets their names."""
     others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
@@ -31,6 +44,7 @@ def unbundled(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"others.c{i}").alias(c) for i, c in enumerate(columns)))
 
 
+@prepared
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling; the model is learned from ``labels``."""
     ratio = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -39,6 +53,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return unbundled(quality.resample(quality.weigh(bundled(docs), ratio), weights=weights), docs.columns)
 
 
+@prepared
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those without a letter, or long and far from all prototypes, go."""
     predicted = langid.predict(bundled(docs), langid.learn(docs), keep=True)
@@ -46,6 +61,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return unbundled(predicted.where(known), docs.columns)
 
 
+@prepared
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the least doc_id.
 
@@ -70,11 +86,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return plain.union(once.select(docs.columns)).union(least.select(docs.columns)).union(docs.where("doc_id IS NULL"))
 
 
+@prepared
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in the text."""
     return unbundled(secrets.redact(bundled(docs)), docs.columns)
 
 
+@prepared
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of 2048 tokens."""
     return packing.pack(docs)
@@ -93,8 +111,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each one's rows are written and read again by the next."""
-    prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

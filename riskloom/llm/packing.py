@@ -34,8 +34,10 @@ CAPACITY = 2048
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Pieces that share a (length, salt) at the most, on average.
 ROWS_PER_RANKING = 20_000
-#: Encoded words a task keeps; above it the cache starts anew.
-CACHE_WORDS = 1_000_000
+#: Encoded words a task keeps: half of them new or used again of late, half those before them.
+CACHE_WORDS = 500_000
+#: Characters of text that are encoded at a time; what the tokenizer returns takes many times as much.
+_CHARS = 500_000
 _LONG_WORD = 64
 #: Marks that may follow a word; the tokenizer always cuts between a word and them.
 _TAIL = b".,;:!?*$&%#|)"
@@ -47,7 +49,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordEncoder:
-    """Ids of whole texts through a cache of words.
+    """Ids of whole texts through a cache of words, of which those not used for long go.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
     of its white-space separated words in turn. ASCII letters are lowered first, as the
@@ -60,17 +62,22 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that end a word
         self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text, with the closing 0."""
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
+        if len(self.words) > CACHE_WORDS // 2:
+            self.words, self.before = {}, self.words
         split = [t.encode().lower().split() for t in texts]
         known, long = self.words, {}
-        parts = {w: self._parts(w) for words in split for w in words if w not in known}
-        self._learn({p for own in parts.values() for p in own if p not in known}, long)
+        new = {w for words in split for w in words if w not in known}
+        known.update((w, self.before[w]) for w in new if w in self.before)
+        parts = {w: self._parts(w) for w in new if w not in known}
+        new = {p for own in parts.values() for p in own if p not in known}
+        known.update((p, self.before[p]) for p in new if p in self.before)
+        self._learn({p for p in new if p not in known}, long)
         for word, own in parts.items():
             if len(own) > 1:
                 (known if len(word) <= _LONG_WORD else long)[word] = b"".join(known.get(p) or long[p] for p in own)
@@ -114,7 +121,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-        for part, texts in text_chunks(batches):
+        for part, texts in text_chunks(batches, chars=_CHARS):
             rows = []
             for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):

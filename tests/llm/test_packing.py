@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
+from riskloom.llm import packing
 from riskloom.llm.packing import TOKENIZER, best_fit_plan, pack
 from tests.llm.helpers import SF, documents, words
 
@@ -82,3 +83,18 @@ def test_given_documents(spark):
 
 def test_empty_table(spark):
     assert pack(documents(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_cache_forgets_only_words_not_used_of_late(monkeypatch):
+    """The words that are kept stay few, and one that every text has is encoded once."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 100)
+    tokenizer, encoder, learned = Tokenizer.from_file(TOKENIZER), packing.WordEncoder(TOKENIZER), Counter()
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new, long: (learned.update(new), learn(new, long)))
+    rng = random.Random(7)
+    for _ in range(60):
+        texts = ["always, " + words(rng, 20), "always " + words(rng, 20), ""]
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes() for t in texts]
+        assert encoder.encode(texts) == want
+        assert len(encoder.words) + len(encoder.before) <= 300
+    assert learned[b"always"] == 1 and sum(learned.values()) > 1_000

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 from riskloom.llm import secrets
 from riskloom.llm.frequent import Filter
@@ -73,3 +74,17 @@ def test_whole_run(spark):
     left = [order[i] for i, component in enumerate(near([texts[i] for i in order])) if component == i]
     rows = corpus_pipeline.run(spark, SF).collect()
     check(rows, [(i, secrets.without_secrets(texts[i])) for i in left], 2048)
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """A stage that runs by itself bounds the bytes of a batch, not only its rows."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = documents(spark, ["A text. " * 2_000] * 1_500).coalesce(1)
+    STAGES["best-fit packing"](spark, docs.limit(1), SF)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "rows"])
+
+    found = docs.select("text").mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r.rows for r in found) == 1_500 and max(r.bytes for r in found) < 5_000_000
