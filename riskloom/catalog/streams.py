@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from riskloom.models.score import Bundle, score_batch
 from riskloom.operators import rolling
 from riskloom.operators.selection import exact_quantiles
 from riskloom.operators.split import temporal_split
-from riskloom.session import materialize, work_dir
+from riskloom.session import Scratch, materialize, work_dir
 from riskloom.streaming import monitor, runs
 from riskloom.streaming.chain import DecisionStream
 from riskloom.streaming.rolling import RollingStream
@@ -25,6 +28,10 @@ from riskloom.streaming.rolling import RollingStream
 FILES = 4
 #: Rows of an arriving file; larger steps come in more files, as one task writes or reads a file.
 ROWS_PER_FILE = 200_000
+#: Steps up to which each scans the whole table for its rows; for more it is put in order first.
+SCANS = 3
+#: Rows of a step of late labels, both streams together: state holds a step's rows and those whose window is open.
+ROWS_PER_STEP = 6_000_000
 
 
 def files_per_step(df: DataFrame, parts: int = 3, files: int = FILES) -> int:
@@ -38,12 +45,18 @@ def arriving(df: DataFrame, clock: str, parts: int = 3, files: int = FILES, last
     path = work_dir(spark, "arriving")
     micros = df.withColumn("_at", F.unix_micros(clock))
     files = files_per_step(df, parts, files)
-    borders = [None, *exact_quantiles(micros, "_at", [i / parts for i in range(1, parts)])[()], None]
-    for low, high in zip(borders, borders[1:]):
-        inside = F.lit(True)
-        inside = inside & (F.col("_at") >= F.lit(low)) if low is not None else inside
-        inside = inside & (F.col("_at") < F.lit(high)) if high is not None else inside
-        micros.filter(inside).drop("_at").repartition(files).write.mode("append").parquet(path)
+    # Whole numbers, so that a scan can skip files by them.
+    inner = [at if at is None else math.ceil(at) for at in exact_quantiles(micros, "_at", [i / parts for i in range(1, parts)])[()]]
+    borders = [None, *inner, None]
+    with Scratch(spark) as scratch:
+        if parts > SCANS:
+            # Files of a short range of time each: a step reads those of its own.
+            micros = scratch.table(micros.repartitionByRange(2 * FILES * parts, "_at"), "in-order")
+        for low, high in zip(borders, borders[1:]):
+            inside = F.lit(True)
+            inside = inside & (F.col("_at") >= F.lit(low)) if low is not None else inside
+            inside = inside & (F.col("_at") < F.lit(high)) if high is not None else inside
+            micros.filter(inside).drop("_at").repartition(files).write.mode("append").parquet(path)
     if last is not None:
         last.coalesce(1).write.mode("append").parquet(path)
     return runs.tx_stream(spark, path, df.schema, files)
@@ -147,9 +160,13 @@ def labelled(spark, sf):
         (F.col("l_returnflag") == "R").cast("bigint").alias("confirmed"),
     )
     last_tx, last_label = monitor.closing_rows(tx, labels, "ts")
-    joined = monitor.late_label_join(arriving(tx, "ts", 2, last=last_tx), arriving(labels, "arrived", 2, last=last_label), "ts")
+    n = tx.count() + labels.count()
+    steps = max(2, -(-n // ROWS_PER_STEP))
+    with ThreadPoolExecutor(2) as pool:
+        came = [pool.submit(arriving, df, clock, steps, last=last) for df, clock, last in ((tx, "ts", last_tx), (labels, "arrived", last_label))]
+    joined = monitor.late_label_join(*(stream.result() for stream in came), "ts")
     versions = runs.BatchTable(spark, path)
-    runs.run_batches(joined, f"{path}-checkpoint", versions.write)
+    runs.run_batches(joined, f"{path}-checkpoint", versions.write, settings=runs.state_settings(spark, n // steps))
     return versions.read()
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +20,47 @@ def tx_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_ba
     return reader.parquet(path)
 
 
-def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process everything available, one micro-batch at a time, then stop."""
-    query = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-        .foreachBatch(step).trigger(availableNow=True).start()
-    )
+_STARTING = Lock()
+
+
+@contextmanager
+def started_with(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The session with ``settings`` while a stream starts; the stream keeps them, the session gets its own back."""
+    with _STARTING:
+        before = {name: spark.conf.get(name, None) for name in settings}
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+#: Rows of a micro-batch that one state task takes.
+ROWS_PER_STATE_TASK = 500_000
+
+
+def state_settings(spark: SparkSession, rows: int) -> dict[str, str]:
+    """For a stateful stream of about ``rows`` rows a micro-batch: state tasks by rows and cores, and one version of the state in memory.
+
+    A state task opens and writes its files in every micro-batch, with rows or without; the number of shuffle partitions,
+    meant for the largest exchange of a session, gives far too many of them.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    tasks = cores * max(1, -(-rows // (ROWS_PER_STATE_TASK * cores)))
+    return {"spark.sql.shuffle.partitions": str(tasks), "spark.sql.streaming.maxBatchesToRetainInMemory": "1"}
+
+
+def run_batches(
+    stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append", settings: Mapping[str, str] | None = None
+) -> None:
+    """Process everything available, one micro-batch at a time, then stop; ``settings`` hold for this stream alone."""
+    with started_with(stream.sparkSession, settings or {}):
+        query = (
+            stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+            .foreachBatch(step).trigger(availableNow=True).start()
+        )
     query.awaitTermination()
 
 

@@ -199,3 +199,89 @@ def test_steps_of_many_rows_arrive_in_more_files(spark, monkeypatch):
     assert spark.read.parquet(path).distinct().count() == 3_000
     # Small steps keep their few files.
     assert streams.files_per_step(rows.limit(50)) == streams.FILES
+
+
+def test_state_tasks_follow_the_rows_not_the_session(spark, tmp_path):
+    df = spark.range(1, 40).select(F.col("id").alias("tx_id"), F.timestamp_seconds(F.col("id") * 100).alias("ts"))
+    files(df, str(tmp_path / "in"), [F.col("tx_id") < 20, F.col("tx_id") >= 20])
+    seen, name = [], "spark.sql.shuffle.partitions"
+    before = {n: spark.conf.get(n, None) for n in (name, "spark.sql.streaming.maxBatchesToRetainInMemory")}
+    stream = monitor.drop_retries(runs.tx_stream(spark, str(tmp_path / "in"), df.schema, 1), "tx_id", "ts")
+
+    def step(rows, batch_id):
+        seen.append((rows.rdd.getNumPartitions(), rows.sparkSession.conf.get(name)))
+        rows.collect()
+
+    try:
+        spark.conf.set(name, "3")
+        runs.run_batches(stream, str(tmp_path / "mark"), step, settings={name: "5"})
+        assert set(seen) == {(5, "5")} and len(seen) >= 2
+        # The session has its own again, also after a stream that cannot start.
+        assert spark.conf.get(name) == "3"
+        with pytest.raises(Exception):
+            runs.run_batches(df, str(tmp_path / "other"), step, settings={name: "5"})
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.set(name, before[name])
+    assert {n: spark.conf.get(n, None) for n in before} == before
+
+
+def test_state_tasks_by_rows_and_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    tasks = lambda rows: int(runs.state_settings(spark, rows)["spark.sql.shuffle.partitions"])
+    assert tasks(0) == tasks(1) == cores
+    monkeypatch.setattr(runs, "ROWS_PER_STATE_TASK", 10)
+    assert tasks(10 * cores) == cores and tasks(10 * cores + 1) == 2 * cores
+
+
+def label_tables(spark, path, n=600):
+    """Orders of 300 days, some of one day, and confirmations around the window, some twice and some of unknown orders."""
+    orders = spark.range(1, n + 1).selectExpr("id AS o_orderkey", "date_add(DATE'1995-01-01', CAST(IF(id % 10 = 0, 150, id * 37 % 300) AS INT)) AS o_orderdate")
+    lines = orders.crossJoin(spark.range(3).withColumnRenamed("id", "line")).selectExpr(
+        "IF(o_orderkey % 50 = 7, o_orderkey + 100000, o_orderkey) AS l_orderkey",
+        "date_add(o_orderdate, CAST((o_orderkey * 7 + line * 13) % 70 + 5 AS INT)) AS l_shipdate", "IF((o_orderkey + line) % 3 = 0, 'R', 'N') AS l_returnflag")
+    orders.write.parquet(f"{path}/orders.parquet")
+    lines.union(lines.filter("l_orderkey % 9 = 0")).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_late_labels_of_many_rows_come_in_bounded_steps(spark, tmp_path, monkeypatch):
+    import os
+    from riskloom.catalog import streams
+
+    label_tables(spark, str(tmp_path))
+    batches, run = [], streams.runs.run_batches
+
+    def watched(joined, checkpoint, *given, **kept):
+        run(joined, checkpoint, *given, **kept)
+        batches.append(len([f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()]))
+
+    def found():
+        joined = streams.labelled(spark, str(tmp_path))
+        return [sorted(df.collect(), key=str) for df in (monitor.label_versions(joined), monitor.label_status(joined))]
+
+    monkeypatch.setattr(streams.runs, "run_batches", watched)
+    few = found()
+    assert len(few[1]) == 600 and {r.status for r in few[1]} == {"provisional", "confirmed"}
+    monkeypatch.setattr(streams, "ROWS_PER_STEP", 500)
+    # Steps were two however many rows there were, so state held half of a table of any size.
+    assert found() == few and batches[1] >= batches[0] + 3
+
+
+def test_many_steps_hold_each_row_once_in_order(spark, monkeypatch):
+    import glob
+    import os
+    from riskloom.catalog import streams
+
+    seen = []
+    monkeypatch.setattr(streams.runs, "tx_stream", lambda spark, path, schema, files: seen.append((path, files)))
+    # A tenth of the rows at one instant; those without a time are in no step, as before.
+    rows = spark.range(5_000).selectExpr("id", "IF(id % 100 = 3, NULL, timestamp_seconds(IF(id % 10 = 0, 900, id * 31 % 5000))) AS ts")
+    streams.arriving(rows, "ts", 9)
+    path, files = seen[0]
+    names = sorted(glob.glob(f"{path}/*.parquet"), key=os.path.getmtime)
+    assert len(names) == 9 * files and files == streams.FILES
+    spans = [spark.read.parquet(*names[i : i + files]).agg(F.min("ts"), F.max("ts"), F.count("*")).first() for i in range(0, len(names), files)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and max(s[2] for s in spans) < 1_700
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [i for i in range(5_000) if i % 100 != 3]
+    # The table in order goes when the steps are written.
+    assert not glob.glob(f"{os.path.dirname(path)}/scratch-*/*in-order")
